@@ -15,6 +15,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textlens.functions.scores import let
 from textlens.functions.text import tokens
 
 # Normalisation constant of the published valence-to-[-1, 1] formula.
@@ -28,7 +29,7 @@ ENTRIES_PER_BUCKET = 2
 
 def compound(valence_sum: Column, alpha: float = ALPHA, digits: int | None = COMPOUND_DIGITS) -> Column:
     """Squash a valence sum into [-1, 1]: ``x / sqrt(x^2 + alpha)``, rounded like the published tool."""
-    score = valence_sum / F.sqrt(valence_sum * valence_sum + F.lit(float(alpha)))
+    score = let(valence_sum, lambda x: x / F.sqrt(x * x + F.lit(float(alpha))))
     return score if digits is None else F.round(score, digits)
 
 

@@ -74,15 +74,17 @@ def binarize(score: Column) -> Column:
 def softmax(logits: Column, classes: int | None = None) -> Column:
     """Class probabilities; shifted by the largest logit so that large values cannot overflow.
 
-    With a known small number of classes the expression is unrolled and stays in generated code.
+    With a known small number of classes the expression is unrolled: generated code computes its
+    common parts once. Inside a lambda, where nothing is shared, leave ``classes`` out.
     """
-    top = F.array_max(logits)
     if classes is not None and classes <= UNROLLED_CLASSES:
+        top = F.array_max(logits)
         parts = [F.exp(F.get(logits, F.lit(i)) - top) for i in range(classes)]
         total = sum(parts[1:], parts[0])
         return F.when(logits.isNotNull(), F.array(*[part / total for part in parts]))
+    exps = let(F.array_max(logits), lambda top: F.transform(logits, lambda v: F.exp(v - top)))
     return let(
-        F.transform(logits, lambda v: F.exp(v - top)),
+        exps,
         lambda e: let(
             F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v),
             lambda total: F.transform(e, lambda v: v / total),

@@ -1,21 +1,31 @@
-"""Lexicon scoring against a lexicon table of any size.
+"""Lexicon scoring against a lexicon table too large to travel in the plan.
 
-Used when the lexicon is too large to travel in the plan. Tokens become rows, meet the lexicon in
-an equi-join and collapse again to one number per text; only keys, tokens and numbers are shuffled.
-A frequent token would send a large part of all rows to one task, so tokens are first counted per
-text and then spread over ``salts`` copies of the lexicon row.
+Tokens become rows, meet the lexicon in an equi-join and collapse again to one number per text.
+While the measured size of the lexicon allows, it is broadcast: tokens then never move, and only a
+key and a partial sum per text do. Beyond that both sides are shuffled by token. A frequent word
+would send a large part of all rows to one task, so the tokens are spread over ``salts`` copies of
+each lexicon row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from textlens.functions.lexicon import ALPHA, COMPOUND_DIGITS, compound
 from textlens.functions.text import tokens
 
 TOKEN_SALTS = 32
+MAX_BROADCAST_BYTES = 256 << 20
+# Object, pointer and valence overhead of a broadcast entry, generously.
+BYTES_PER_ENTRY = 64
+
+
+def lexicon_bytes(lexicon: DataFrame) -> int:
+    """Estimated size in memory, from a count over the lexicon itself."""
+    size = F.count("*") * BYTES_PER_ENTRY + F.coalesce(F.sum(F.octet_length("token")), F.lit(0))
+    return lexicon.agg(size).first()[0]
 
 
 def score_by_join(
@@ -26,6 +36,7 @@ def score_by_join(
     out: str = "score",
     alpha: float = ALPHA,
     digits: int | None = COMPOUND_DIGITS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     salts: int = TOKEN_SALTS,
 ) -> DataFrame:
     """``keys`` and the compound score of ``text``; a text without hits scores 0.0, null stays null.
@@ -33,11 +44,15 @@ def score_by_join(
     ``keys`` must identify a row of ``texts``; ``lexicon`` has ``token`` and ``valence``.
     """
     keys = list(keys)
-    words = texts.select(*keys, F.explode(tokens(text)).alias("token"))
-    words = words.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
     entries = lexicon.groupBy(F.lower("token").alias("token")).agg(F.max("valence").alias("valence"))
-    copies = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    sums = words.join(copies, ["token", "_salt"]).groupBy(*keys).agg(F.sum("valence").alias("_sum"))
+    words = texts.select(*keys, F.explode(tokens(text)).alias("token"))
+    if lexicon_bytes(lexicon) <= max_broadcast_bytes:
+        hits = words.join(F.broadcast(entries), "token")
+    else:
+        words = words.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
+        copies = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        hits = words.join(copies.hint("merge"), ["token", "_salt"])
+    sums = hits.groupBy(*keys).agg(F.sum("valence").alias("_sum"))
     kept = texts.select(*keys, F.col(text).isNotNull().alias("_has_text"))
     total = F.when(F.col("_has_text"), F.coalesce("_sum", F.lit(0.0)))
     return kept.join(sums, keys, "left").select(*keys, compound(total, alpha, digits).alias(out))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textlens.functions.scores import percent_text
-from textlens.operators.metrics import accuracy, class_report, report_averages
+from textlens.operators.metrics import class_report, ratio
 
 # Fixed values.
 SUMMARY_ROWS = ("accuracy", "macro avg", "weighted avg")
@@ -25,27 +25,44 @@ def is_summary(column: str = "label_name") -> Column:
     return F.col(column).isin(*SUMMARY_ROWS)
 
 
-def full_report(cells: DataFrame, counts: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+def full_report(counts: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     """Class rows, accuracy, macro and weighted average of every group, with a ``row_type``.
 
     In summary rows the label is the row's name. Accuracy has its own row: its value stands in the
-    ``accuracy`` column only, all class measures are null.
+    ``accuracy`` column only, all class measures are null. Class rows and totals are two grouping
+    sets of one aggregate, so the predictions behind ``counts`` are evaluated once.
     """
-    report = class_report(counts)
-    classes = report.select(
-        *groups, F.lit("class").alias("row_type"), F.col("class_id").cast("string").alias("label"),
-        "label_name", "precision", "recall", "f1_score", "support", "tp", "fp", "fn",
+    report, groups = class_report(counts), list(groups)
+    counted = ("support", "tp", "fp", "fn")
+    occurs = F.col("tp") + F.col("fp") + F.col("fn") > 0
+    level = report.groupingSets([[*groups, "class_id"], groups], *groups, "class_id").agg(
+        F.grouping("class_id").alias("_total"),
+        F.max("label_name").alias("label_name"),
+        *[F.sum(c).alias(c) for c in counted],
+        *[F.max(m).alias(m) for m in SHARES],
+        *[F.avg(F.when(occurs, F.col(m))).alias(f"macro_{m}") for m in SHARES],
+        *[ratio(F.sum(F.col(m) * F.col("support")), F.sum("support")).alias(f"weighted_{m}") for m in SHARES],
+        ratio(F.sum("tp"), F.sum("support")).alias("accuracy"),
     )
-    averages = report_averages(report, groups).select(
-        *groups, F.lit("average").alias("row_type"), F.col("label_name").alias("label"),
-        "label_name", "precision", "recall", "f1_score", "support",
-    )
-    overall = accuracy(cells, groups).select(
-        *groups, F.lit("accuracy").alias("row_type"), F.lit("accuracy").alias("label"),
-        F.lit("accuracy").alias("label_name"), "accuracy",
+
+    def row(kind: str, label: Column, name: Column, **values: Column) -> Column:
+        types = dict.fromkeys(SHARES, "double") | dict.fromkeys(counted, "bigint") | {"accuracy": "double"}
+        cells = [values.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items()]
+        return F.struct(F.lit(kind).alias("row_type"), label.alias("label"), name.alias("label_name"), *cells)
+
+    def average(kind: str) -> Column:
+        name = F.lit(f"{kind} avg")
+        shares = {m: F.col(f"{kind}_{m}") for m in SHARES}
+        return row("average", name, name, support=F.col("support"), **shares)
+
+    own = row(
+        "class", F.col("class_id").cast("string"), F.col("label_name"),
+        **{c: F.col(c) for c in (*SHARES, *counted)},
     )
-    joined = classes.unionByName(averages, allowMissingColumns=True)
-    return joined.unionByName(overall, allowMissingColumns=True)
+    overall = row("accuracy", F.lit("accuracy"), F.lit("accuracy"), accuracy=F.col("accuracy"))
+    summary = F.array(overall, average("macro"), average("weighted"))
+    rows = F.explode(F.when(F.col("_total") == 1, summary).otherwise(F.array(own)))
+    return level.select(*groups, rows.alias("_row")).select(*groups, "_row.*")
 
 
 def metrics_long(report: DataFrame) -> DataFrame:

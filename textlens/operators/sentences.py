@@ -37,6 +37,20 @@ def explode_sentences(
     return df.select(*keys, F.posexplode(sentences(text, boundary)).alias("pos", "sentence"))
 
 
+def sentence_rows(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A sentence-scored table as one row per sentence: keys, ``pos``, ``sentence``, ``score``.
+
+    Explodes an expression over the arrays. Exploding the array columns themselves would make the
+    optimizer infer a filter on them and so compute the scores again for it.
+    """
+    pairs = F.arrays_zip(SENTENCES_COLUMN, SENTENCE_SCORES_COLUMN)
+    rows = scored.select(*keys, F.posexplode(pairs).alias("pos", "_s"))
+    return rows.select(
+        *keys, F.col("pos").cast("bigint").alias("pos"),
+        F.col(f"_s.{SENTENCES_COLUMN}").alias("sentence"), F.col(f"_s.{SENTENCE_SCORES_COLUMN}").alias("score"),
+    )
+
+
 def regroup_sentences(
     df: DataFrame, values: DataFrame, keys: Sequence[str], value: str, out: str
 ) -> DataFrame:
@@ -54,6 +68,16 @@ def regroup_sentences(
     return df.join(arrays, list(keys), "left").withColumn(out, F.coalesce(F.col(out), empty))
 
 
+def spread(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Give an input with fewer splits than cores one partition per core, by hash of ``keys``.
+
+    A small file arrives as one task whatever the cluster. An input with at least as many splits
+    as cores comes back untouched, so nothing is shuffled at scale.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
+
+
 def wanted_partitions(rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
     return 2 + rows // rows_per_partition
 

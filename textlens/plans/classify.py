@@ -144,7 +144,7 @@ class TextClassifier:
         phase_epochs = [(R.DEV_PHASE, e) for e in range(1, epochs + 1)] + [(R.TEST_PHASE, epochs + 1)]
         groups = ["phase", "epoch"]
         counts = M.class_counts(evaluated, index, groups, phase_epochs)
-        report = R.full_report(evaluated, counts, groups)
+        report = R.full_report(counts, groups)
         summary = M.evaluation_summary(evaluated, groups)
         long = R.metrics_long(report)
 
@@ -218,5 +218,5 @@ class TextClassifier:
         truth = self.index.encode(scored, label_column, "y_true", unseen)
         truth = truth.select("y_true", F.col("_prediction").cast("bigint").alias("y_pred"))
         cells = M.confusion_cells(truth.where("y_true is not null"))
-        report = R.full_report(cells, M.class_counts(cells, self.index))
+        report = R.full_report(M.class_counts(cells, self.index))
         return predicted, R.prediction_report(report)

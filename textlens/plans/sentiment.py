@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textlens.functions import scores as S
-from textlens.functions.lexicon import Lexicon
+from textlens.functions.lexicon import MAX_INLINE_ENTRIES, Lexicon
 from textlens.functions.text import SENTENCE_BOUNDARY, sentences, truncate_tokens
 from textlens.operators.lexicon_join import score_by_join
 from textlens.operators.scoring import batch_size, model_logits
@@ -26,22 +26,23 @@ SCORE_MODES = ("label_signed", "prob_diff")
 LEXICON_MODEL = "vader"
 
 
-def polarity_from_logits(
-    logits: Column, labels: Sequence[str], model: str, score_mode: str = "label_signed",
+def polarity(
+    probabilities: Column, labels: Sequence[str], model: str, score_mode: str = "label_signed",
     positive: int = 2, negative: int = 0,
 ) -> Column:
-    """One signed number from class logits.
+    """One signed number from class probabilities.
 
     ``label_signed``: the top label decides the sign of its confidence. ``prob_diff``:
     P(positive) - P(negative), the neutral class not counting. The two differ by design.
     """
-    def signed(probabilities: Column) -> Column:
-        if score_mode == "prob_diff":
-            return S.polarity_difference(probabilities, positive, negative)
-        raw = S.pick_label(labels, S.argmax(probabilities))
-        return S.signed_polarity(S.canonical_label(model, raw), F.array_max(probabilities))
-
-    return S.let(S.softmax(logits, len(labels)), signed)
+    if score_mode == "prob_diff":
+        return S.polarity_difference(probabilities, positive, negative)
+    # The label of each class is known while planning, so its case folds to plain arithmetic.
+    by_class = [
+        S.signed_polarity(S.canonical_label(model, F.lit(label)), F.get(probabilities, F.lit(i)))
+        for i, label in enumerate(labels)
+    ]
+    return F.get(F.array(*by_class), S.argmax(probabilities).cast("int"))
 
 
 def score_sentiment(
@@ -58,13 +59,15 @@ def score_sentiment(
     keys: Sequence[str] = (),
     positive: int = 2,
     negative: int = 0,
+    max_inline: int = MAX_INLINE_ENTRIES,
 ) -> DataFrame:
     """Append sentiment to a table of texts; lazy, and every argument is checked first.
 
-    ``scorer``: a ``Lexicon``, a lexicon table (needs ``keys`` that identify a row), or a model
-    scorer. ``level='sentence'`` appends ``sentences_array`` and ``sentence_sentiments_lst``;
-    ``'document'`` appends ``doc_sentiments``. Apart from lexicon tables, rows are scored in place
-    and nothing is shuffled.
+    ``scorer``: a ``Lexicon``, a lexicon table (``token``, ``valence``), or a model scorer.
+    ``level='sentence'`` appends ``sentences_array`` and ``sentence_sentiments_lst``;
+    ``'document'`` appends ``doc_sentiments``. Rows are scored in place and nothing is shuffled,
+    except with a lexicon table of more than ``max_inline`` rows: that one is joined and needs
+    ``keys`` that identify a row.
     """
     if level not in LEVELS:
         raise ValueError(f"unknown level {level!r}; known: {LEVELS}")
@@ -75,13 +78,19 @@ def score_sentiment(
     if text not in df.columns:
         raise ValueError(f"no column {text!r} in {df.columns}")
 
-    sign: Callable[[Column], Column] = S.binarize if binarize else (lambda score: score)
+    def sign(score: Column) -> Column:
+        return S.let(score, S.binarize) if binarize else score
+
+    def signed(probabilities: Column) -> Column:
+        return sign(polarity(probabilities, scorer.labels, model, score_mode, positive, negative))
 
     def limited(value: Column) -> Column:
         return value if max_tokens is None else truncate_tokens(value, max_tokens)
 
     if level == "sentence":
         df = df.withColumn(SENTENCES_COLUMN, sentences(text, boundary))
+    if isinstance(scorer, DataFrame):
+        scorer = Lexicon.from_table(scorer, max_entries=max_inline) or scorer
     if isinstance(scorer, DataFrame):
         return _score_with_table(df, text, scorer, level, sign, limited, list(keys))
 
@@ -89,9 +98,9 @@ def score_sentiment(
         source = limited(F.col(text))
         if isinstance(scorer, Lexicon):
             return df.withColumn(DOC_SCORE_COLUMN, sign(scorer.score(source)))
-        logits = model_logits(scorer, source, level, batching)
-        score = polarity_from_logits(logits, scorer.labels, model, score_mode, positive, negative)
-        return df.withColumn(DOC_SCORE_COLUMN, sign(score))
+        df = df.withColumn("_logits", model_logits(scorer, source, level, batching))
+        df = df.withColumn("_probs", S.softmax(F.col("_logits"), len(scorer.labels)))
+        return df.withColumn(DOC_SCORE_COLUMN, signed(F.col("_probs"))).drop("_logits", "_probs")
 
     source = F.col(SENTENCES_COLUMN)
     if max_tokens is not None:
@@ -100,12 +109,7 @@ def score_sentiment(
         each = F.transform(source, lambda one: sign(scorer.score(one)))
         return df.withColumn(SENTENCE_SCORES_COLUMN, each)
     logits = model_logits(scorer, source, level, batching)
-    each = F.transform(
-        logits,
-        lambda one: sign(
-            polarity_from_logits(one, scorer.labels, model, score_mode, positive, negative)
-        ),
-    )
+    each = F.transform(logits, lambda one: S.let(S.softmax(one), signed))
     return df.withColumn(SENTENCE_SCORES_COLUMN, each)
 
 
@@ -114,7 +118,7 @@ def _score_with_table(
     sign: Callable[[Column], Column], limited: Callable[[Column], Column], keys: list[str],
 ) -> DataFrame:
     if not keys:
-        raise ValueError("a lexicon table needs the key columns that identify a row")
+        raise ValueError("a large lexicon table needs the key columns that identify a row")
     if level == "document":
         scored = score_by_join(
             df.select(*keys, limited(F.col(text)).alias("_text")), keys, "_text", lexicon, "_score"

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 
 from pyspark.sql import Column, functions as F
 
+from textlens.functions.scores import let
 from textlens.functions.text import ASCII_PUNCTUATION, WHITESPACE, tokens
 
 
@@ -56,13 +57,17 @@ class MarkerScorer:
         return self.scale * (np.stack(counts, axis=1) / lengths[:, None])
 
     def column(self, text: Column) -> Column:
-        words = tokens(text)
+        every = sorted({word for words in self.markers.values() for word in words})
 
-        def share(label: str) -> Column:
-            hits = F.filter(words, lambda word: word.isin(*self.markers[label]))
-            return F.size(hits) / F.size(words) * F.lit(float(self.scale))
+        def share(words: Column, hits: Column, label: str) -> Column:
+            own = F.filter(hits, lambda word: word.isin(*self.markers[label]))
+            return F.size(own) / F.size(words) * F.lit(float(self.scale))
 
-        return F.when(text.isNotNull(), F.array(*[share(label) for label in self.labels]))
+        def shares(words: Column) -> Column:
+            marked = F.filter(words, lambda word: word.isin(*every))
+            return let(marked, lambda hits: F.array(*[share(words, hits, x) for x in self.labels]))
+
+        return F.when(text.isNotNull(), let(tokens(text), shares))
 
 
 class OnnxScorer:

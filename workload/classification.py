@@ -92,8 +92,7 @@ def evaluate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _full_report(spark: SparkSession, sf: str) -> DataFrame:
-    cells = _cells(spark, sf)
-    return R.full_report(cells, M.class_counts(cells, language_index(spark)))
+    return R.full_report(_counts(spark, sf))
 
 
 def report_split_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,7 +115,7 @@ def report_ranked(spark: SparkSession, sf: str) -> DataFrame:
 def _long(spark: SparkSession, sf: str) -> DataFrame:
     cells = M.confusion_cells(epoch_predictions(spark, sf), groups=GROUPS)
     counts = M.class_counts(cells, language_index(spark), GROUPS, PHASE_EPOCHS)
-    return R.metrics_long(R.full_report(cells, counts, GROUPS))
+    return R.metrics_long(R.full_report(counts, GROUPS))
 
 
 def metrics_long(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from textlens import Lexicon, MarkerScorer
 from textlens.functions import scores as S
 from textlens.operators.labels import LabelIndex
+from textlens.operators.sentences import spread
 from textlens.operators.split import stratified_split
 
 LEXICON = {"the": 0.5, "of": -0.5, "and": 1.0, "with": -1.5, "this": 2.0}
@@ -39,7 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
+    return spread(docs, ["doc_id"])
 
 
 def lexicon() -> Lexicon:

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textlens import score_sentiment
 from textlens.functions import text as X
+from textlens.functions.scores import binarize
+from textlens.operators.lexicon_join import score_by_join
 from textlens.operators.sentences import (
     DOC_SCORE_COLUMN, SENTENCE_SCORES_COLUMN, add_sentence_count, add_sentences, explode_sentences,
-    regroup_sentences,
+    regroup_sentences, sentence_rows,
 )
 from textlens.session import shared_path
 from textlens.streaming.score_stream import read_stream, score_stream
@@ -20,8 +22,7 @@ TOKEN_LIMIT = 16
 
 
 def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
-    split = documents(spark, sf).select("doc_id", X.sentences("text").alias("sentences_array"))
-    return split.select("doc_id", F.explode("sentences_array").alias("sentence"))
+    return documents(spark, sf).select("doc_id", F.explode(X.sentences("text")).alias("sentence"))
 
 
 def sentence_explode(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,8 +49,7 @@ def truncate_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def exploded_scores(scored: DataFrame, keys: list[str]) -> DataFrame:
-    rows = scored.select(*keys, F.posexplode(SENTENCE_SCORES_COLUMN).alias("pos", "score"))
-    return rows.withColumn("pos", F.col("pos").cast("bigint"))
+    return sentence_rows(scored, keys).drop("sentence")
 
 
 def lexicon_sentence(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,29 +64,29 @@ def lexicon_doc(spark: SparkSession, sf: str) -> DataFrame:
 def lexicon_join_sentence(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     keys = ["conv_id", "turn"]
-    scored = score_sentiment(turns, "text", lexicon_table(spark), keys=keys)
+    scored = score_sentiment(turns, "text", lexicon_table(spark), keys=keys, max_inline=0)
     return exploded_scores(scored, keys)
 
 
 def lexicon_join_doc(spark: SparkSession, sf: str) -> DataFrame:
     scored = score_sentiment(
-        documents(spark, sf), "text", lexicon_table(spark), level="document", keys=["doc_id"]
+        documents(spark, sf), "text", lexicon_table(spark), level="document", keys=["doc_id"], max_inline=0
     )
     return scored.select("doc_id", DOC_SCORE_COLUMN)
 
 
+def lexicon_salted_doc(spark: SparkSession, sf: str) -> DataFrame:
+    """The shuffled form that a lexicon beyond the broadcast limit takes."""
+    return score_by_join(
+        documents(spark, sf), ["doc_id"], "text", lexicon_table(spark), DOC_SCORE_COLUMN, max_broadcast_bytes=0
+    )
+
+
 def sentiment_flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Documents to sentences to signed scores, with the binarized score and sentence beside it."""
     docs = documents(spark, sf, "lang")
-    scored = score_sentiment(docs, "text", lexicon())
-    binary = score_sentiment(scored.withColumnRenamed(SENTENCE_SCORES_COLUMN, "scores"), "text", lexicon(), binarize=True)
-    rows = binary.select(
-        "doc_id", "lang", F.posexplode(F.arrays_zip("sentences_array", "scores", SENTENCE_SCORES_COLUMN)).alias("pos", "s")
-    )
-    return rows.select(
-        "doc_id", "lang", F.col("pos").cast("bigint").alias("pos"), F.col("s.sentences_array").alias("sentence"),
-        F.col("s.scores").alias("score"), F.col(f"s.{SENTENCE_SCORES_COLUMN}").alias("sign"),
-    )
+    rows = sentence_rows(score_sentiment(docs, "text", lexicon()), ["doc_id", "lang"])
+    return rows.withColumn("sign", binarize(F.col("score")))
 
 
 def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,7 +96,7 @@ def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     sink, log = shared_path(spark, "stream-sink"), shared_path(spark, "stream-log")
 
     def score(df: DataFrame) -> DataFrame:
-        return score_sentiment(df, "text", lexicon()).select("doc_id", SENTENCE_SCORES_COLUMN)
+        return score_sentiment(df, "text", lexicon()).drop("text")
 
     score_stream(stream, score, sink, log).awaitTermination()
     return exploded_scores(spark.read.parquet(sink), ["doc_id"])
@@ -150,6 +150,7 @@ QUERIES = {
         f"WITH {sql_sentence_scores('conversations', 'conv_id, turn')} SELECT conv_id, turn, pos, score FROM scored",
     ),
     "lexicon_join_doc": (lexicon_join_doc, SQL_DOC_SCORES),
+    "lexicon_salted_doc": (lexicon_salted_doc, SQL_DOC_SCORES),
     "sentiment_flagship": (
         sentiment_flagship,
         f"""WITH {sql_sentence_scores('documents', 'doc_id')}
