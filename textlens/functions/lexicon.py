@@ -63,7 +63,11 @@ class Lexicon:
         found = rows.collect()
         if len(found) > max_entries:
             return None
-        return cls({row[0]: row[1] for row in found}, max_entries)
+        entries: dict[str, float] = {}
+        for word, value in found:
+            if value is not None:
+                entries[word.lower()] = max(value, entries.get(word.lower(), value))
+        return cls(entries, max_entries)
 
     def literal(self) -> Column:
         slots: list[dict[str, float]] = [{} for _ in range(self.buckets)]

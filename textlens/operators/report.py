@@ -104,11 +104,12 @@ def comparative_pivot(long: DataFrame, phase_epochs: Sequence[tuple[str, int]],
 
 
 def add_rank(report: DataFrame, by: str = "f1_score") -> DataFrame:
-    """Position in the report: classes by falling ``by``, summary rows last.
+    """Position in the report: classes by falling ``by``, then the summary rows in their own order.
 
     Ranks a finished report (a row per class), not its input.
     """
-    order = Window.orderBy(is_summary(), F.col(by).desc_nulls_last(), "label")
+    measure = F.when(~is_summary(), F.col(by))
+    order = Window.orderBy(is_summary(), measure.desc_nulls_last(), "label")
     return report.withColumn("rank", F.row_number().over(order).cast("bigint"))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import hashlib
+import sys
+from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
@@ -21,6 +23,9 @@ BATCH_SIZES = {
     "none": {"document": None, "sentence": None},
 }
 
+# Models a Python worker keeps loaded between tasks.
+LOADED_MODELS = 4
+
 # Scorers travel inside the task, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(textlens)
 
@@ -34,6 +39,16 @@ def batch_size(mode: str, level: str) -> int | None:
 def _scoring_function(scorer: Scorer, size: int | None, nested: bool):
     """Body of the UDF, self-contained so that it can be shipped to workers by value."""
     classes = len(scorer.labels)
+    identity = hashlib.md5(cloudpickle.dumps(scorer)).hexdigest()
+
+    def loaded() -> Any:
+        """The model state, kept by the worker process across the tasks it runs."""
+        kept = vars(sys).setdefault("_textlens_loaded", {})
+        if identity not in kept:
+            while len(kept) >= LOADED_MODELS:
+                del kept[next(iter(kept))]
+            kept[identity] = scorer.load()
+        return kept[identity]
 
     def in_slices(state: Any, texts: pa.Array) -> np.ndarray:
         step = size or max(1, len(texts))
@@ -51,7 +66,7 @@ def _scoring_function(scorer: Scorer, size: int | None, nested: bool):
         return pa.ListArray.from_arrays(pa.array(np.cumsum(offsets, dtype=np.int32)), flat, mask=mask)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        state = scorer.load()
+        state = loaded()
         for batch in batches:
             if not nested:
                 yield rows(state, batch)

@@ -28,6 +28,8 @@ from textlens.session import ensure_checkpoint_dir
 SEED = 42
 HOLDOUT = 0.1
 HASH_DIGITS = 32
+# Sorts behind every row of a hash: the character after the separator of hash and key.
+AFTER_HASH = ";"
 DIGITS_PER_PASS = 2
 # A bucket of up to this many rows is ranked by one task.
 RANKED_ROWS = 1_000_000
@@ -132,7 +134,9 @@ def fit_split(
     ranked_rows: int = RANKED_ROWS,
     max_local: int = MAX_LOCAL_CLASSES,
 ) -> SplitCuts:
-    """Find the cut points. ``key`` must be unique."""
+    """Find the cut points. Counts are exact when ``key`` is unique; equal keys stay together
+    wherever more than ``ranked_rows`` of them meet a cut.
+    """
     if not 0 < holdout < 1:
         raise ValueError("holdout must lie between 0 and 1")
     if not 0 < digits_per_pass <= HASH_DIGITS:
@@ -147,6 +151,17 @@ def fit_split(
         cuts, largest = _settled(_next_pass(rows, cuts, known, digits), 2 * max_local)
         known = digits
 
+    if largest > ranked_rows:
+        # One hash, many rows: a repeated key. Its rows stay together, on the side of the cut.
+        def end(cut: str) -> Column:
+            holds = (F.col(cut) > F.col("_before")) & (F.col(cut) <= F.col("_before") + F.col("_rows"))
+            return F.max(F.when(holds, F.concat("_bucket", F.lit(AFTER_HASH))))
+
+        at_cut = cuts.groupBy(F.col("_label").alias("_cut_label")).agg(
+            end("_test").alias("_test_cut"), end("_last").alias("_last_cut")
+        )
+        return SplitCuts(_settled(at_cut, max_local)[0], key, label, seed)
+
     in_bucket = Window.partitionBy("_label", "_outer").orderBy("_order")
     ranked = _inside(rows, cuts, known).withColumn("_rank", F.col("_before") + F.row_number().over(in_bucket))
     ranked = ranked.where((F.col("_rank") == F.col("_test")) | (F.col("_rank") == F.col("_last")))

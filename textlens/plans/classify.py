@@ -88,7 +88,7 @@ class TextClassifier:
         df: DataFrame,
         input_columns: Sequence[str],
         label_column: str,
-        key_column: str,
+        key_column: str | None = None,
         epochs: int = 3,
         num_features: int = NUM_FEATURES,
         regularization: float = 0.0,
@@ -99,6 +99,8 @@ class TextClassifier:
     ) -> TrainingResult:
         """Split 81/9/10, train epoch by epoch, evaluate each on validation and the last on test.
 
+        Without a ``key_column`` rows are told apart by their content, so that equal rows fall on
+        the same side of the split.
         ``select_best`` (``f1_score``, ``accuracy``, ``avg_val_loss``) keeps the best epoch on
         validation instead of the last one.
         """
@@ -112,9 +114,10 @@ class TextClassifier:
         classes = len(index.labels)
         check_model_size(classes, num_features)
 
-        source = with_input_text(df, input_columns).select(key_column, label_column, INPUT_COLUMN)
-        source = source.where(F.col(label_column).isNotNull())
-        cuts = fit_split(source, key_column, label_column, holdout, seed)
+        source = with_input_text(df, input_columns).where(F.col(label_column).isNotNull())
+        key = F.xxhash64(label_column, INPUT_COLUMN) if key_column is None else F.col(key_column)
+        source = source.select(key.alias("_key"), label_column, INPUT_COLUMN)
+        cuts = fit_split(source, "_key", label_column, holdout, seed)
         rows = cuts.assign(index.encode(source, label_column, "class_id"))
         rows = rows.select("split", F.col("class_id").cast("double").alias("class_id"), INPUT_COLUMN)
         train_text = rows.where("split = 'train'")

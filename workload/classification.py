@@ -183,7 +183,7 @@ _FULL = f"""{_REPORT}, acc AS (SELECT avg(CASE WHEN y_true = y_pred THEN 1.0::DO
             NULL::DOUBLE AS accuracy, 0 AS s FROM rep
         UNION ALL SELECT label_name, label_name, precision, recall, f1_score, support, NULL, NULL, NULL, NULL, 1 FROM av
         UNION ALL SELECT 'accuracy', 'accuracy', NULL, NULL, NULL, NULL, NULL, NULL, NULL, accuracy, 1 FROM acc),
-    ranked_rep AS (SELECT row_number() OVER (ORDER BY s, f1_score DESC NULLS LAST, label)::BIGINT AS rank, *
+    ranked_rep AS (SELECT row_number() OVER (ORDER BY s, CASE WHEN s = 0 THEN f1_score END DESC NULLS LAST, label)::BIGINT AS rank, *
         FROM full_rep)"""
 
 
@@ -260,7 +260,8 @@ QUERIES = {
         comparative_pivot,
         f"""WITH {_LONG}, wide AS (SELECT label, label_name, {_PIVOT},
             max(CASE WHEN phase = 'test-set' THEN f1_score END) AS by_f1 FROM long_rep GROUP BY label, label_name)
-            SELECT * EXCLUDE (by_f1), row_number() OVER (ORDER BY label_name LIKE '% avg', by_f1 DESC NULLS LAST, label)
+            SELECT * EXCLUDE (by_f1), row_number() OVER (ORDER BY label_name LIKE '% avg',
+            CASE WHEN label_name NOT LIKE '% avg' THEN by_f1 END DESC NULLS LAST, label)
             ::BIGINT AS rank FROM wide""",
     ),
     "latest_epoch": (

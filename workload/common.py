@@ -98,6 +98,7 @@ def epoch_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # SQL fragments ---------------------------------------------------------------------------------
 
 _PUNCT = "!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~"
+SQL_WORD_EDGES = f"'{_PUNCT}'"
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textlens import score_sentiment
 from textlens.functions import text as X
+from textlens.functions.lexicon_rules import RuleLexicon, Rules
 from textlens.functions.scores import binarize
 from textlens.operators.lexicon_join import score_by_join
 from textlens.operators.sentences import (
@@ -15,7 +16,7 @@ from textlens.operators.sentences import (
 from textlens.session import shared_path
 from textlens.streaming.score_stream import read_stream, score_stream
 from workload.common import (
-    SQL_LEXICON, documents, lexicon, lexicon_table, sql_binarize, sql_sentences, sql_tokens, table,
+    LEXICON, SQL_LEXICON, SQL_WORD_EDGES, documents, lexicon, lexicon_table, sql_binarize, sql_sentences, sql_tokens, table,
 )
 
 TOKEN_LIMIT = 16
@@ -75,6 +76,19 @@ def lexicon_join_doc(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", DOC_SCORE_COLUMN)
 
 
+# Rule words that occur in the tables.
+RULES = Rules(
+    degrees={"in": 0.293, "that": 0.293, "to": -0.293}, negations=("is", "was"),
+    weakening_phrases=(("to", "in"), ("is", "in")), contrast="by",
+)
+
+
+def lexicon_rules_doc(spark: SparkSession, sf: str) -> DataFrame:
+    ruled = RuleLexicon(LEXICON, RULES)
+    scored = score_sentiment(documents(spark, sf), "text", ruled, level="document")
+    return scored.select("doc_id", DOC_SCORE_COLUMN)
+
+
 def lexicon_salted_doc(spark: SparkSession, sf: str) -> DataFrame:
     """The shuffled form that a lexicon beyond the broadcast limit takes."""
     return score_by_join(
@@ -123,7 +137,57 @@ SQL_SENTENCE_SCORES = f"WITH {sql_sentence_scores('documents', 'doc_id')} SELECT
 SQL_EXPLODED = f"""SELECT doc_id, unnest({sql_sentences()}) AS sentence,
     generate_subscripts({sql_sentences()}, 1)::BIGINT - 1 AS pos FROM documents"""
 
+
+
+def _sql_neighbour(value: str, d: int) -> str:
+    """Effect of the word d places back on a valence."""
+    damping = (1.0, 0.95, 0.9)[d - 1]
+    stress = f"CASE WHEN cap{d} AND stressed THEN CASE WHEN {value} > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END::DOUBLE"
+    pushed = f"(CASE WHEN {value} < 0 THEN -degree{d} ELSE degree{d} END + {stress}) * {damping}::DOUBLE"
+    changed = f"({value} + coalesce({pushed}, 0)) * CASE WHEN neg{d} THEN -0.74 ELSE 1 END::DOUBLE"
+    if d == 3:
+        for first, second in RULES.weakening_phrases:
+            for place in (3, 2):
+                changed += (
+                    f" - CASE WHEN low{place} = '{first}' AND low{place - 1} = '{second}' THEN 0.293 ELSE 0 END::DOUBLE"
+                )
+    return f"CASE WHEN low{d} IS NOT NULL AND valence{d} IS NULL THEN {changed} ELSE {value} END"
+
+
+def _sql_rules() -> str:
+    """The rules on rows: one per word, its neighbours by lag."""
+    bare = f"trim(w, {SQL_WORD_EDGES})"
+    words = rf"string_split_regex(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '\s+')"
+    degree = " ".join(f"WHEN '{w}' THEN {v}::DOUBLE" for w, v in RULES.degrees.items())
+    negations = ", ".join(f"'{w}'" for w in RULES.negations)
+    lags = ", ".join(
+        f"lag({c}, {d}) OVER by_doc AS {c}{d}" for d in (1, 2, 3) for c in ("low", "valence", "degree", "neg", "cap")
+    )
+    return f"""WITH {SQL_LEXICON},
+        raw AS (SELECT doc_id, unnest({words}) AS w, generate_subscripts({words}, 1) AS i FROM documents),
+        cut AS (SELECT doc_id, i, CASE WHEN length({bare}) <= 2 THEN w ELSE {bare} END AS w FROM raw),
+        known AS (SELECT doc_id, i, w, lower(w) AS low, valence, CASE lower(w) {degree} END AS degree,
+            lower(w) IN ({negations}) OR contains(lower(w), 'n''t') AS neg, upper(w) = w AND lower(w) <> w AS cap
+            FROM cut LEFT JOIN lex ON lower(w) = token),
+        around AS (SELECT *, {lags}, count(*) FILTER (WHERE cap) OVER whole AS caps, count(*) OVER whole AS n,
+            min(i) FILTER (WHERE low = '{RULES.contrast}') OVER whole AS turn FROM known
+            WINDOW by_doc AS (PARTITION BY doc_id ORDER BY i), whole AS (PARTITION BY doc_id)),
+        hit AS (SELECT *, caps > 0 AND caps < n AS stressed FROM around WHERE valence IS NOT NULL AND degree IS NULL),
+        s0 AS (SELECT *, valence + CASE WHEN cap AND stressed THEN sign(valence) * 0.733 ELSE 0 END::DOUBLE AS v0 FROM hit),
+        s1 AS (SELECT *, {_sql_neighbour('v0', 1)} AS v1 FROM s0),
+        s2 AS (SELECT *, {_sql_neighbour('v1', 2)} AS v2 FROM s1),
+        s3 AS (SELECT *, {_sql_neighbour('v2', 3)} AS v3 FROM s2),
+        total AS (SELECT doc_id, sum(v3 * CASE WHEN turn IS NULL OR i = turn THEN 1 WHEN i < turn THEN 0.5
+            ELSE 1.5 END::DOUBLE) AS x FROM s3 GROUP BY doc_id),
+        marked AS (SELECT doc_id, coalesce(x, 0) AS x, least(length(text) - length(replace(text, '!', '')), 4)
+            * 0.292::DOUBLE + CASE WHEN q > 3 THEN 0.96 WHEN q > 1 THEN q * 0.18 ELSE 0 END::DOUBLE AS e
+            FROM (SELECT *, length(text) - length(replace(text, '?', '')) AS q FROM documents) LEFT JOIN total USING (doc_id)),
+        final AS (SELECT doc_id, CASE WHEN x > 0 THEN x + e WHEN x < 0 THEN x - e ELSE x END AS x FROM marked)
+        SELECT doc_id, round(x / sqrt(x * x + 15), 4)::DOUBLE AS doc_sentiments FROM final"""
+
+
 QUERIES = {
+    "lexicon_rules_doc": (lexicon_rules_doc, _sql_rules()),
     "sentence_split": (sentence_split, f"SELECT doc_id, unnest({sql_sentences()}) AS sentence FROM documents"),
     "sentence_explode": (sentence_explode, SQL_EXPLODED),
     "sentence_regroup": (
