@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from textlens import Lexicon, MarkerScorer, OnnxScorer, SentimentAnalyzer, score_sentiment
 from textlens.functions import scores as S
+from textlens.functions.lexicon_rules import RuleLexicon
 from textlens.operators import sentences as O
 from textlens.operators.scoring import map_labels, model_logits
 from textlens.plans.sentiment import ensemble_score
 from textlens.session import shared_path
-from textlens.sources.readers import inline_table, read_csv, string_schema
+from textlens.sources.readers import inline_table, read_csv, read_lexicon, string_schema
 from textlens.sources.sinks import materialise, read_runs
 from textlens.streaming.score_stream import read_stream, score_stream
 from tests.onnx_file import write_classifier
@@ -94,6 +95,23 @@ def test_arguments_are_checked_before_planning(reviews):
         score_sentiment(reviews, "nothing", LEXICON)
 
 
+def test_scoring_by_rows_equals_in_place(holes):
+    for binarize in (False, True):
+        plain = score_sentiment(holes, "text", MARKS, binarize=binarize)
+        rows = score_sentiment(holes, "text", MARKS, binarize=binarize, keys=["id"], by_rows=True)
+        assert column(plain, "sentence_sentiments_lst") == column(rows, "sentence_sentiments_lst")
+    for wrong in ({"scorer": MARKS}, {"scorer": LEXICON, "keys": ["id"]}):
+        with pytest.raises(ValueError):
+            score_sentiment(holes, "text", by_rows=True, **wrong)
+
+
+def test_lexicon_file(spark, tmp_path):
+    (tmp_path / "lexicon.txt").write_text('great\t3.1\t0.8\t[3, 4]\n:"\t-1.5\t1\t[1]\n')
+    table = read_lexicon(spark, str(tmp_path / "lexicon.txt"))
+    assert {row.token: row.valence for row in table.collect()} == {"great": 3.1, ':"': -1.5}
+    assert RuleLexicon.from_table(table).entries["great"] == 3.1
+
+
 def test_truncation_is_opt_in(spark):
     df = spark.createDataFrame([(1, "worst thing best best best")], "id bigint, text string")
     whole = column(score_sentiment(df, "text", LEXICON, level="document", binarize=True), "doc_sentiments")

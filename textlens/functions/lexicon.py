@@ -67,7 +67,7 @@ class Lexicon:
         for word, value in found:
             if value is not None:
                 entries[word.lower()] = max(value, entries.get(word.lower(), value))
-        return cls(entries, max_entries)
+        return cls(entries, max_entries=max_entries)
 
     def literal(self) -> Column:
         slots: list[dict[str, float]] = [{} for _ in range(self.buckets)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -96,14 +97,19 @@ class TextClassifier:
         seed: int = SEED,
         select_best: str | None = None,
         save: bool = True,
+        batch_size: int | None = None,
+        learning_rate: float | None = None,
     ) -> TrainingResult:
         """Split 81/9/10, train epoch by epoch, evaluate each on validation and the last on test.
 
         Without a ``key_column`` rows are told apart by their content, so that equal rows fall on
         the same side of the split.
         ``select_best`` (``f1_score``, ``accuracy``, ``avg_val_loss``) keeps the best epoch on
-        validation instead of the last one.
+        validation instead of the last one. ``batch_size`` and ``learning_rate`` are accepted from
+        callers that set them, but full-batch training has no use for them.
         """
+        if batch_size is not None or learning_rate is not None:
+            warnings.warn("batch_size and learning_rate do not apply to full-batch training", stacklevel=2)
         if epochs <= 0:
             raise ValueError("epochs must be positive")
         if select_best not in (None, "f1_score", "accuracy", "avg_val_loss"):

@@ -60,6 +60,7 @@ def score_sentiment(
     positive: int = 2,
     negative: int = 0,
     max_inline: int = MAX_INLINE_ENTRIES,
+    by_rows: bool = False,
 ) -> DataFrame:
     """Append sentiment to a table of texts; lazy, and every argument is checked first.
 
@@ -68,12 +69,18 @@ def score_sentiment(
     ``'document'`` appends ``doc_sentiments``. Rows are scored in place and nothing is shuffled,
     except with a lexicon table of more than ``max_inline`` rows: that one is joined and needs
     ``keys`` that identify a row.
+
+    ``by_rows`` (sentence level, model scorer, needs ``keys``) spreads the sentences themselves over
+    the cluster. It pays a shuffle so that a costly model is not held up by the tasks that happen
+    to hold the long documents.
     """
     if level not in LEVELS:
         raise ValueError(f"unknown level {level!r}; known: {LEVELS}")
     if score_mode not in SCORE_MODES:
         raise ValueError(f"unknown score mode {score_mode!r}; known: {SCORE_MODES}")
     batch_size(batching, level)
+    if by_rows and (level != "sentence" or isinstance(scorer, (Lexicon, DataFrame))):
+        raise ValueError("scoring by rows is for sentences and a model scorer")
     S.check_model_name(model)
     if text not in df.columns:
         raise ValueError(f"no column {text!r} in {df.columns}")
@@ -108,11 +115,34 @@ def score_sentiment(
     if isinstance(scorer, Lexicon):
         each = F.transform(source, lambda one: sign(scorer.score(one)))
         return df.withColumn(SENTENCE_SCORES_COLUMN, each)
+    if by_rows:
+        pieces = df.select(*keys, F.posexplode(source).alias("pos", "sentence"))
+        return _score_by_rows(df, pieces, scorer, batching, signed, list(keys))
     logits = model_logits(scorer, source, level, batching)
     each = F.transform(logits, lambda one: S.let(S.softmax(one), signed))
     return df.withColumn(SENTENCE_SCORES_COLUMN, each)
 
 
+def _keep_null_arrays(grouped: DataFrame) -> DataFrame:
+    kept = F.when(F.col(SENTENCES_COLUMN).isNotNull(), F.col(SENTENCE_SCORES_COLUMN))
+    return grouped.withColumn(SENTENCE_SCORES_COLUMN, kept)
+
+
+def _score_by_rows(
+    df: DataFrame, pieces: DataFrame, scorer: Scorer, batching: str,
+    signed: Callable[[Column], Column], keys: list[str],
+) -> DataFrame:
+    if not keys:
+        raise ValueError("scoring by rows needs the key columns that identify a document")
+    spark = df.sparkSession
+    wanted = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pieces = pieces.repartition(wanted, *keys, "pos")
+    scored = pieces.withColumn("_logits", model_logits(scorer, F.col("sentence"), "document", batching))
+    scored = scored.withColumn("_probs", S.softmax(F.col("_logits"), len(scorer.labels)))
+    scored = scored.select(*keys, "pos", signed(F.col("_probs")).alias("_score"))
+    return _keep_null_arrays(regroup_sentences(df, scored, keys, "_score", SENTENCE_SCORES_COLUMN))
+
+
 def _score_with_table(
     df: DataFrame, text: str, lexicon: DataFrame, level: str,
     sign: Callable[[Column], Column], limited: Callable[[Column], Column], keys: list[str],
@@ -129,9 +159,7 @@ def _score_with_table(
     pieces = pieces.withColumn("sentence", limited(F.col("sentence")))
     scored = score_by_join(pieces, [*keys, "pos"], "sentence", lexicon, "_score")
     scored = scored.withColumn("_score", sign(F.col("_score")))
-    grouped = regroup_sentences(df, scored, keys, "_score", SENTENCE_SCORES_COLUMN)
-    kept = F.when(F.col(SENTENCES_COLUMN).isNotNull(), F.col(SENTENCE_SCORES_COLUMN))
-    return grouped.withColumn(SENTENCE_SCORES_COLUMN, kept)
+    return _keep_null_arrays(regroup_sentences(df, scored, keys, "_score", SENTENCE_SCORES_COLUMN))
 
 
 def ensemble_score(df: DataFrame, columns: Sequence[str], out: str = "ensemble_score") -> DataFrame:

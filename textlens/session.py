@@ -21,6 +21,7 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
         "spark.driver.host": "127.0.0.1",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("textlens")

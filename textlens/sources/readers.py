@@ -24,6 +24,12 @@ def read_csv(
     return reader.option("escape", '"').csv(path)
 
 
+def read_lexicon(spark: SparkSession, path: str, separator: str = "\t") -> DataFrame:
+    """A lexicon file of token and valence, further fields ignored; quotes are ordinary characters."""
+    reader = spark.read.schema("token string, valence double").option("sep", separator)
+    return reader.option("quote", "").option("mode", "PERMISSIVE").csv(path)
+
+
 def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 

@@ -37,6 +37,14 @@ def model_sentence_prob_diff(spark: SparkSession, sf: str) -> DataFrame:
     return exploded_scores(scored, ["doc_id"]).withColumn("score", rounded("score"))
 
 
+def model_sentence_by_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same scores with sentences, not documents, spread over the cluster."""
+    scored = score_sentiment(
+        documents(spark, sf), "text", SENTIMENT, score_mode="prob_diff", keys=["doc_id"], by_rows=True
+    )
+    return exploded_scores(scored, ["doc_id"]).withColumn("score", rounded("score"))
+
+
 def model_doc_signed(spark: SparkSession, sf: str) -> DataFrame:
     scored = score_sentiment(documents(spark, sf), "text", SENTIMENT, level="document")
     return scored.select("doc_id", rounded(DOC_SCORE_COLUMN).alias(DOC_SCORE_COLUMN))
@@ -124,6 +132,7 @@ _NAME = SQL_ROBERTA.format(id=_CLASS)
 _SENTENCES = f"""st AS (SELECT doc_id, unnest({sql_sentences()}) AS sentence,
     generate_subscripts({sql_sentences()}, 1)::BIGINT - 1 AS pos FROM documents),
     {sql_softmax('st', 'doc_id, pos', SENTIMENT_MARKERS, text='sentence')}"""
+_SENTENCE_DIFF = f"WITH {_SENTENCES} SELECT doc_id, pos, round(p2 - p0, 6) AS score FROM sm"
 _RAW = "'LABEL_' || " + sql_argmax(["l0", "l1", "l2"])
 _SCORED = f"""{SQL_LEXICON}, tok AS (SELECT doc_id, unnest({sql_tokens()}) AS token FROM documents),
     hits AS (SELECT doc_id, sum(valence) AS x FROM tok JOIN lex USING (token) GROUP BY doc_id),
@@ -135,10 +144,8 @@ QUERIES = {
         model_sentence_signed,
         f"WITH {_SENTENCES} SELECT doc_id, pos, round({sql_signed(_NAME, _TOP)}, 6) AS score FROM sm",
     ),
-    "model_sentence_prob_diff": (
-        model_sentence_prob_diff,
-        f"WITH {_SENTENCES} SELECT doc_id, pos, round(p2 - p0, 6) AS score FROM sm",
-    ),
+    "model_sentence_prob_diff": (model_sentence_prob_diff, _SENTENCE_DIFF),
+    "model_sentence_by_rows": (model_sentence_by_rows, _SENTENCE_DIFF),
     "model_doc_signed": (
         model_doc_signed,
         f"WITH {_DOCS} SELECT doc_id, round({sql_signed(_NAME, _TOP)}, 6) AS doc_sentiments FROM sm",
