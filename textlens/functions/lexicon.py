@@ -12,6 +12,7 @@ import json
 import math
 import zlib
 from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -33,6 +34,27 @@ def compound(valence_sum: Column, alpha: float = ALPHA, digits: int | None = COM
     return score if digits is None else F.round(score, digits)
 
 
+class InPlanTable:
+    """A lookup table that is a constant of the plan: string to a value of a SQL type."""
+
+    def __init__(self, entries: Mapping[str, Any], value_type: str):
+        self.entries, self.value_type = dict(entries), value_type
+        wanted = max(1, len(self.entries) // ENTRIES_PER_BUCKET)
+        self.buckets = 1 << (wanted - 1).bit_length()
+
+    def literal(self) -> Column:
+        slots: list[dict[str, Any]] = [{} for _ in range(self.buckets)]
+        for key, value in self.entries.items():
+            slots[zlib.crc32(key.encode()) % self.buckets][key] = value
+        # Parsed once while the plan is optimised; tasks receive the ready-made constant.
+        return F.from_json(F.lit(json.dumps(slots)), f"array<map<string,{self.value_type}>>")
+
+    def lookup(self, key: Column) -> Column:
+        """The value of a key, null when it is not in the table."""
+        slot = F.get(self.literal(), (F.crc32(key.cast("binary")) % self.buckets).cast("int"))
+        return F.try_element_at(slot, key)
+
+
 class Lexicon:
     """An in-plan lexicon: lower-case token to valence."""
 
@@ -44,8 +66,7 @@ class Lexicon:
         self.entries = {token.lower(): float(valence) for token, valence in entries.items()}
         if not all(math.isfinite(v) for v in self.entries.values()):
             raise ValueError("valences must be finite numbers")
-        wanted = max(1, len(self.entries) // ENTRIES_PER_BUCKET)
-        self.buckets = 1 << (wanted - 1).bit_length()
+        self.table = InPlanTable(self.entries, "double")
 
     @classmethod
     def from_table(
@@ -69,17 +90,9 @@ class Lexicon:
                 entries[word.lower()] = max(value, entries.get(word.lower(), value))
         return cls(entries, max_entries=max_entries)
 
-    def literal(self) -> Column:
-        slots: list[dict[str, float]] = [{} for _ in range(self.buckets)]
-        for token, valence in self.entries.items():
-            slots[zlib.crc32(token.encode()) % self.buckets][token] = valence
-        # Parsed once while the plan is optimised; tasks receive the ready-made constant.
-        return F.from_json(F.lit(json.dumps(slots)), "array<map<string,double>>")
-
     def valence(self, token: Column) -> Column:
         """Valence of one lower-case token, null when it is not in the lexicon."""
-        slot = F.get(self.literal(), (F.crc32(token.cast("binary")) % self.buckets).cast("int"))
-        return F.try_element_at(slot, token)
+        return self.table.lookup(token)
 
     def valence_sum(self, text: Column) -> Column:
         return F.aggregate(

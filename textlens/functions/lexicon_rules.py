@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, functions as F
 
-from textlens.functions.lexicon import Lexicon, MAX_INLINE_ENTRIES
+from textlens.functions.lexicon import InPlanTable, Lexicon, MAX_INLINE_ENTRIES
 from textlens.functions.scores import let
 from textlens.functions.text import ASCII_PUNCTUATION, WHITESPACE
 
@@ -73,81 +73,103 @@ def raw_words(text: Column) -> Column:
     return F.transform(F.split(F.btrim(text, F.lit(WHITESPACE)), r"\s+"), bare)
 
 
+def is_capital(word: Column) -> Column:
+    return (F.upper(word) == word) & (F.lower(word) != word)
+
+
+def has_stress(words: Column) -> Column:
+    """Capitals mean something only beside words that are not in capitals."""
+    return F.exists(words, is_capital) & F.exists(words, lambda word: ~is_capital(word))
+
+
 def marks(text: Column, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
 
+# Words the rules ask for by name, besides the word lists.
+NAMED = ("no", "or", "nor", "never", "so", "this", "without", "doubt", "least", "at", "very", "kind", "of")
+ENTRY_TYPE = "struct<low:string,valence:double,degree:double,negation:boolean>"
+
+
 class RuleLexicon(Lexicon):
-    """A lexicon scored with the rules; used like a ``Lexicon``."""
+    """A lexicon scored with the rules; used like a ``Lexicon``.
+
+    One table holds every word that matters to a rule, so each word of a text is looked up once.
+    Anything else is worked out only around the hits, and the capitals of the whole text only when
+    a hit or a degree word beside it is in capitals.
+    """
 
     def __init__(self, entries: Mapping[str, float], rules: Rules = Rules(), max_entries: int = MAX_INLINE_ENTRIES):
         super().__init__(entries, max_entries)
         self.rules = rules
-        self.degrees = Lexicon(rules.degrees)
-
-    def _described(self, word: Column) -> Column:
-        """What the rules need to know about one word."""
-        def about(low: Column) -> Column:
-            negation = low.isin(*self.rules.negations) | low.contains("n't")
-            return F.struct(
-                low.alias("low"), self.valence(low).alias("valence"), self.degrees.valence(low).alias("degree"),
-                negation.alias("negation"),
-                ((F.upper(word) == word) & (low != word)).alias("capital"),
-            )
+        phrased = {word for phrase in rules.weakening_phrases for word in phrase}
+        words = {*self.entries, *rules.degrees, *rules.negations, *NAMED, *phrased, rules.contrast}
+        self.known = InPlanTable(
+            {
+                word: {
+                    "low": word, "valence": self.entries.get(word), "degree": rules.degrees.get(word),
+                    "negation": word in rules.negations,
+                }
+                for word in words
+            },
+            ENTRY_TYPE,
+        )
 
-        return let(F.lower(word), about)
+    def _hit_valence(self, words: Column, known: Column, i: Column) -> Column:
+        """Valence of the i-th word, a hit, in the light of the three words before it."""
+        word, following = F.get(known, i), F.get(known, i + F.lit(1))
 
-    def _word_valence(self, words: Column, i: Column, word: Column, stressed: Column) -> Column:
-        """Valence of the i-th word in the light of the three words before it."""
-        before = [F.get(words, i - F.lit(d)) for d in (1, 2, 3)]
+        def back(d: int) -> Column:
+            return F.get(known, i - F.lit(d))
 
         def said(d: int, *options: str) -> Column:
-            return F.coalesce(before[d - 1]["low"].isin(*options), F.lit(False))
+            return F.coalesce(back(d)["low"].isin(*options), F.lit(False))
+
+        def negation(d: int) -> Column:
+            listed = F.coalesce(back(d)["negation"], F.lit(False))
+            return listed | F.lower(F.get(words, i - F.lit(d))).contains("n't")
 
-        def stress(value: Column, who: Column) -> Column:
-            capital = who["capital"] & stressed
-            return F.when(capital & (value > 0), F.lit(CAPITALS)).when(capital, F.lit(-CAPITALS)).otherwise(0.0)
+        def stress(value: Column, d: int) -> Column:
+            push = F.when(value > 0, F.lit(CAPITALS)).otherwise(F.lit(-CAPITALS))
+            stressed = F.when(has_stress(words), push).otherwise(0.0)
+            return F.when(is_capital(F.get(words, i - F.lit(d))), stressed).otherwise(0.0)
 
         def after_neighbour(value: Column, d: int) -> Column:
             """The neighbour d words back, unless it is a lexicon word itself."""
-            other = before[d - 1]
-
             def stepped(value: Column) -> Column:
                 # A degree word pushes away from zero when it strengthens, towards zero when not.
-                degree = F.when(value < 0, -other["degree"]).otherwise(other["degree"])
-                shift = F.when(other["degree"].isNotNull(), (degree + stress(value, other)) * DAMPING[d - 1])
-                return value + F.coalesce(shift, F.lit(0.0))
+                degree = F.when(value < 0, -back(d)["degree"]).otherwise(back(d)["degree"])
+                pushed = value + (degree + stress(value, d)) * DAMPING[d - 1]
+                return F.when(back(d)["degree"].isNull(), value).otherwise(pushed)
 
             if d == 1:
-                factor = F.when(other["negation"], NEGATED)
+                factor = F.when(negation(d), NEGATED)
             else:
                 between = ("so", "this")
                 emphatic = said(d, "never") & self._any(said(k, *between) for k in range(1, d))
                 doubtless = said(d, "without") & self._any(said(k, "doubt") for k in range(1, d))
-                factor = F.when(emphatic, NEVER_SO).when(doubtless, 1.0).when(other["negation"], NEGATED)
+                factor = F.when(emphatic, NEVER_SO).when(doubtless, 1.0).when(negation(d), NEGATED)
             changed = stepped(value) * factor.otherwise(1.0)
             if d == 3:
                 for first, second in self.rules.weakening_phrases:
-                    for place in (3, 2):
-                        found = said(place, first) & said(place - 1, second)
+                    for at in (3, 2):
+                        found = said(at, first) & said(at - 1, second)
                         changed = changed - F.when(found, DEGREE).otherwise(0.0)
-            return F.when(other.isNotNull() & other["valence"].isNull(), changed).otherwise(value)
+            return F.when((i >= d) & back(d)["valence"].isNull(), changed).otherwise(value)
 
-        following = F.get(words, i + F.lit(1))
-        announces = (word["low"] == "no") & F.coalesce(following["valence"].isNotNull(), F.lit(False))
+        announces = (word["low"] == "no") & following["valence"].isNotNull()
         refused = said(1, "no") | said(2, "no") | (said(3, "no") & said(1, "or", "nor"))
         value = F.when(announces, 0.0).otherwise(word["valence"])
         value = F.when(refused, word["valence"] * NEGATED).otherwise(value)
-        least = said(1, "least") & before[0]["valence"].isNull() & ~said(2, "at", "very")
+        least = said(1, "least") & back(1)["valence"].isNull() & ~said(2, "at", "very")
 
         scored = let(value, lambda v: let(
-            v + stress(v, word), lambda v: let(
+            v + stress(v, 0), lambda v: let(
                 after_neighbour(v, 1), lambda v: let(
                     after_neighbour(v, 2), lambda v: let(
                         after_neighbour(v, 3), lambda v: v * F.when(least, NEGATED).otherwise(1.0))))))
         hedge = (word["low"] == "kind") & F.coalesce(following["low"] == "of", F.lit(False))
-        silent = word["valence"].isNull() | word["degree"].isNotNull() | hedge
-        return F.when(silent, 0.0).otherwise(scored)
+        return F.when(word["degree"].isNotNull() | hedge, 0.0).otherwise(scored)
 
     @staticmethod
     def _any(conditions) -> Column:
@@ -157,32 +179,28 @@ class RuleLexicon(Lexicon):
         return first
 
     def valence_sum(self, text: Column) -> Column:
-        def over(words: Column) -> Column:
-            capitals = F.size(F.filter(words, lambda w: w["capital"]))
-            stressed = (capitals > 0) & (capitals < F.size(words))
-            turn = F.array_position(F.transform(words, lambda w: w["low"]), self.rules.contrast)
+        def over(words: Column, known: Column) -> Column:
+            places = F.transform(known, lambda k, i: F.when(k["valence"].isNotNull(), i))
+            turn = F.array_position(F.transform(known, lambda k: k["low"]), self.rules.contrast)
 
-            def weighted(turn: Column, stressed: Column) -> Column:
-                def one(word: Column, i: Column) -> Column:
+            def weighted(turn: Column) -> Column:
+                def one(i: Column) -> Column:
                     place = i + 1
                     weight = (
                         F.when((turn == 0) | (place == turn), 1.0)
                         .when(place < turn, BEFORE_CONTRAST).otherwise(AFTER_CONTRAST)
                     )
-                    return self._word_valence(words, i, word, stressed) * weight
+                    return self._hit_valence(words, known, i) * weight
 
-                return F.transform(words, one)
+                return F.transform(F.array_compact(places), one)
 
-            values = let(turn, lambda t: let(stressed, lambda s: weighted(t, s)))
-            return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
+            return F.aggregate(let(turn, weighted), F.lit(0.0), lambda total, v: total + v)
 
         questions = marks(text, "?")
         emphasis = F.least(marks(text, "!"), F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION + (
             F.when(questions > MAX_QUESTIONS, MANY_QUESTIONS)
             .when(questions > 1, questions * QUESTION).otherwise(0.0)
         )
-        described = F.transform(raw_words(text), self._described)
-        return let(
-            let(described, over),
-            lambda x: F.when(x > 0, x + emphasis).when(x < 0, x - emphasis).otherwise(x),
-        )
+        total = let(raw_words(text), lambda words: let(
+            F.transform(words, lambda word: let(F.lower(word), self.known.lookup)), lambda known: over(words, known)))
+        return let(total, lambda x: F.when(x > 0, x + emphasis).when(x < 0, x - emphasis).otherwise(x))

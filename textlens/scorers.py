@@ -47,21 +47,21 @@ class MarkerScorer:
     def logits(self, state: list[pa.Array], texts: pa.Array) -> np.ndarray:
         bare = pc.utf8_trim(pc.utf8_lower(texts), characters=ASCII_PUNCTUATION + WHITESPACE)
         words = pc.split_pattern_regex(bare, pattern=r"[[:punct:]]*\s+[[:punct:]]*")
-        flat, lengths = words.flatten(), pc.list_value_length(words).to_numpy()
-        owner = np.repeat(np.arange(len(lengths)), lengths)
-        counts = [
-            np.bincount(owner[pc.is_in(flat, value_set=marked).to_numpy(zero_copy_only=False)],
-                        minlength=len(lengths))
-            for marked in state
-        ]
-        return self.scale * (np.stack(counts, axis=1) / lengths[:, None])
+        flat, owner = words.flatten(), pc.list_parent_indices(words).to_numpy()
+
+        def per_text(chosen: pa.Array) -> np.ndarray:
+            return np.bincount(owner[chosen.to_numpy(zero_copy_only=False)], minlength=len(texts))
+
+        counts = [per_text(pc.is_in(flat, value_set=marked)) for marked in state]
+        total = np.maximum(per_text(pc.not_equal(flat, "")), 1)
+        return self.scale * (np.stack(counts, axis=1) / total[:, None])
 
     def column(self, text: Column) -> Column:
         every = sorted({word for words in self.markers.values() for word in words})
 
         def share(words: Column, hits: Column, label: str) -> Column:
             own = F.filter(hits, lambda word: word.isin(*self.markers[label]))
-            return F.size(own) / F.size(words) * F.lit(float(self.scale))
+            return F.size(own) / F.greatest(F.size(words), F.lit(1)) * F.lit(float(self.scale))
 
         def shares(words: Column) -> Column:
             marked = F.filter(words, lambda word: word.isin(*every))

@@ -103,10 +103,7 @@ _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
 def sql_tokens(text: str = "text") -> str:
-    return (
-        f"string_split_regex(trim(lower({text}), '{_PUNCT}' || {_WS}), "
-        r"'[[:punct:]]*\s+[[:punct:]]*')"
-    )
+    return rf"regexp_extract_all(lower({text}), '[^\s[:punct:]]+(?:[[:punct:]]+[^\s[:punct:]]+)*')"
 
 
 def sql_sentences(text: str = "text") -> str:
@@ -129,7 +126,7 @@ SQL_LEXICON = f"lex AS (SELECT * FROM {sql_values(list(LEXICON.items()), 'token,
 def sql_logits(markers: dict, tk: str = "tk", scale: float = SCALE) -> list[str]:
     def one(words) -> str:
         listed = ", ".join(f"'{w}'" for w in words)
-        return f"(len(list_filter({tk}, lambda w: w IN ({listed}))) / len({tk})) * {scale}::DOUBLE"
+        return f"(len(list_filter({tk}, lambda w: w IN ({listed}))) / greatest(len({tk}), 1)) * {scale}::DOUBLE"
 
     return [one(words) for words in markers.values()]
 
