@@ -2,7 +2,7 @@
 
 Tokens become rows, meet the lexicon in an equi-join and collapse again to one number per text.
 While the measured size of the lexicon allows, it is broadcast: tokens then never move, and only a
-key and a partial sum per text do. Beyond that both sides are shuffled by token. A frequent word
+key and a partial sum per text and task do. Beyond that both sides are shuffled by token. A frequent word
 would send a large part of all rows to one task, so the tokens are spread over ``salts`` copies of
 each lexicon row.
 """
@@ -45,14 +45,16 @@ def score_by_join(
     """
     keys = list(keys)
     entries = lexicon.groupBy(F.lower("token").alias("token")).agg(F.max("valence").alias("valence"))
-    words = texts.select(*keys, F.explode(tokens(text)).alias("token"))
+    # A text without words keeps one row, so that the sums below cover every key in one scan.
+    # What else is needed is worked out before, so that the text is not carried along per word.
+    words = texts.select(*keys, F.col(text).isNotNull().alias("_has_text"), tokens(text).alias("_words"))
+    words = words.select(*keys, "_has_text", F.explode_outer("_words").alias("token"))
     if lexicon_bytes(lexicon) <= max_broadcast_bytes:
-        hits = words.join(F.broadcast(entries), "token")
+        hits = words.join(F.broadcast(entries), "token", "left")
     else:
         words = words.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
         copies = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        hits = words.join(copies.hint("merge"), ["token", "_salt"])
-    sums = hits.groupBy(*keys).agg(F.sum("valence").alias("_sum"))
-    kept = texts.select(*keys, F.col(text).isNotNull().alias("_has_text"))
+        hits = words.join(copies.hint("merge"), ["token", "_salt"], "left")
+    sums = hits.groupBy(*keys).agg(F.sum("valence").alias("_sum"), F.max("_has_text").alias("_has_text"))
     total = F.when(F.col("_has_text"), F.coalesce("_sum", F.lit(0.0)))
-    return kept.join(sums, keys, "left").select(*keys, compound(total, alpha, digits).alias(out))
+    return sums.select(*keys, compound(total, alpha, digits).alias(out))

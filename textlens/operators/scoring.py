@@ -14,6 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 import textlens
+from textlens.operators.small_tables import broadcast_if_small
 from textlens.scorers import Scorer
 
 # Texts per model call in each batch mode; None hands over whole Arrow batches.
@@ -100,10 +101,11 @@ def map_labels(
 ) -> DataFrame:
     """Canonical label by join with a ``(model, raw_label, label)`` table.
 
-    Labels without an entry pass through. No hint: the map is small in practice and Spark
-    broadcasts it by its known size; a large one is shuffled instead.
+    Labels without an entry pass through. A map of checked size is broadcast; with a larger one the
+    join is shuffled, and AQE splits the partitions of frequent labels.
     """
-    entries = label_map.select(
+    known = broadcast_if_small(label_map)
+    entries = (label_map if known is None else known).select(
         F.col("model").alias("_model"), F.col("raw_label").alias("_raw"), F.col("label").alias("_mapped")
     )
     same = (F.lower(F.col(model)) == F.col("_model")) & (F.col(raw) == F.col("_raw"))

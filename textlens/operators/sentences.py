@@ -65,7 +65,8 @@ def regroup_sentences(
     arrays = arrays.select(*keys, F.col("_pairs.value").alias(out))
     element = values.schema[value].dataType.simpleString()
     empty = F.array().cast(f"array<{element}>")
-    return df.join(arrays, list(keys), "left").withColumn(out, F.coalesce(F.col(out), empty))
+    # Both sides have a row per document, so neither is ever worth a broadcast.
+    return df.join(arrays.hint("merge"), list(keys), "left").withColumn(out, F.coalesce(F.col(out), empty))
 
 
 def spread(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textlens.operators.labels import MAX_LOCAL_CLASSES
+from textlens.operators.small_tables import broadcast_if_small
 from textlens.session import ensure_checkpoint_dir
 
 SEED = 42
@@ -46,14 +47,12 @@ def _settled(table: DataFrame, max_local: int) -> tuple[DataFrame, int]:
 
     Also returns the largest bucket it names, if it names any.
     """
-    head = table.limit(max_local + 1).collect()
-    if len(head) <= max_local:
-        largest = max((row["_rows"] for row in head), default=0) if "_rows" in table.columns else 0
-        return F.broadcast(table.sparkSession.createDataFrame(head, table.schema)), largest
-    ensure_checkpoint_dir(table.sparkSession)
-    stored = table.checkpoint()
-    largest = stored.agg(F.max("_rows")).first()[0] if "_rows" in table.columns else 0
-    return stored, largest
+    settled = broadcast_if_small(table, max_local)
+    if settled is None:
+        ensure_checkpoint_dir(table.sparkSession)
+        settled = table.checkpoint()
+    largest = settled.agg(F.max("_rows")).first()[0] if "_rows" in table.columns else 0
+    return settled, largest or 0
 
 
 def _prefix(digits: int) -> Column:

@@ -153,7 +153,7 @@ def _score_with_table(
         scored = score_by_join(
             df.select(*keys, limited(F.col(text)).alias("_text")), keys, "_text", lexicon, "_score"
         )
-        joined = df.join(scored, keys, "left")
+        joined = df.join(scored.hint("merge"), keys, "left")
         return joined.withColumn(DOC_SCORE_COLUMN, sign(F.col("_score"))).drop("_score")
     pieces = df.select(*keys, F.posexplode(SENTENCES_COLUMN).alias("pos", "sentence"))
     pieces = pieces.withColumn("sentence", limited(F.col("sentence")))
