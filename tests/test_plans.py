@@ -44,8 +44,26 @@ def test_pruning_and_pushdown_through_scoring(docs):
     assert "source" not in text.split("ReadSchema")[1].splitlines()[0]
 
 
-def test_unused_scores_are_not_computed(docs):
-    assert "Arrow" not in plan(score_sentiment(docs, "text", MODEL, level="document").select("doc_id"))
+def test_unused_plain_scores_are_not_computed(docs):
+    scored = score_sentiment(docs, "text", MODEL, level="document", once=False)
+    assert "Arrow" not in plan(scored.select("doc_id"))
+
+
+@pytest.mark.parametrize("level", ["sentence", "document"])
+def test_a_filter_on_scores_does_not_run_the_model_again(docs, level):
+    name = "doc_sentiments" if level == "document" else "sentence_sentiments_lst"
+    positive = "doc_sentiments > 0.1" if level == "document" else "sentence_sentiments_lst[0] > 0.1"
+    scored = score_sentiment(docs, "text", MODEL, level=level, score_mode="prob_diff")
+    text = plan(scored.where(positive).where("lang = 'en'").select("doc_id", name))
+    assert text.count("+- ArrowEvalPython") == 1 and "EqualTo(lang,en)" in text
+
+
+@pytest.mark.parametrize("level", ["sentence", "document"])
+def test_a_filter_on_lexicon_scores_does_not_score_again(docs, level):
+    scored = score_sentiment(docs, "text", LEXICON, level=level)
+    positive = F.col("doc_sentiments") > 0 if level == "document" else F.size("sentence_sentiments_lst") > 3
+    text = plan(scored.where(positive).select("doc_id"))
+    assert text.count("regexp_extract_all") == plan(scored.select("doc_id")).count("regexp_extract_all")
 
 
 def test_sentence_rows_score_each_sentence_once(docs):

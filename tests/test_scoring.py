@@ -205,6 +205,13 @@ def test_onnx_model(spark, onnx):
     assert column(scored, "sentence_sentiments_lst")[1][0] > 0
 
 
+def test_wrong_number_of_classes_is_noticed(spark, onnx):
+    onnx.labels = ("LABEL_0", "LABEL_1")
+    df = spark.createDataFrame([("good",)], "text string")
+    with pytest.raises(Exception, match="the scorer returned"):
+        df.select(model_logits(onnx, F.col("text"))).collect()
+
+
 def test_onnx_settings_are_checked():
     with pytest.raises(ValueError):
         OnnxScorer("m", "t", ("a",), batch_size=0)

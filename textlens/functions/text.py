@@ -6,8 +6,6 @@ that take part in whole-stage code generation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, functions as F
 
 # Fixed values.

@@ -54,7 +54,10 @@ def _scoring_function(scorer: Scorer, size: int | None, nested: bool):
     def in_slices(state: Any, texts: pa.Array) -> np.ndarray:
         step = size or max(1, len(texts))
         parts = [scorer.logits(state, texts.slice(i, step)) for i in range(0, len(texts), step)]
-        return np.concatenate(parts) if parts else np.zeros((0, classes))
+        scores = np.concatenate(parts) if parts else np.zeros((0, classes))
+        if scores.shape != (len(texts), classes):
+            raise ValueError(f"the scorer returned {scores.shape}, not {(len(texts), classes)}")
+        return scores
 
     def rows(state: Any, texts: pa.Array) -> pa.Array:
         """Class scores as a list array; null texts give null lists."""
@@ -96,6 +99,17 @@ def model_logits(scorer: Scorer, texts: Column, level: str = "document", mode: s
     return F.arrow_udf(function, kind)(texts)
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Append a costly column that no later filter can make Spark compute a second time.
+
+    A filter on a plain computed column is copied below it together with the computation. Here the
+    value is the single row of a generator: filters on other columns still pass below it, filters
+    on the value stay above. In return the value is computed even if nothing reads it.
+    """
+    once = df.select("*", F.inline(F.array(F.struct(value.alias("_once")))))
+    return once.withColumn(name, F.col("_once")).drop("_once")
+
+
 def map_labels(
     df: DataFrame, label_map: DataFrame, model: str, raw: str, out: str = "label"
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from textlens.functions import scores as S
 from textlens.functions.lexicon import MAX_INLINE_ENTRIES, Lexicon
 from textlens.functions.text import SENTENCE_BOUNDARY, sentences, truncate_tokens
 from textlens.operators.lexicon_join import score_by_join
-from textlens.operators.scoring import batch_size, model_logits
+from textlens.operators.scoring import batch_size, computed_once, model_logits
 from textlens.operators.sentences import (
     DOC_SCORE_COLUMN,
     SENTENCE_SCORES_COLUMN,
@@ -61,6 +61,7 @@ def score_sentiment(
     negative: int = 0,
     max_inline: int = MAX_INLINE_ENTRIES,
     by_rows: bool = False,
+    once: bool = True,
 ) -> DataFrame:
     """Append sentiment to a table of texts; lazy, and every argument is checked first.
 
@@ -72,7 +73,8 @@ def score_sentiment(
 
     ``by_rows`` (sentence level, model scorer, needs ``keys``) spreads the sentences themselves over
     the cluster. It pays a shuffle so that a costly model is not held up by the tasks that happen
-    to hold the long documents.
+    to hold the long documents. ``once`` keeps filters on the scores from computing them twice;
+    without it they are plain columns, which Spark also drops when nothing reads them.
     """
     if level not in LEVELS:
         raise ValueError(f"unknown level {level!r}; known: {LEVELS}")
@@ -88,6 +90,9 @@ def score_sentiment(
     def sign(score: Column) -> Column:
         return S.let(score, S.binarize) if binarize else score
 
+    def append(table: DataFrame, name: str, value: Column) -> DataFrame:
+        return computed_once(table, name, value) if once else table.withColumn(name, value)
+
     def signed(probabilities: Column) -> Column:
         return sign(polarity(probabilities, scorer.labels, model, score_mode, positive, negative))
 
@@ -104,8 +109,8 @@ def score_sentiment(
     if level == "document":
         source = limited(F.col(text))
         if isinstance(scorer, Lexicon):
-            return df.withColumn(DOC_SCORE_COLUMN, sign(scorer.score(source)))
-        df = df.withColumn("_logits", model_logits(scorer, source, level, batching))
+            return append(df, DOC_SCORE_COLUMN, sign(scorer.score(source)))
+        df = append(df, "_logits", model_logits(scorer, source, level, batching))
         df = df.withColumn("_probs", S.softmax(F.col("_logits"), len(scorer.labels)))
         return df.withColumn(DOC_SCORE_COLUMN, signed(F.col("_probs"))).drop("_logits", "_probs")
 
@@ -114,13 +119,13 @@ def score_sentiment(
         source = F.transform(source, limited)
     if isinstance(scorer, Lexicon):
         each = F.transform(source, lambda one: sign(scorer.score(one)))
-        return df.withColumn(SENTENCE_SCORES_COLUMN, each)
+        return append(df, SENTENCE_SCORES_COLUMN, each)
     if by_rows:
         pieces = df.select(*keys, F.posexplode(source).alias("pos", "sentence"))
         return _score_by_rows(df, pieces, scorer, batching, signed, list(keys))
-    logits = model_logits(scorer, source, level, batching)
-    each = F.transform(logits, lambda one: S.let(S.softmax(one), signed))
-    return df.withColumn(SENTENCE_SCORES_COLUMN, each)
+    df = append(df, "_logits", model_logits(scorer, source, level, batching))
+    each = F.transform("_logits", lambda one: S.let(S.softmax(one), signed))
+    return df.withColumn(SENTENCE_SCORES_COLUMN, each).drop("_logits")
 
 
 def _keep_null_arrays(grouped: DataFrame) -> DataFrame:

@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textlens import TextClassifier
 from textlens.functions import text as X
-from textlens.functions.scores import percent_text
 from textlens.operators import metrics as M
 from textlens.operators import report as R
 from textlens.operators.labels import class_count, fit_label_index
 from textlens.operators.split import stratified_split as split
-from textlens.session import shared_path
 from workload.common import (
     PHASE_EPOCHS, SQL_DIM, SQL_EPOCH_GRID, SQL_EPOCH_PRED, SQL_GROUPS, SQL_PRED, SQL_SPLIT, DIGITS,
     documents, epoch_predictions, language_index, language_predictions, rounded, sql_averages,

@@ -11,7 +11,7 @@ from textlens.session import shared_path
 from textlens.sources.readers import inline_table as inline, read_csv, read_parquet
 from textlens.sources.sinks import materialise, read_runs
 from workload.common import (
-    SQL_LEXICON, documents, lexicon, rounded, sql_sentences, sql_tokens, table,
+    SQL_LEXICON, documents, lexicon, sql_sentences, sql_tokens, table,
 )
 
 PART_SCHEMA = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -109,7 +109,7 @@ def input_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def repartition_plan(spark: SparkSession, sf: str) -> DataFrame:
-    docs = repartition_by_rows(documents(spark, sf), ["doc_id"], rows_per_partition=100)
+    docs = repartition_by_rows(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
     return add_sentence_count(add_sentences(docs, "text")).select("doc_id", "sentence_count")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textlens import score_sentiment
 from textlens.functions import text as X
@@ -10,7 +10,7 @@ from textlens.functions.lexicon_rules import RuleLexicon, Rules
 from textlens.functions.scores import binarize
 from textlens.operators.lexicon_join import score_by_join
 from textlens.operators.sentences import (
-    DOC_SCORE_COLUMN, SENTENCE_SCORES_COLUMN, add_sentence_count, add_sentences, explode_sentences,
+    DOC_SCORE_COLUMN, add_sentence_count, add_sentences, explode_sentences,
     regroup_sentences, sentence_rows,
 )
 from textlens.session import shared_path
