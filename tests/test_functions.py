@@ -155,6 +155,12 @@ def test_published_rule_scores(spark):
     assert got == [score for _, score in rows]
 
 
+def test_capitals_mean_nothing_in_a_text_of_capitals(spark):
+    rows = [("VERY GOOD BOOK",), ("VERY GOOD book",), ("GOOD 1 BOOK",)]
+    got = values(spark, rows, "t string", RuleLexicon(WORDS).valence_sum(F.col("t")))
+    assert got == pytest.approx([1.9 + 0.293, 1.9 + 0.733 + 0.293 + 0.733, 1.9 + 0.733])
+
+
 def test_rules_contrast_and_refusal(spark):
     plain = RuleLexicon(WORDS, Rules(contrast="however"))
     got = values(spark, [("good but bad",)], "t string", plain.valence_sum(F.col("t")))

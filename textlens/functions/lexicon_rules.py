@@ -77,11 +77,6 @@ def is_capital(word: Column) -> Column:
     return (F.upper(word) == word) & (F.lower(word) != word)
 
 
-def has_stress(words: Column) -> Column:
-    """Capitals mean something only beside words that are not in capitals."""
-    return F.exists(words, is_capital) & F.exists(words, lambda word: ~is_capital(word))
-
-
 def marks(text: Column, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
@@ -95,8 +90,7 @@ class RuleLexicon(Lexicon):
     """A lexicon scored with the rules; used like a ``Lexicon``.
 
     One table holds every word that matters to a rule, so each word of a text is looked up once.
-    Anything else is worked out only around the hits, and the capitals of the whole text only when
-    a hit or a degree word beside it is in capitals.
+    Anything else is worked out only around the hits.
     """
 
     def __init__(self, entries: Mapping[str, float], rules: Rules = Rules(), max_entries: int = MAX_INLINE_ENTRIES):
@@ -115,8 +109,11 @@ class RuleLexicon(Lexicon):
             ENTRY_TYPE,
         )
 
-    def _hit_valence(self, words: Column, known: Column, i: Column) -> Column:
-        """Valence of the i-th word, a hit, in the light of the three words before it."""
+    def _hit_valence(self, words: Column, known: Column, i: Column, mixed: Column) -> Column:
+        """Valence of the i-th word, a hit, in the light of the three words before it.
+
+        ``mixed``: the text has words that are not in capitals, so that capitals mean something.
+        """
         word, following = F.get(known, i), F.get(known, i + F.lit(1))
 
         def back(d: int) -> Column:
@@ -131,7 +128,7 @@ class RuleLexicon(Lexicon):
 
         def stress(value: Column, d: int) -> Column:
             push = F.when(value > 0, F.lit(CAPITALS)).otherwise(F.lit(-CAPITALS))
-            stressed = F.when(has_stress(words), push).otherwise(0.0)
+            stressed = F.when(mixed, push).otherwise(0.0)
             return F.when(is_capital(F.get(words, i - F.lit(d))), stressed).otherwise(0.0)
 
         def after_neighbour(value: Column, d: int) -> Column:
@@ -183,18 +180,21 @@ class RuleLexicon(Lexicon):
             places = F.transform(known, lambda k, i: F.when(k["valence"].isNotNull(), i))
             turn = F.array_position(F.transform(known, lambda k: k["low"]), self.rules.contrast)
 
-            def weighted(turn: Column) -> Column:
+            mixed = F.exists(words, lambda word: ~is_capital(word))
+
+            def weighted(turn: Column, mixed: Column) -> Column:
                 def one(i: Column) -> Column:
                     place = i + 1
                     weight = (
                         F.when((turn == 0) | (place == turn), 1.0)
                         .when(place < turn, BEFORE_CONTRAST).otherwise(AFTER_CONTRAST)
                     )
-                    return self._hit_valence(words, known, i) * weight
+                    return self._hit_valence(words, known, i, mixed) * weight
 
                 return F.transform(F.array_compact(places), one)
 
-            return F.aggregate(let(turn, weighted), F.lit(0.0), lambda total, v: total + v)
+            values = let(turn, lambda t: let(mixed, lambda m: weighted(t, m)))
+            return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
 
         questions = marks(text, "?")
         emphasis = F.least(marks(text, "!"), F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION + (
