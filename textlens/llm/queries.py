@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlens.llm import quality
+from textlens.llm import lm, quality, secrets, sharding, substring
 from textlens.llm.words import table
 
 
@@ -13,6 +13,40 @@ def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(docs).drop("text")
 
 
+def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("held_out", lm.held_out())
+    scored = lm.score(docs, F.col("held_out"), ["doc_id", "text"])
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    placed = sharding.shard_rows(sharding.document_keys(table(spark, sf, "documents")))
+    return placed.drop("row_number").withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    done = substring.remove_repeats(docs)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"))
+
+
+def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
+    scanned = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    count = lambda rank: F.size(F.filter("base_spans", lambda s: s["rank"] == rank)).cast("bigint")
+    return scanned.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality.oracle_sql()),
+    "op2_lm_scoring": (op2_lm_scoring, None),
+    "op3_sharding": (op3_sharding, sharding.oracle_sql()),
+    "op4_substring_dedup": (op4_substring_dedup, substring.oracle_sql()),
+    "op7_secret_scans": (op7_secret_scans, None),
 }
