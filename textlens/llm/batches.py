@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 BATCH = "__batch"
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20
 
 
 def text_bytes(docs: DataFrame, text: str) -> int:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlens.llm import lm, quality, secrets, sharding, substring
+from textlens.llm import bpe, decontaminate, lm, near_dup, quality, secrets, sharding, substring
 from textlens.llm.words import table
 
+RANKS = "byte_bpe_50k.tiktoken"
+
 
 def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -30,6 +33,27 @@ def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"))
 
 
+def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    classes = near_dup.Groups(table(spark, sf, "documents").select("doc_id", "text")).classes()
+    return classes.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"), "group_size")
+
+
+def tokenizer(docs: DataFrame) -> bpe.ByteBPE:
+    """The public byte-level tokenizer, with the frequent words of ``docs``."""
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    return bpe.ByteBPE(ranks, public_tokenizers.PATTERN).with_frequent(docs)
+
+
+def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return bpe.add_ids(docs, tokenizer(docs)).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     scanned = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
     count = lambda rank: F.size(F.filter("base_spans", lambda s: s["rank"] == rank)).cast("bigint")
@@ -43,10 +67,17 @@ def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality.oracle_sql()),
     "op2_lm_scoring": (op2_lm_scoring, None),
     "op3_sharding": (op3_sharding, sharding.oracle_sql()),
     "op4_substring_dedup": (op4_substring_dedup, substring.oracle_sql()),
+    "op5_near_dedup": (op5_near_dedup, near_dup.oracle_sql()),
+    "op6_byte_bpe": (op6_byte_bpe, None),
     "op7_secret_scans": (op7_secret_scans, None),
+    "op10_decontamination": (op10_decontamination, None),
 }

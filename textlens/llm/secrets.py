@@ -89,7 +89,7 @@ def _term(count: Column) -> Column:
 
 
 def _occurrences(window: Column, character: Column) -> Column:
-    return F.length(window) - F.length(F.replace(window, character, F.lit("")))
+    return F.size(F.filter(window, lambda c: c == character))
 
 
 def _hot(candidate: Column, bits: float) -> Column:
@@ -99,12 +99,12 @@ def _hot(candidate: Column, bits: float) -> Column:
     """
     most = (math.log2(WINDOW) - bits) * WINDOW + 1e-9
 
-    def step(acc: Column, i: Column) -> Column:
+    def step(chars: Column, acc: Column, i: Column) -> Column:
         # 1-based positions: character i enters, character i - WINDOW leaves.
-        left = F.when(i > WINDOW, F.substring(candidate, i - WINDOW, F.lit(1)))
-        kept = F.substring(candidate, F.greatest(i - WINDOW + 1, F.lit(1)), F.least(i - 1, F.lit(WINDOW - 1)))
-        entered = F.substring(candidate, i, F.lit(1))
-        gone = F.coalesce(let(_occurrences(kept, left), lambda c: _term(c) - _term(c + 1)), F.lit(0.0))
+        left = F.get(chars, i - (WINDOW + 1))
+        kept = F.slice(chars, F.greatest(i - (WINDOW - 1), F.lit(1)), F.least(i - 1, F.lit(WINDOW - 1)))
+        entered = F.get(chars, i - 1)
+        gone = F.when(i > WINDOW, let(_occurrences(kept, left), lambda c: _term(c) - _term(c + 1))).otherwise(F.lit(0.0))
         come = let(_occurrences(kept, entered), lambda c: _term(c + 1) - _term(c))
         return let(
             acc["s"] + gone + come,
@@ -119,7 +119,10 @@ def _hot(candidate: Column, bits: float) -> Column:
         )
 
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("first"), F.lit(-1).alias("last"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), zero, step)
+    return let(
+        F.split(candidate, ""),
+        lambda chars: F.aggregate(F.sequence(F.lit(1), F.length(candidate)), zero, lambda acc, i: step(chars, acc, i)),
+    )
 
 
 def _entropy(text: Column, known: Column) -> Column:

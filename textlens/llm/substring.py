@@ -3,7 +3,7 @@
 Fixed-block anchors. Every document is cut into non-overlapping reference blocks of
 ``(window + 1) // 2`` words; any window of ``window`` words holds one of them whole. All rolling
 block-sized windows probe the index of reference blocks. A hit at two places marks the windows
-around it as candidates; candidates are compared whole, by 128-bit hashes, and the runs of windows
+around it as candidates; candidates are compared whole, by 96-bit hashes, and the runs of windows
 that start earlier somewhere else are the maximal exact repeats, which are cut out.
 
 No pair of places is ever formed: a key meets each batch of documents once (``batches``), and what
@@ -154,7 +154,7 @@ def candidates(window: int, block: int, buckets: int, id_column: str, text: str)
         w = _Windows(texts, window, seeds=2)
         at = begins[w.doc] + w.pos
         near = hit[at + window - block + 1] > hit[at]
-        h1, h2, doc = w.hashes[0][near], w.hashes[1][near], ids[w.doc[near]]
+        h1, h2, doc = w.hashes[0][near], (w.hashes[1][near] >> np.uint64(32)).astype(np.uint32), ids[w.doc[near]]
         order = np.lexsort((doc, h2, h1))
         h1, h2, doc = h1[order], h2[order], doc[order]
         new = np.ones(len(h1), bool)
@@ -162,7 +162,9 @@ def candidates(window: int, block: int, buckets: int, id_column: str, text: str)
         h1, h2, doc = h1[new], h2[new], doc[new]
         rows = []
         for bucket, a, b in B.bucket_bounds(h1, buckets):
-            body = np.int64(b - a).tobytes() + h2[a:b].tobytes() + doc[a:b].tobytes()
+            least = doc[a:b].min()
+            ids_ = B.pack_counts((doc[a:b] - least).view(np.uint64))
+            body = np.array([b - a, least, len(ids_)], np.int64).tobytes() + h2[a:b].tobytes() + ids_
             rows.append((bucket, _batch_of(docs), body + B.pack(h1[a:b])))
         return _sent(rows)
 
@@ -181,10 +183,11 @@ def owners(table: pa.Table) -> pa.Table:
     batch, bucket = table[B.BATCH].to_pylist(), table["bucket"][0].as_py()
     h1, h2, doc, of = [], [], [], []
     for i, blob in enumerate(table["keys"].to_pylist()):
-        n = int(np.frombuffer(blob[:8], np.int64)[0])
-        h2.append(np.frombuffer(blob[8 : 8 + 8 * n], np.uint64))
-        doc.append(np.frombuffer(blob[8 + 8 * n : 8 + 16 * n], np.int64))
-        h1.append(B.unpack(blob[8 + 16 * n :]))
+        n, least, size = np.frombuffer(blob[:24], np.int64)
+        at = 24 + 4 * n
+        h2.append(np.frombuffer(blob[24:at], np.uint32))
+        doc.append(B.unpack_counts(blob[at : at + size]).view(np.int64) + least)
+        h1.append(B.unpack(blob[at + size :]))
         of.append(np.full(n, batch[i], np.int32))
     h1, h2, doc, of = (np.concatenate(x) for x in (h1, h2, doc, of))
     order = np.lexsort((of, doc, h2, h1))

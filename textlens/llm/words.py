@@ -18,6 +18,8 @@ STEP_BYTES = 2 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03))
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# For comparisons that ignore punctuation: every ASCII byte that is no letter or digit separates.
+_IS_MARK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def words(text: Column | str) -> Column:
@@ -62,17 +64,18 @@ def _cached_powers(base: np.uint64, n: int) -> np.ndarray:
     return _CACHED[key]
 
 
-def flat_words(texts: list[bytes], seeds: int = 1, lower: bool = False):
+def flat_words(texts: list[bytes], seeds: int = 1, lower: bool = False, marks: bool = False):
     """Words of several texts at once: (starts, ends, counts per text, a hash array per seed, bytes).
 
     The hash of a word is a polynomial over its bytes modulo 2^64, read off prefix sums, so no
-    Python object exists per word. ``lower`` folds A-Z before anything else.
+    Python object exists per word. ``lower`` folds A-Z before anything else;
+    ``marks`` splits at ASCII punctuation as well.
     """
     data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     if lower:
         capital = (data >= 65) & (data <= 90)
         data = np.where(capital, data + 32, data).astype(np.uint8)
-    space = _IS_SPACE[data]
+    space = (_IS_MARK if marks else _IS_SPACE)[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
     # Runs alternate: a word starts where a space ends.
     starts, ends = edges[0::2], edges[1::2]
