@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlens.llm import bpe, decontaminate, lm, near_dup, quality, secrets, sharding, substring
+from textlens.llm import bpe, decontaminate, lm, near_dup, quality, secrets, sharding, substring, toxicity
 from textlens.llm.words import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -67,6 +67,13 @@ def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    judge = toxicity.fit(docs, table(spark, sf, "labels"), ~toxicity.held_out())
+    scored = judge.score(docs).withColumn("held_out", toxicity.held_out())
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -79,5 +86,6 @@ QUERIES = {
     "op5_near_dedup": (op5_near_dedup, near_dup.oracle_sql()),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op7_secret_scans": (op7_secret_scans, None),
+    "op9_toxicity": (op9_toxicity, None),
     "op10_decontamination": (op10_decontamination, None),
 }
