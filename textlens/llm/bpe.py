@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with higher-order functions.
 
 A text is cut by the tokenizer's pattern; every piece is a word. A word is encoded by a fold over its bytes:
-find the adjacent pair of lowest rank, merge all its occurrences from left to right, until no pair has a rank.
-Ranks are a literal map of the plan. Bytes are held as hexadecimal text, which concatenates like the bytes do.
+find the adjacent pair of lowest rank, the leftmost of equals, merge it, until no pair has a rank. Ranks are
+a literal map of the plan. Bytes are held as hexadecimal text, which concatenates like the bytes do.
 
 Words that are tokens themselves need no fold. The ``FREQUENT`` most frequent of the others, counted over all
 documents, are folded once and travel as a second literal map; the remaining occurrences are folded where
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from textlens.functions.lexicon import InPlanTable
 from textlens.functions.scores import let
 
-FREQUENT = 50_000
+FREQUENT = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -32,6 +32,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def _lookup(table: Column, of: InPlanTable, key: Column) -> Column:
+    """Value of a key in the bound literal of an in-plan table."""
+    return F.try_element_at(F.get(table, (F.crc32(key.cast("binary")) % of.buckets).cast("int")), key)
+
+
 class ByteBPE:
     """An encoder for the ranks and the pattern of a public tokenizer."""
 
@@ -49,72 +54,70 @@ class ByteBPE:
         pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
         return F.transform(pieces, lambda p: F.hex(p.cast("binary")))
 
-    def _merge(self, parts: Column) -> Column:
-        """(parts, done) after merging all occurrences of the pair of lowest rank."""
-        joined = lambda i: F.concat(F.get(parts, i), F.get(parts, i + 1))
-        ranks = F.transform(F.sequence(F.lit(0), F.size(parts) - 2), lambda i: self.ranks.lookup(joined(i)))
-
-        def merged(r: Column, best: Column) -> Column:
-            first = lambda i: F.coalesce(F.get(r, i) == best, F.lit(False))
-            crowded = F.exists(F.sequence(F.lit(0), F.size(r) - 1), lambda i: first(i) & first(i + 1))
-            apart = F.filter(
-                F.transform(parts, lambda p, i: F.when(first(i), joined(i)).when(~first(i - 1), p)), lambda p: p.isNotNull()
+    def fold(self, word: Column, table: Column) -> Column:
+        """Ids of one hexadecimal word by ranked merges; ``table`` holds the rank map."""
+
+        def rank(left: Column, right: Column) -> Column:
+            return F.when(left.isNotNull() & right.isNotNull(), _lookup(table, self.ranks, F.concat(left, right)))
+
+        def merge(state: Column, k: Column) -> Column:
+            # Pair k is merged; only the two ranks beside it are looked up again.
+            parts, ranks, n = state["parts"], state["ranks"], F.size(state["parts"])
+            none = F.array().cast("array<int>")
+            beside = lambda m: F.concat(
+                F.slice(ranks, F.lit(1), F.greatest(k - 2, F.lit(0))),
+                F.when(k > 1, F.array(rank(F.get(parts, k - 2), m))).otherwise(none),
+                F.when(k + 1 < n, F.array(rank(m, F.get(parts, k + 1)))).otherwise(none),
+                F.slice(ranks, k + 2, n),
             )
-            # Occurrences that overlap, as in a run of one letter: the left one wins.
-            start = F.struct(F.lit(False).alias("skip"), F.array().cast("array<string>").alias("out"))
-            in_turn = F.aggregate(
-                F.sequence(F.lit(0), F.size(parts) - 1),
-                start,
-                lambda acc, i: F.when(acc["skip"], F.struct(F.lit(False).alias("skip"), acc["out"].alias("out"))).otherwise(
-                    F.struct(
-                        first(i).alias("skip"),
-                        F.concat(acc["out"], F.array(F.when(first(i), joined(i)).otherwise(F.get(parts, i)))).alias("out"),
-                    )
+            return let(
+                F.concat(F.get(parts, k - 1), F.get(parts, k)),
+                lambda m: F.struct(
+                    F.concat(F.slice(parts, F.lit(1), k - 1), F.array(m), F.slice(parts, k + 2, n)).alias("parts"),
+                    beside(m).alias("ranks"),
                 ),
-                lambda acc: acc["out"],
             )
-            return F.when(crowded, in_turn).otherwise(apart)
-
-        return let(
-            ranks,
-            lambda r: let(
-                F.array_min(r),
-                lambda best: F.struct(
-                    F.when(best.isNull(), parts).otherwise(merged(r, best)).alias("parts"), best.isNull().alias("done")
-                ),
-            ),
-        )
 
-    def fold(self, word: Column) -> Column:
-        """Ids of one hexadecimal word by ranked merges."""
-        bytes_ = F.regexp_extract_all(word, F.lit(".."), F.lit(0))
-        start = lambda b: F.struct(b.alias("parts"), F.lit(False).alias("done"))
-        step = lambda acc, _: F.when(acc["done"] | (F.size(acc["parts"]) < 2), acc).otherwise(self._merge(acc["parts"]))
-        folded = let(bytes_, lambda b: F.aggregate(F.sequence(F.lit(1), F.size(b)), start(b), step, lambda acc: acc["parts"]))
-        return F.transform(folded, lambda part: self.ranks.lookup(part))
+        def step(state: Column, _: Column) -> Column:
+            best = F.array_min(state["ranks"])
+            position = F.coalesce(F.array_position(state["ranks"], best), F.lit(0)).cast("int")
+            return let(position, lambda k: F.when(k == 0, state).otherwise(merge(state, k)))
+
+        start = lambda b: F.struct(
+            b.alias("parts"),
+            F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda p, i: rank(p, F.get(b, i + 1))).alias("ranks"),
+        )
+        folded = let(
+            F.regexp_extract_all(word, F.lit(".."), F.lit(0)),
+            lambda b: F.aggregate(F.sequence(F.lit(1), F.size(b)), start(b), step, lambda state: state["parts"]),
+        )
+        return F.transform(folded, lambda p: _lookup(table, self.ranks, p))
 
     def with_frequent(self, docs: DataFrame, text: str = "text", most: int = FREQUENT) -> ByteBPE:
         """Fold the ``most`` most frequent words of all texts that are no tokens."""
         words = docs.select(F.explode(self.words(F.col(text))).alias("word")).where(self.ranks.lookup(F.col("word")).isNull())
         counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         top = counts.orderBy(F.desc("n"), "word").limit(most).repartition(docs.sparkSession.sparkContext.defaultParallelism)
-        rows = top.select("word", self.fold(F.col("word")).alias("ids")).collect()  # at most ``most`` rows
+        folded = let(self.ranks.literal(), lambda table: self.fold(F.col("word"), table))
+        rows = top.select("word", folded.alias("ids")).collect()  # at most ``most`` rows
         self.frequent = InPlanTable({r["word"]: r["ids"] for r in rows}, "array<int>")
         return self
 
     def encode(self, text: Column) -> Column:
         """Array of ids of a text."""
 
-        def ids(word: Column) -> Column:
-            token = let(self.ranks.lookup(word), lambda rank: F.when(rank.isNotNull(), F.array(rank)))
+        def ids(word: Column, table: Column) -> Column:
+            token = let(_lookup(table, self.ranks, word), lambda rank: F.when(rank.isNotNull(), F.array(rank)))
             known = [token] if self.frequent is None else [token, self.frequent.lookup(word)]
-            return F.coalesce(*known, self.fold(word))
+            return F.coalesce(*known, self.fold(word, table))
 
-        return F.flatten(F.transform(self.words(text), ids))
+        # The rank map is bound once; its copies would each be parsed and shipped.
+        return let(self.ranks.literal(), lambda table: F.flatten(F.transform(self.words(text), lambda w: ids(w, table))))
 
     def decode(self, ids: Column) -> Column:
         """Bytes of an array of ids."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(F.lit(self.tokens), i)), ""))
+        tokens = F.split(F.lit(" ".join(self.tokens)), " ")
+        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)), ""))
 
 
 def add_ids(docs: DataFrame, bpe: ByteBPE, text: str = "text") -> DataFrame:
