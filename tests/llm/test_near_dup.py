@@ -114,3 +114,30 @@ def test_components_of_a_long_path(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert N.Groups(empty).classes().count() == 0 and N.keep_one(empty).count() == 0
+
+
+def test_large_bands_in_blocks_find_the_same_groups(spark, monkeypatch):
+    monkeypatch.setattr(N, "LARGE", 2)
+    monkeypatch.setattr(N, "BLOCK", 3)
+    rows = sample(7)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, N.Groups(df).classes().collect()), key=str) == brute(rows)
+
+
+def test_block_links_are_those_of_all_pairs(spark):
+    rng = random.Random(9)
+    base = ["w%d" % rng.randrange(300) for _ in range(120)]
+    texts = []
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(rng.randint(0, 5)):
+            copy[rng.randrange(120)] = "w%d" % rng.randrange(300)
+        texts.append(" ".join(copy))
+    bags = N.Bags([t.encode() for t in texts])
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = docs.mapInArrow(N._bag_blobs("text"), "node long, size long, bag binary")
+    tied = rows.selectExpr("node", "1L AS label")
+    links = N.compare_blocks(tied, rows, 0.8)
+    joined = {r["node"]: r["label"] for r in N.components(links).collect()} if links.count() else {}
+    wanted = brute([(int(n), t) for n, t in zip(bags.nodes(), texts)])
+    assert len({joined.get(n, n) for n in map(int, bags.nodes())}) == len({c for _, c, _ in wanted})

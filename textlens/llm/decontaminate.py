@@ -219,37 +219,43 @@ def _passages(seeds: Seeds, h: np.ndarray, doc: np.ndarray, begins: np.ndarray,
     yield from zip(d.tolist(), item.tolist(), low.tolist(), high.tolist())
 
 
-def _finder(seeds: Seeds, id_column: str, text: str, schema: pa.Schema):
-    def aligned(found, h):
-        """Score passages in groups of similar size, so that little of the padding is wasted."""
-        found = sorted(found, key=lambda f: (f[3] - f[2], len(seeds.items[f[1]])))
-        group, cells = [], 0
-        for f in [*found, None]:
-            size = (f[3] - f[2] + 1) * len(seeds.items[f[1]]) if f else 0
-            if group and (f is None or cells + size > CELLS):
-                yield from zip(group, *align([seeds.items[g[1]] for g in group], [h[g[2] : g[3]] for g in group]))
-                group, cells = [], 0
-            if f:
-                group.append(f)
-                cells += size
+def _aligned(seeds: Seeds, found, h: np.ndarray):
+    """Score passages in groups of similar size, so that little of the padding is wasted."""
+    found = sorted(found, key=lambda f: (f[3] - f[2], len(seeds.items[f[1]])))
+    group, cells = [], 0
+    for f in [*found, None]:
+        size = (f[3] - f[2] + 1) * len(seeds.items[f[1]]) if f else 0
+        if group and (f is None or cells + size > CELLS):
+            yield from zip(group, *align([seeds.items[g[1]] for g in group], [h[g[2] : g[3]] for g in group]))
+            group, cells = [], 0
+        if f:
+            group.append(f)
+            cells += size
+
+
+def _best(seeds: Seeds, texts: list[str]) -> list[tuple[int, int, float, int, int]]:
+    """(text, item, score, first, end) of the best leak of each item in each text."""
+    h, counts = _words(texts)
+    begins = np.cumsum(counts) - counts
+    doc = np.repeat(np.arange(len(counts)), counts)
+    best: dict[tuple[int, int], tuple] = {}
+    for (d, k, low, _), score, first, end in _aligned(seeds, _passages(seeds, h, doc, begins, counts), h):
+        size = len(seeds.items[k])
+        if score >= SHARE * size and score >= min(size, LEAST):
+            start = int(low - begins[d] + first)
+            hit = (-score / size, start, int(low - begins[d] + end))
+            best[d, k] = min(best.get((d, k), hit), hit)
+    return [(d, k, -s, a, b) for (d, k), (s, a, b) in sorted(best.items())]
+
 
+def _finder(seeds: Seeds, id_column: str, text: str, schema: pa.Schema):
     def run(batches):
         for batch in batches:
             texts, ids = _texts(batch, text), batch.column(id_column).to_pylist()
             done = 0
             for part in steps([len(t) for t in texts]):
-                h, counts = _words(texts[part])
-                begins = np.cumsum(counts) - counts
-                doc = np.repeat(np.arange(len(counts)), counts)
-                best: dict[tuple[int, int], tuple] = {}
-                for (d, k, low, _), score, first, end in aligned(_passages(seeds, h, doc, begins, counts), h):
-                    size = len(seeds.items[k])
-                    if score >= SHARE * size and score >= min(size, LEAST):
-                        start = int(low - begins[d] + first)
-                        hit = (-score / size, start, int(low - begins[d] + end))
-                        best[d, k] = min(best.get((d, k), hit), hit)
-                rows = [(ids[done + d], seeds.ids[k], -s, a, b) for (d, k), (s, a, b) in sorted(best.items())]
-                done += len(counts)
+                rows = [(ids[done + d], seeds.ids[k], s, a, b) for d, k, s, a, b in _best(seeds, texts[part])]
+                done += len(texts[part])
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
@@ -258,6 +264,16 @@ def _finder(seeds: Seeds, id_column: str, text: str, schema: pa.Schema):
     return run
 
 
+def _seeded(
+    texts: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, block_words: int
+) -> Iterator[Seeds]:
+    """The seeds of each block of test items, by the word counts of the whole corpus."""
+    for block in item_blocks(items, item_id, item_text, block_words):
+        vocabulary = np.unique(np.concatenate([h for _, h in block]))
+        total, counts = word_counts(texts, vocabulary, text)
+        yield Seeds(block, total, vocabulary, counts)
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -278,9 +294,30 @@ def leaks(
     arrow = to_arrow_schema(schema)
     slim = docs.select(id_column, text)
     found = docs.sparkSession.createDataFrame([], schema)
-    for block in item_blocks(items, item_id, item_text, block_words):
-        vocabulary = np.unique(np.concatenate([h for _, h in block]))
-        total, counts = word_counts(slim, vocabulary, text)
-        seeds = Seeds(block, total, vocabulary, counts)
+    for seeds in _seeded(slim, items, text, item_id, item_text, block_words):
         found = found.unionByName(slim.mapInArrow(_finder(seeds, id_column, text, arrow), schema))
     return found
+
+
+def _clean(seeds: Seeds, text: str):
+    def run(batches):
+        for batch in batches:
+            texts, leaked = _texts(batch, text), np.zeros(batch.num_rows, bool)
+            done = 0
+            for part in steps([len(t) for t in texts]):
+                leaked[[done + d for d, *_ in _best(seeds, texts[part])]] = True
+                done += len(texts[part])
+            yield batch.filter(pa.array(~leaked))
+
+    return run
+
+
+def without_leaks(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no test item; one pass over the texts for each block of items."""
+    kept = docs
+    for seeds in _seeded(docs.select(text), items, text, item_id, item_text, block_words):
+        kept = kept.mapInArrow(_clean(seeds, text), docs.schema)
+    return kept

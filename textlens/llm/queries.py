@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlens.llm import bpe, decontaminate, lm, near_dup, quality, secrets, sharding, substring, toxicity
+from textlens.llm import bpe, decontaminate, html_text, lm, near_dup, quality, secrets, sharding, substring, toxicity
 from textlens.llm.words import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -54,6 +54,14 @@ def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def token_ids(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, ids, round_trip) of documents."""
+    return bpe.add_ids(docs.select("doc_id", "text"), tokenizer(docs)).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"),
+    )
+
+
 def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     scanned = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
     count = lambda rank: F.size(F.filter("base_spans", lambda s: s["rank"] == rank)).cast("bigint")
@@ -67,6 +75,11 @@ def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    done = html_text.main_text(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return done.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     judge = toxicity.fit(docs, table(spark, sf, "labels"), ~toxicity.held_out())
@@ -86,6 +99,7 @@ QUERIES = {
     "op5_near_dedup": (op5_near_dedup, near_dup.oracle_sql()),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op7_secret_scans": (op7_secret_scans, None),
+    "op8_html_extraction": (op8_html_extraction, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_decontamination": (op10_decontamination, None),
 }

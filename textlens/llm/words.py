@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 # Texts hashed together in one NumPy step; a longer single text is still hashed whole.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03))
 _IS_SPACE = np.zeros(256, dtype=bool)
