@@ -1,10 +1,16 @@
-"""The corpus pipeline: quality rules first, then whatever follows, each stage on what the last one kept."""
+"""The corpus pipeline: five stages, each on all that the last one kept.
+
+Filtering stages return documents with the columns they came with; the last one returns token ids. ``run``
+applies the stages to ``documents``. A stage is one operator of ``textlens.llm`` and its decision:
+rejected documents go, one document of each near-duplicate group stays, documents that hold a benchmark
+passage go, secrets are cut out of the text (and ``n_chars`` counted again), texts become ids.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlens.llm import quality
+from textlens.llm import decontaminate, near_dup, quality, queries, secrets
 from textlens.llm.words import table
 
 
@@ -13,7 +19,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dup.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a test item."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced."""
+    cleaned = secrets.redact(docs)
+    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document; ``round_trip`` says that they decode to its text."""
+    return queries.token_ids(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("byte_bpe", byte_bpe),
+]
+# Signatures, alignment and merges have no SQL; the pipeline is tested against brute force.
 ORACLE_SQL = None
 
 
