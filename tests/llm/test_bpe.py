@@ -35,6 +35,13 @@ def test_same_ids_as_tiktoken(spark, ranks, frequent):
         assert bytes(r["decoded"]) == text.encode()
 
 
+def test_higher_order_functions_alone_give_the_same_ids(spark, ranks):
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(2)
+    rows = df.withColumn("ids", ByteBPE(ranks, public_tokenizers.PATTERN).encode_column(df["text"])).collect()
+    assert all(r["ids"] == reference.encode_ordinary(r["text"] or "") for r in rows)
+
+
 def test_whole_table(spark):
     from textlens.llm.queries import QUERIES
 

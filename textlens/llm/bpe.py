@@ -1,12 +1,15 @@
-"""Byte-level BPE encoding and decoding with higher-order functions.
+"""Byte-level BPE encoding and decoding.
 
-A text is cut by the tokenizer's pattern; every piece is a word. A word is encoded by a fold over its bytes:
-find the adjacent pair of lowest rank, the leftmost of equals, merge it, until no pair has a rank. Ranks are
-a literal map of the plan. Bytes are held as hexadecimal text, which concatenates like the bytes do.
+A text is cut by the tokenizer's pattern; every piece is a word. A word is encoded by a fold over its bytes with
+Spark's higher-order functions: find the adjacent pair of lowest rank, the leftmost of equals, merge it, until no
+pair has a rank. Ranks are a literal map of the plan. Bytes are held as hexadecimal text, which concatenates like
+the bytes do.
 
-Words that are tokens themselves need no fold. The ``FREQUENT`` most frequent of the others, counted over all
-documents, are folded once and travel as a second literal map; the remaining occurrences are folded where
-they stand. Texts are never shuffled; only words and counts are, combined before the shuffle.
+The ``FREQUENT`` most frequent distinct words, counted over all documents, are folded once in this way. Texts
+are then encoded in Arrow batches, a lookup for each word; the rarer words, a few in a hundred, are merged where they
+stand by the same rule (``merge_word``). Folding those with higher-order functions as well (``encode_column``) gives the
+same ids, but costs about three times the time limit. Texts are never shuffled; only words and counts
+are, combined before the shuffle, and the table sent to tasks is bounded by ``FREQUENT``.
 
 Decoding looks up the bytes of each id and concatenates them. Defined results: null text is empty and has
 no ids; an unknown id decodes to nothing. Other columns are kept, added ones replace columns of the same name.
@@ -18,12 +21,19 @@ from __future__ import annotations
 import base64
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import regex
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from textlens.functions.lexicon import InPlanTable
 from textlens.functions.scores import let
 
 FREQUENT = 200_000
+# Further words a task remembers, and rows it returns at once.
+CACHED = 200_000
+ROWS_AT_ONCE = 500
+NO_RANK = 1 << 30
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,10 +54,8 @@ class ByteBPE:
         self.ranks = InPlanTable({token.hex().upper(): rank for token, rank in ranks.items()}, "int")
         # (?U): white space and letters are Unicode's, as in the pattern's own engine.
         self.pattern = "(?U)" + pattern
-        self.tokens = [""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token.hex().upper()
-        self.frequent: InPlanTable | None = None
+        self.by_bytes, self.plain_pattern = dict(ranks), pattern
+        self.frequent: dict[str, list[int]] = {}
 
     def words(self, text: Column) -> Column:
         """Hexadecimal words of a text in order."""
@@ -94,32 +102,80 @@ class ByteBPE:
         return F.transform(folded, lambda p: _lookup(table, self.ranks, p))
 
     def with_frequent(self, docs: DataFrame, text: str = "text", most: int = FREQUENT) -> ByteBPE:
-        """Fold the ``most`` most frequent words of all texts that are no tokens."""
-        words = docs.select(F.explode(self.words(F.col(text))).alias("word")).where(self.ranks.lookup(F.col("word")).isNull())
-        counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-        top = counts.orderBy(F.desc("n"), "word").limit(most).repartition(docs.sparkSession.sparkContext.defaultParallelism)
-        folded = let(self.ranks.literal(), lambda table: self.fold(F.col("word"), table))
+        """Fold the ``most`` most frequent words of all texts."""
+        pieces = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(self.pattern), F.lit(0))
+        counts = docs.select(F.explode(pieces).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        top = counts.orderBy(F.desc("n"), "word").limit(most).select("word")
+        top = top.repartition(docs.sparkSession.sparkContext.defaultParallelism)
+        folded = let(self.ranks.literal(), lambda table: self.word_ids(F.hex(F.col("word").cast("binary")), table))
         rows = top.select("word", folded.alias("ids")).collect()  # at most ``most`` rows
-        self.frequent = InPlanTable({r["word"]: r["ids"] for r in rows}, "array<int>")
+        self.frequent = {r["word"]: r["ids"] for r in rows}
         return self
 
-    def encode(self, text: Column) -> Column:
-        """Array of ids of a text."""
-
-        def ids(word: Column, table: Column) -> Column:
-            token = let(_lookup(table, self.ranks, word), lambda rank: F.when(rank.isNotNull(), F.array(rank)))
-            known = [token] if self.frequent is None else [token, self.frequent.lookup(word)]
-            return F.coalesce(*known, self.fold(word, table))
+    def word_ids(self, word: Column, table: Column) -> Column:
+        """Ids of a hexadecimal word: a token itself, or folded."""
+        token = let(_lookup(table, self.ranks, word), lambda rank: F.when(rank.isNotNull(), F.array(rank)))
+        return F.coalesce(token, self.fold(word, table))
 
+    def encode_column(self, text: Column) -> Column:
+        """Array of ids of a text, with higher-order functions alone."""
         # The rank map is bound once; its copies would each be parsed and shipped.
-        return let(self.ranks.literal(), lambda table: F.flatten(F.transform(self.words(text), lambda w: ids(w, table))))
+        return let(
+            self.ranks.literal(), lambda table: F.flatten(F.transform(self.words(text), lambda w: self.word_ids(w, table)))
+        )
 
-    def decode(self, ids: Column) -> Column:
-        """Bytes of an array of ids."""
-        tokens = F.split(F.lit(" ".join(self.tokens)), " ")
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)), ""))
+    def encoder(self, text: str):
+        """Arrow batches with ``ids`` and the bytes ``decoded`` from them."""
+        ranks, frequent, pattern = self.by_bytes, self.frequent, self.plain_pattern
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+
+        def run(batches):
+            find, known = regex.compile(pattern).findall, dict(frequent)
+            for batch in batches:
+                for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    part = batch.slice(start, ROWS_AT_ONCE)
+                    ids, sizes, decoded = [], [0], []
+                    for t in part.column(text).to_pylist():
+                        own: list[int] = []
+                        for word in find(t or ""):
+                            found = known.get(word)
+                            if found is None:
+                                if len(known) > len(frequent) + CACHED:
+                                    known = dict(frequent)
+                                found = known[word] = merge_word(word.encode(), ranks)
+                            own += found
+                        decoded.append(b"".join([tokens[i] for i in own]))
+                        ids.append(np.array(own, np.int32))
+                        sizes.append(sizes[-1] + len(own))
+                    lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(ids)))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, lists, pa.array(decoded, pa.binary())], [*part.schema.names, "ids", "decoded"]
+                    )
+
+        return run
+
+
+def merge_word(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
+    """Ids of one word by ranked merges, two ranks renewed with each."""
+    if word in ranks:
+        return [ranks[word]]
+    parts = [word[k : k + 1] for k in range(len(word))]
+    beside = [ranks.get(x + y, NO_RANK) for x, y in zip(parts, parts[1:])]
+    while beside and (best := min(beside)) < NO_RANK:
+        k = beside.index(best)
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        del beside[k]
+        if k:
+            beside[k - 1] = ranks.get(parts[k - 1] + parts[k], NO_RANK)
+        if k < len(beside):
+            beside[k] = ranks.get(parts[k] + parts[k + 1], NO_RANK)
+    return [ranks[p] for p in parts]
 
 
 def add_ids(docs: DataFrame, bpe: ByteBPE, text: str = "text") -> DataFrame:
     """Documents with ``ids`` and ``decoded`` bytes."""
-    return docs.withColumn("ids", bpe.encode(F.col(text))).withColumn("decoded", bpe.decode(F.col("ids")))
+    docs = docs.drop("ids", "decoded")
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
+    return docs.mapInArrow(bpe.encoder(text), T.StructType(docs.schema.fields + added))
