@@ -37,24 +37,30 @@ def score_by_join(
     alpha: float = ALPHA,
     digits: int | None = COMPOUND_DIGITS,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    salts: int = TOKEN_SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """``keys`` and the compound score of ``text``; a text without hits scores 0.0, null stays null.
 
-    ``keys`` must identify a row of ``texts``; ``lexicon`` has ``token`` and ``valence``.
+    Rows with equal keys must hold equal texts (a hash of the text is such a key); they give one row. Null
+    keys are a key like any other. ``lexicon`` has ``token`` and ``valence``. ``salts`` follows the
+    number of shuffle partitions.
     """
     keys = list(keys)
+    if salts is None:
+        salts = max(TOKEN_SALTS, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     entries = lexicon.groupBy(F.lower("token").alias("token")).agg(F.max("valence").alias("valence"))
     # A text without words keeps one row, so that the sums below cover every key in one scan.
     # What else is needed is worked out before, so that the text is not carried along per word.
     words = texts.select(*keys, F.col(text).isNotNull().alias("_has_text"), tokens(text).alias("_words"))
-    words = words.select(*keys, "_has_text", F.explode_outer("_words").alias("token"))
+    words = words.select(*keys, "_has_text", F.posexplode_outer("_words").alias("_pos", "token"))
     if lexicon_bytes(lexicon) <= max_broadcast_bytes:
         hits = words.join(F.broadcast(entries), "token", "left")
     else:
         words = words.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
         copies = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         hits = words.join(copies.hint("merge"), ["token", "_salt"], "left")
-    sums = hits.groupBy(*keys).agg(F.sum("valence").alias("_sum"), F.max("_has_text").alias("_has_text"))
-    total = F.when(F.col("_has_text"), F.coalesce("_sum", F.lit(0.0)))
+    # Every text starts once, so the starts count the rows that share a key.
+    starts = F.sum(F.when(F.coalesce("_pos", F.lit(0)) == 0, 1)).alias("_rows")
+    sums = hits.groupBy(*keys).agg(F.sum("valence").alias("_sum"), F.max("_has_text").alias("_has_text"), starts)
+    total = F.when(F.col("_has_text"), F.coalesce(F.col("_sum") / F.col("_rows"), F.lit(0.0)))
     return sums.select(*keys, compound(total, alpha, digits).alias(out))

@@ -27,7 +27,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def confusion_cells(
     pred: DataFrame, truth: str = "y_true", predicted: str = "y_pred", groups: Sequence[str] = ()
 ) -> DataFrame:
-    """Confusion matrix, cells that occur: groups, y_true, y_pred, n."""
+    """Confusion matrix, cells that occur: groups, y_true, y_pred, n. Rows without a truth do not count."""
+    pred = pred.where(F.col(truth).isNotNull())
     keys = [F.col(truth).cast("bigint").alias("y_true"), F.col(predicted).cast("bigint").alias("y_pred")]
     return pred.groupBy(*groups, *keys).agg(F.count("*").alias("n"))
 
@@ -139,7 +140,8 @@ def cross_entropy(true_probability: Column) -> Column:
 def log_loss(
     pred: DataFrame, truth: str = "y_true", probabilities: str = "probs", groups: Sequence[str] = ()
 ) -> DataFrame:
-    """Mean cross-entropy over rows, every row with the same weight."""
+    """Mean cross-entropy over rows with a truth, every row with the same weight."""
+    pred = pred.where(F.col(truth).isNotNull())
     chosen = F.get(F.col(probabilities), F.col(truth).cast("int"))
     return pred.groupBy(*groups).agg(F.avg(cross_entropy(chosen)).alias("log_loss"))
 
@@ -151,7 +153,11 @@ def evaluate(
     probabilities: str = "probs",
     groups: Sequence[str] = (),
 ) -> DataFrame:
-    """Confusion cells with the summed cross-entropy: everything an evaluation needs in one pass."""
+    """Confusion cells with the summed cross-entropy: everything an evaluation needs in one pass.
+
+    Rows without a truth do not count.
+    """
+    pred = pred.where(F.col(truth).isNotNull())
     chosen = F.get(F.col(probabilities), F.col(truth).cast("int"))
     keys = [F.col(truth).cast("bigint").alias("y_true"), F.col(predicted).cast("bigint").alias("y_pred")]
     return pred.groupBy(*groups, *keys).agg(

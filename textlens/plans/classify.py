@@ -42,7 +42,7 @@ class TrainingResult:
 def feature_stages(num_features: int = NUM_FEATURES) -> list:
     """Words, hashed counts, inverse document frequency; no vocabulary is collected."""
     return [
-        RegexTokenizer(inputCol=INPUT_COLUMN, outputCol="_words", pattern=r"\W+", toLowercase=True),
+        RegexTokenizer(inputCol=INPUT_COLUMN, outputCol="_words", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=num_features),
         IDF(inputCol="_counts", outputCol="features"),
     ]

@@ -21,6 +21,7 @@ from textlens.operators.sentences import (
 from textlens.scorers import Scorer
 from textlens.sources.sinks import RunLog, materialise
 
+TEXT_KEY = "_text_key"
 LEVELS = ("sentence", "document")
 SCORE_MODES = ("label_signed", "prob_diff")
 LEXICON_MODEL = "vader"
@@ -68,10 +69,10 @@ def score_sentiment(
     ``scorer``: a ``Lexicon``, a lexicon table (``token``, ``valence``), or a model scorer.
     ``level='sentence'`` appends ``sentences_array`` and ``sentence_sentiments_lst``;
     ``'document'`` appends ``doc_sentiments``. Rows are scored in place and nothing is shuffled,
-    except with a lexicon table of more than ``max_inline`` rows: that one is joined and needs
-    ``keys`` that identify a row.
+    except with a lexicon table of more than ``max_inline`` rows: that one is joined, and scores find
+    their rows again by a hash of the text. ``keys`` are therefore not needed; null and repeated ones do no harm.
 
-    ``by_rows`` (sentence level, model scorer, needs ``keys``) spreads the sentences themselves over
+    ``by_rows`` (sentence level, model scorer) spreads the sentences themselves over
     the cluster. It pays a shuffle so that a costly model is not held up by the tasks that happen
     to hold the long documents. ``once`` keeps filters on the scores from computing them twice;
     without it they are plain columns, which Spark also drops when nothing reads them.
@@ -104,7 +105,7 @@ def score_sentiment(
     if isinstance(scorer, DataFrame):
         scorer = Lexicon.from_table(scorer, max_entries=max_inline) or scorer
     if isinstance(scorer, DataFrame):
-        return _score_with_table(df, text, scorer, level, sign, limited, list(keys))
+        return _score_with_table(df, text, scorer, level, sign, limited)
 
     if level == "document":
         source = limited(F.col(text))
@@ -121,13 +122,19 @@ def score_sentiment(
         each = F.transform(source, lambda one: sign(scorer.score(one)))
         return append(df, SENTENCE_SCORES_COLUMN, each)
     if by_rows:
-        pieces = df.select(*keys, F.posexplode(source).alias("pos", "sentence"))
-        return _score_by_rows(df, pieces, scorer, batching, signed, list(keys))
+        df = df.withColumn(TEXT_KEY, text_key(text))
+        pieces = df.select(TEXT_KEY, F.posexplode(source).alias("pos", "sentence")).dropDuplicates([TEXT_KEY, "pos"])
+        return _score_by_rows(df, pieces, scorer, batching, signed).drop(TEXT_KEY)
     df = append(df, "_logits", model_logits(scorer, source, level, batching))
     each = F.transform("_logits", lambda one: S.let(S.softmax(one), signed))
     return df.withColumn(SENTENCE_SCORES_COLUMN, each).drop("_logits")
 
 
+def text_key(text: str) -> Column:
+    """Stands for a row wherever only its text matters; null for null, which no join meets."""
+    return F.md5(F.col(text).cast("binary"))
+
+
 def _keep_null_arrays(grouped: DataFrame) -> DataFrame:
     kept = F.when(F.col(SENTENCES_COLUMN).isNotNull(), F.col(SENTENCE_SCORES_COLUMN))
     return grouped.withColumn(SENTENCE_SCORES_COLUMN, kept)
@@ -135,10 +142,9 @@ def _keep_null_arrays(grouped: DataFrame) -> DataFrame:
 
 def _score_by_rows(
     df: DataFrame, pieces: DataFrame, scorer: Scorer, batching: str,
-    signed: Callable[[Column], Column], keys: list[str],
+    signed: Callable[[Column], Column],
 ) -> DataFrame:
-    if not keys:
-        raise ValueError("scoring by rows needs the key columns that identify a document")
+    keys = [TEXT_KEY]
     spark = df.sparkSession
     wanted = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     pieces = pieces.repartition(wanted, *keys, "pos")
@@ -150,21 +156,21 @@ def _score_by_rows(
 
 def _score_with_table(
     df: DataFrame, text: str, lexicon: DataFrame, level: str,
-    sign: Callable[[Column], Column], limited: Callable[[Column], Column], keys: list[str],
+    sign: Callable[[Column], Column], limited: Callable[[Column], Column],
 ) -> DataFrame:
-    if not keys:
-        raise ValueError("a large lexicon table needs the key columns that identify a row")
+    keys = [TEXT_KEY]
+    df = df.withColumn(TEXT_KEY, text_key(text))
     if level == "document":
         scored = score_by_join(
             df.select(*keys, limited(F.col(text)).alias("_text")), keys, "_text", lexicon, "_score"
         )
         joined = df.join(scored.hint("merge"), keys, "left")
-        return joined.withColumn(DOC_SCORE_COLUMN, sign(F.col("_score"))).drop("_score")
-    pieces = df.select(*keys, F.posexplode(SENTENCES_COLUMN).alias("pos", "sentence"))
+        return joined.withColumn(DOC_SCORE_COLUMN, sign(F.col("_score"))).drop("_score", TEXT_KEY)
+    pieces = df.select(*keys, F.posexplode(SENTENCES_COLUMN).alias("pos", "sentence")).dropDuplicates([*keys, "pos"])
     pieces = pieces.withColumn("sentence", limited(F.col("sentence")))
     scored = score_by_join(pieces, [*keys, "pos"], "sentence", lexicon, "_score")
     scored = scored.withColumn("_score", sign(F.col("_score")))
-    return _keep_null_arrays(regroup_sentences(df, scored, keys, "_score", SENTENCE_SCORES_COLUMN))
+    return _keep_null_arrays(regroup_sentences(df, scored, keys, "_score", SENTENCE_SCORES_COLUMN)).drop(TEXT_KEY)
 
 
 def ensemble_score(df: DataFrame, columns: Sequence[str], out: str = "ensemble_score") -> DataFrame:

@@ -106,7 +106,7 @@ def sentiment_flagship(spark: SparkSession, sf: str) -> DataFrame:
 def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a stream of files, scored in place into a sink that is then read."""
     schema = table(spark, sf, "documents").schema
-    stream = read_stream(spark, sf, schema, glob="documents.parquet").select("doc_id", "text")
+    stream = read_stream(spark, f"{sf}/documents.parquet", schema).select("doc_id", "text")
     sink, log = shared_path(spark, "stream-sink"), shared_path(spark, "stream-log")
 
     def score(df: DataFrame) -> DataFrame:
