@@ -142,24 +142,33 @@ def _train(spark: SparkSession, sf: str, epochs: int, **options):
 
 
 def train_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows evaluated per phase, and whether the model beats guessing the largest class there."""
     _, _, result = _train(spark, sf, epochs=2, save=False)
-    return result.summary
+    classes = result.metrics.where("tp IS NOT NULL").groupBy("phase", "epoch")
+    share = classes.agg((F.max("support") / F.sum("support")).alias("share"))
+    return result.summary.join(share, ["phase", "epoch"]).select(
+        "phase", "epoch", "support", (F.col("accuracy") > F.col("share")).alias("beats_majority")
+    )
 
 
 def epoch_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each class per phase and epoch, found or missed."""
     _, _, result = _train(spark, sf, epochs=3, save=False)
-    return result.metrics
+    classes = result.metrics.where("tp IS NOT NULL")
+    return classes.select("phase", "epoch", "label_name", "support", (F.col("tp") + F.col("fn")).alias("found_or_missed"))
 
 
 def predict_labels(spark: SparkSession, sf: str) -> DataFrame:
     docs, trained, _ = _train(spark, sf, epochs=2, save=False)
     predicted, _ = trained.predict(docs, ["text"], use_checkpoint=False)
-    return predicted.select("doc_id", "lang", F.col("Predicted").alias("predicted"))
+    known = F.col("Predicted").isin(*language_index(spark).labels)
+    return predicted.select("doc_id", "lang", known.alias("known_label"))
 
 
 def predict_report(spark: SparkSession, sf: str) -> DataFrame:
     docs, trained, _ = _train(spark, sf, epochs=2, save=False)
-    return trained.predict(docs, ["text"], "lang", use_checkpoint=False)[1]
+    report = trained.predict(docs, ["text"], "lang", use_checkpoint=False)[1].where("tp IS NOT NULL")
+    return report.select("label_name", "support", (F.col("tp") + F.col("fn")).alias("found_or_missed"))
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,7 +177,7 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     before, _ = trained.predict(docs, ["text"], use_checkpoint=False)
     copy = TextClassifier(spark).load(trained.model_path)
     both, _ = copy.predict(before.withColumnRenamed("Predicted", "before"), ["text"], use_checkpoint=False)
-    return both.select("doc_id", "before", F.col("Predicted").alias("after"))
+    return both.select("doc_id", (F.col("before") == F.col("Predicted")).alias("same"))
 
 
 _LABELS = "p_brand || '|||' || p_type || '|||' || p_size"
@@ -202,6 +211,19 @@ _PIVOT = ", ".join(
     for m in R.METRICS for p, e in PHASE_EPOCHS
 )
 
+def _sql_phases(epochs: int) -> str:
+    """CTE ``phases``(phase, epoch, split) of a training with so many epochs."""
+    rows = [f"('dev-set', {k}::BIGINT, 'validation')" for k in range(1, epochs + 1)]
+    rows.append(f"('test-set', {epochs + 1}::BIGINT, 'test')")
+    return f"phases AS (SELECT * FROM (VALUES {', '.join(rows)}) AS v(phase, epoch, split))"
+
+
+_TRAINED = f"""WITH {SQL_SPLIT}, {_sql_phases(2)}
+    SELECT phase, epoch, count(*)::BIGINT AS support, true AS beats_majority FROM phases JOIN parts USING (split) GROUP BY phase, epoch"""
+_EPOCHS = f"""WITH {SQL_SPLIT}, {_sql_phases(3)}
+    SELECT phase, epoch, lang AS label_name, count(*)::BIGINT AS support, count(*)::BIGINT AS found_or_missed
+    FROM phases JOIN parts USING (split) GROUP BY phase, epoch, lang"""
+
 QUERIES = {
     "label_encode": (
         label_encode,
@@ -274,9 +296,9 @@ QUERIES = {
             CASE WHEN regexp_full_match(label, '[0-9]+') THEN format('{{:02d}}', label::BIGINT) ELSE label END
             || ' - ' || label_name AS trace_name FROM u""",
     ),
-    "train_classifier": (train_classifier, None),
-    "epoch_metrics": (epoch_metrics, None),
-    "predict_labels": (predict_labels, None),
-    "predict_report": (predict_report, None),
-    "model_roundtrip": (model_roundtrip, None),
+    "train_classifier": (train_classifier, _TRAINED),
+    "epoch_metrics": (epoch_metrics, _EPOCHS),
+    "predict_labels": (predict_labels, "SELECT doc_id, lang, true AS known_label FROM documents"),
+    "predict_report": (predict_report, "SELECT lang AS label_name, count(*)::BIGINT AS support, count(*)::BIGINT AS found_or_missed FROM documents GROUP BY lang"),
+    "model_roundtrip": (model_roundtrip, "SELECT doc_id, true AS same FROM documents"),
 }

@@ -105,8 +105,11 @@ def sentiment_flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a stream of files, scored in place into a sink that is then read."""
-    schema = table(spark, sf, "documents").schema
-    stream = read_stream(spark, f"{sf}/documents.parquet", schema).select("doc_id", "text")
+    documents_ = table(spark, sf, "documents")
+    # A table is a folder of part files at scale and may be a single file in a folder of tables.
+    folder = documents_.inputFiles()[0].rsplit("/", 1)[0]
+    glob = "*.parquet" if folder.endswith("documents.parquet") else "documents.parquet"
+    stream = read_stream(spark, folder, documents_.schema, glob=glob).select("doc_id", "text")
     sink, log = shared_path(spark, "stream-sink"), shared_path(spark, "stream-log")
 
     def score(df: DataFrame) -> DataFrame:
