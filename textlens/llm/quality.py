@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textlens.functions.scores import let
+from textlens.operators.scoring import computed_once
 from textlens.llm.words import SPACE_CLASS, words
 
 SYMBOLS = "[#*$%&|<>]"
@@ -146,7 +147,8 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     judged = measure(df, text).withColumns(
         {"base_failed": base_failed(), "broken_rules": F.concat_ws(",", *named)}
     )
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("broken_rules") == ""))
+    # A filter on the verdict would be moved below the measures, and all of them be copied into it.
+    return computed_once(judged, "kept", ~F.col("base_failed") & (F.col("broken_rules") == ""))
 
 
 def keep_good(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
