@@ -54,6 +54,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        # Later stages read their input several times, so what a stage keeps is written down first.
+        docs = stage(spark, near_dup.saved(docs) if k else docs, sf_dir)
     return docs
