@@ -12,10 +12,10 @@ Signatures are cut into bands. A pair that shares a band is verified by its exac
 ``sum min / sum max``; pairs of ``SIMILAR`` or more are links, and a group is a connected component of links.
 42 bands of 6 components miss a pair of similarity 0.8 with odds of 3 in a million.
 
-Scale. Equal contents become one node before anything else. The members of a band are first compared with the
-lowest and highest of them only; pairs are formed afterwards between members of one band that lie in different
-components and were not compared yet, so a large group costs one comparison per member and band and no
-link is lost. Components come from alternating large and small stars. Nothing is collected.
+Scale. Equal contents become one node before anything else. The members of a band are first compared with one
+of them only, the one that shares most bands with most other texts. Members of one band that then lie in different components and
+were not compared yet are compared afterwards: as pairs in small bands; members of large ones whole
+group by whole group in blocks, which compares no fewer and moves a text once per block instead of once per pair. No link is lost. Components come from alternating large and small stars. Nothing is collected.
 
 Defined results: texts with fewer than five words are one shingle of all their words; texts without words (null,
 empty, blank) are copies of each other. The class of a group is its smallest non-null id, null if it has none.
@@ -36,6 +36,8 @@ from textlens.session import ensure_checkpoint_dir
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 42, 6
+# Members of one band that are still apart: up to LARGE they are paired, beyond that compared block by block.
+LARGE, BLOCK = 64, 256
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
 
@@ -207,6 +209,62 @@ def verify(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
     return both.where(ratio).select("a", "b", "bag_a", "bag_b").mapInArrow(_verifier(similar), "a long, b long, linked boolean")
 
 
+def _block_links(similar: float):
+    """Links between the members of two blocks (or within one), thinned to a forest: enough to join them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes, lo, hi = np.asarray(table["node"]), table["lo"][0].as_py(), table["hi"][0].as_py()
+        block = np.asarray(table["block"])
+        units, of = [], []
+        for k, bag in enumerate(table["bag"].to_pylist()):
+            keys, counts = _opened(bag)
+            # A shingle that occurs c times is c units, so shared units add up to sum min.
+            turn = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+            units.append(mix(np.repeat(keys, counts) + turn.astype(np.uint64) * _A))
+            of.append(np.full(len(turn), k, np.int32))
+        size = np.array([len(u) for u in units], np.float64)
+        _, unit, times = np.unique(np.concatenate(units), return_inverse=True, return_counts=True)
+        of = np.concatenate(of)
+        column = np.cumsum(times > 1) - 1
+        inside = (times > 1)[unit]
+        column, of = column[unit[inside]], of[inside]
+        order = np.argsort(column, kind="stable")
+        column, of = column[order], of[order]
+        shared = np.zeros((len(nodes), len(nodes)), np.float32)
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            x, y = np.searchsorted(column, [start, start + 4096])
+            incidence = np.zeros((len(nodes), 4096), np.float32)
+            incidence[of[x:y], column[x:y] - start] = 1
+            shared += incidence @ incidence.T
+        whole = size[:, None] + size[None, :] - shared
+        link = np.triu(shared >= similar * whole, 1) & (whole > 0)
+        if lo != hi:
+            link &= block[:, None] != block[None, :]
+        label, kept = np.arange(len(nodes)), []
+        for i, j in zip(*np.nonzero(link)):
+            if label[i] != label[j]:
+                label[label == label[j]] = label[i]
+                kept.append((int(nodes[i]), int(nodes[j])))
+        a, b = zip(*kept) if kept else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def compare_blocks(tied: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+    """Links among all members of each large group, block by block.
+
+    Every member travels once for each block of its group, not once for each partner, and no task holds
+    more than two blocks. ``tied`` has (node, label of the group).
+    """
+    count = tied.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    members = tied.join(count, "label").withColumn("block", block).join(bags, "node")
+    dealt = members.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("facing"))
+    dealt = dealt.select("label", "node", "bag", "block", F.least("block", "facing").alias("lo"), F.greatest("block", "facing").alias("hi"))
+    return dealt.groupBy("label", "lo", "hi").applyInArrow(_block_links(similar), "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of all nodes of the links (a, b), the label being the smallest node of the component."""
     edges = saved(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
@@ -250,10 +308,14 @@ class Groups:
         described = saved(slim.mapInArrow(_describer("text", count, rows), f"id {kind}, node long, bands array<long>"))
         nodes = described.groupBy("node").agg(F.first("bands").alias("bands"))
         members = nodes.select("node", F.explode("bands").alias("band"))
-        ends = members.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-        shared = saved(members.join(ends, "band"))
-        stars = shared.select("node", F.explode(F.array("low", "high")).alias("end")).where("node <> end")
-        stars = saved(stars.select(*_ordered_pair(F.col("node"), F.col("end"))).distinct())
+        sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        shared = saved(members.join(sizes, "band"))
+        # The member that shares most bands with most others is nearest to the middle of its group.
+        rank = shared.groupBy("node").agg(F.sum("size").alias("rank"))
+        ranked = shared.select("node", "band").join(rank, "node")
+        heads = ranked.groupBy("band").agg(F.max_by("node", "rank").alias("head"))
+        stars = shared.select("node", "band").join(heads, "band").where("node <> head")
+        stars = saved(stars.select(*_ordered_pair(F.col("node"), F.col("head"))).distinct())
         involved = shared.select("node").distinct()
         bags = slim.select("text").mapInArrow(_bag_blobs("text"), "node long, size long, bag binary")
         self.bags = saved(bags.join(involved, "node", "left_semi").dropDuplicates(["node"]))
@@ -265,11 +327,16 @@ class Groups:
         placed = placed.withColumn("label", F.coalesce("label", "node"))
         mixed = placed.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
         open_ = saved(placed.join(mixed.select("band"), "band"))
-        other = open_.select(F.col("node").alias("node2"), F.col("label").alias("label2"), "band")
-        pairs = open_.join(other, "band").where("label < label2")
+        size = open_.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("head"))
+        small = open_.join(size.where(F.col("size") <= LARGE).select("band"), "band")
+        other = small.select(F.col("node").alias("node2"), F.col("label").alias("label2"), "band")
+        pairs = small.join(other, "band").where("label < label2")
         pairs = pairs.select(*_ordered_pair(F.col("node"), F.col("node2"))).distinct()
-        rest = saved(verify(pairs.join(stars, ["a", "b"], "left_anti"), self.bags, similar))
-        extra = rest.where("linked").select("a", "b")
+        rest = verify(pairs.join(stars, ["a", "b"], "left_anti"), self.bags, similar)
+        large = open_.join(size.where(F.col("size") > LARGE).select("band", "head"), "band")
+        tied = components(large.select(F.col("node").alias("a"), F.col("head").alias("b")))
+        found = rest.where("linked").select("a", "b").unionByName(compare_blocks(tied, self.bags, similar))
+        extra = saved(found)
         self.links = links.unionByName(extra)
         if extra.head(1):
             labels = components(self.links)
