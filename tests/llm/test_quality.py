@@ -7,7 +7,7 @@ from textlens.llm import quality as Q
 
 TEXTS = [
     None, "", " \n ", "one", "a b c a b c", "x " * 60, "x y z " * 100 + "end", "$$ ** <a> & | #", "l1\nl1\n\n l1\n \nl1", "é\x1cé 🙂 \x0b\x0c\r\tz",
-    " ".join("w%d" % k for k in range(300)) + " " + " ".join("w%d" % k for k in range(200)), "the of and " + " ".join("v%d" % k for k in range(60)),
+    " ".join("w%d" % k for k in range(300)) + " " + " ".join("w%d" % k for k in range(200)), "the of and to in " + " ".join("v%d" % k for k in range(60)),
     "a b c x a b c y b c x a", "SHOUT!! " * 2 + "the quick brown fox " * 20, " ".join("w%d" % (k % 97) for k in range(5000)),
 ]
 
