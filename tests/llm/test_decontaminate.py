@@ -93,3 +93,27 @@ def test_edge_cases(spark):
     got = sorted((str(r["doc_id"]), r["item_id"], r["score"], r["start"], r["end"]) for r in D.leaks(docs, items).collect())
     assert got == sorted([("3", 1, 1.0, 1, 4)] * 4 + [("None", 1, 1.0, 0, 3)] * 2 + [("4", 4, 1.0, 0, 1)])
     assert D.leaks(docs.limit(0), items).count() == 0 and D.leaks(docs, items.limit(0)).count() == 0
+
+
+def test_edited_copies_are_found_at_every_size(spark):
+    rng = random.Random(9)
+    vocabulary = ["v%d" % k for k in range(200)]
+    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(k, draw(30)) for k in range(20)]
+    replaced = [(k, [rng.choice(vocabulary) if j % 3 == 2 else w for j, w in enumerate(words)]) for k, words in items]
+    widened = [(100 + k, [x for w in words for x in (w, rng.choice(vocabulary))]) for k, words in items]
+    copies = [(k, " ".join(draw(20) + words + draw(20))) for k, words in replaced + widened]
+    clean = [(1000 + k, " ".join(draw(50))) for k in range(100)]
+    table = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    for times in (1, 30):
+        docs = spark.createDataFrame(copies + clean * times, "doc_id long, text string")
+        assert {(r["doc_id"], r["item_id"]) for r in D.leaks(docs, table).collect()} == {(k, k % 100) for k, _ in copies}
+
+
+def test_texts_with_many_links_are_halved(monkeypatch):
+    words = [("w%d" % k) for k in range(30)]
+    seeds = D.Seeds([(7, D._words([" ".join(words)])[0])])
+    texts = ["clean words", " ".join(words), "", "x " + " ".join(words)]
+    whole = D._best(seeds, texts)
+    monkeypatch.setattr(D, "LINKS", 40)
+    assert D._best(seeds, texts) == whole == [(1, 0, 1.0, 0, 30), (3, 0, 1.0, 1, 31)]

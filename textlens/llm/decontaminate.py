@@ -1,14 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: links of two words as seeds, then Smith-Waterman alignment.
 
-Seeds. At every word of a test item the shortest run of 2 to 8 words is taken that is expected less than
-``CHANCE`` times in the whole corpus if words were independent: N * p(w1) * ... * p(wn), with word counts
-over all documents. Where even 8 words are not rare, those 8 are the seed, so no part of an item goes
-without one. A passage that has leaked into many documents still counts as rare, as the
-estimate looks at words and not at the runs themselves.
+Seeds. A link is two words of a test item that stand next to each other or one word apart, found in a document
+next to each other or one word apart. An alignment of M matches and E errors has M - 1 steps from match to match, of
+which M - 1 - E/2 at least hold one error at most and so are links. A score of M - E/2 >= T thus needs T - 1 links that
+end at different words of the item and of the document, in a stretch of 3 * size - 2 * T words. Only stretches with so many are aligned, and no passage
+that leaks is without them. Word counts play no part: the same document and item give the same result in any corpus.
 
-Alignment. Seed hits of an item in a document are gathered into passages (hits closer than the item is
-long). Each passage, with as many words around it as the item has, is aligned locally: a match
-scores 1, a mismatch or gap -1/2. A passage leaks if the score reaches ``SHARE`` of the item's words, and at least
+Alignment. Such stretches of an item in a document are gathered into passages. Each passage, with as many words
+around it as an alignment can reach, is aligned locally: a match scores 1, a mismatch or gap -1/2. A passage leaks if the score reaches ``SHARE`` of the item's words, and at least
 ``LEAST`` words or the whole item. Copies with words changed, dropped or added keep most of the score.
 
 Test items are the stated query set: they are read in blocks of bounded size, each block travels to
@@ -29,8 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from textlens.llm.words import _BASES, flat_words, mix, steps
 
-SHORTEST, LONGEST = 2, 8
-CHANCE = 0.01
+GAPS = (1, 2)
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 SHARE = 0.4
 LEAST = 8
@@ -39,6 +37,8 @@ BLOCK_WORDS = 200_000
 # Alignment cells computed together.
 CELLS = 1 << 22
 TABLE_BITS = 20
+# Links held at once; texts with more are worked off in halves.
+LINKS = 1 << 22
 
 
 def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -66,92 +66,69 @@ def _texts(batch: pa.RecordBatch, text: str) -> list[str]:
     return [t or "" for t in batch.column(text).to_pylist()]
 
 
-def _counter(vocabulary: np.ndarray, text: str):
-    def run(batches):
-        total, found = 0, np.zeros(len(vocabulary), np.int64)
-        for batch in batches:
-            texts = _texts(batch, text)
-            for part in steps([len(t) for t in texts]):
-                h, _ = _words(texts[part])
-                at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-                found += np.bincount(at[vocabulary[at] == h], minlength=len(vocabulary))
-                total += len(h)
-        # Place -1 is the number of all words.
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(-1, len(vocabulary))), pa.array(np.concatenate(([total], found)))], ["place", "n"]
-        )
-
-    return run
+def _links(h: np.ndarray, gap: int) -> np.ndarray:
+    """Hashes of all pairs of words ``gap`` places apart; gap 0 is the word alone."""
+    return mix(h[:-gap] * _BASES[0] + h[gap:] + np.uint64(2)) if gap else mix(h + np.uint64(1))
 
 
-def word_counts(docs: DataFrame, vocabulary: np.ndarray, text: str) -> tuple[int, np.ndarray]:
-    """All words of the corpus, and how often each of the vocabulary (of one block) occurs."""
-    rows = docs.select(text).mapInArrow(_counter(vocabulary, text), "place long, n long")
-    counts = np.zeros(len(vocabulary) + 1, np.int64)
-    for place, n in rows.groupBy("place").agg(F.sum("n")).collect():  # a row per word of the block
-        counts[place + 1] = n
-    return int(counts[0]), counts[1:]
-
-
-def _runs(h: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(n, hashes of all runs of n words) for the seed lengths."""
-    out = h
-    for n in range(2, LONGEST + 1):
-        if len(h) < n:
-            return
-        out = out[:-1] * _BASES[0] + h[n - 1 :]
-        if n >= SHORTEST:
-            yield n, mix(out + np.uint64(n))
+def threshold(size: np.ndarray) -> np.ndarray:
+    """Least score of a leak of items of so many words."""
+    return np.maximum(SHARE * size, np.minimum(size, LEAST))
 
 
 class Seeds:
-    """Seed runs of a block of items: for each length the sorted hashes and where they lie."""
+    """Links of a block of items: the sorted hashes and where they lie."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], total: int, vocabulary: np.ndarray, counts: np.ndarray):
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.ids = [key for key, _ in items]
         self.items = [h for _, h in items]
-        found: dict[int, list[tuple[int, int, int]]] = {}
-        for k, h in enumerate(self.items):
-            logp = np.log(np.maximum(counts[np.searchsorted(vocabulary, h)], 1) / max(total, 1))
-            sums = np.concatenate(([0.0], np.cumsum(logp)))
-            open_ = np.ones(len(h), bool)
-            for n, hashes in _runs(h):
-                rare = np.log(max(total, 1)) + sums[n:] - sums[:-n] <= np.log(CHANCE)
-                last = n == LONGEST or len(h) == n
-                take = open_[: len(hashes)] & (rare | last)
-                found.setdefault(n, []).extend((int(x), k, int(i)) for x, i in zip(hashes[take], np.flatnonzero(take)))
-                open_[: len(hashes)] &= ~take
-            if len(h) == 1:
-                found.setdefault(1, []).append((int(mix(h + np.uint64(1))[0]), k, 0))
+        self.sizes = np.array([len(h) for h in self.items], np.int64)
+        least = threshold(self.sizes)
+        self.need = np.maximum(np.ceil(least - 1e-9).astype(np.int64) - 1, 1)
+        self.span = np.ceil(3 * self.sizes - 2 * least).astype(np.int64)
         self.tables = {}
-        for n, rows in found.items():
-            rows.sort()
-            keys = np.array([r[0] for r in rows], np.uint64)
-            screen = np.zeros(1 << TABLE_BITS, bool)
-            screen[keys & np.uint64((1 << TABLE_BITS) - 1)] = True
-            self.tables[n] = (keys, np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64), screen)
-
-    def hits(self, h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, item, estimated first word of the item in the flat array) of every seed hit."""
-        runs = [(1, mix(h + np.uint64(1)))] if 1 in self.tables else []
-        at_, item_, pos_ = [], [], []
-        for n, hashes in (*runs, *_runs(h)):
-            if n not in self.tables:
+        pairs = [(k, gap) for k, n in enumerate(self.sizes) for gap in GAPS if n > gap]
+        self._add(GAPS, pairs)
+        self._add((0,), [(k, 0) for k, n in enumerate(self.sizes) if n == 1])
+
+    def _add(self, gaps: tuple[int, ...], links: list[tuple[int, int]]) -> None:
+        if not links:
+            return
+        found = [_links(self.items[k], gap) for k, gap in links]
+        keys = np.concatenate(found)
+        sizes = [len(f) for f in found]
+        ends = np.concatenate([np.arange(gap, gap + n) for (_, gap), n in zip(links, sizes)])
+        order = np.argsort(keys, kind="stable")
+        screen = np.zeros(1 << TABLE_BITS, bool)
+        screen[keys & np.uint64((1 << TABLE_BITS) - 1)] = True
+        table = (keys[order], np.repeat([k for k, _ in links], sizes)[order], ends[order], screen)
+        for gap in gaps:
+            self.tables[gap] = table
+
+    def places(self, h: np.ndarray, doc: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(gap, end word, first place in the table, number of places) of the links of documents that items hold."""
+        out = []
+        for gap, (keys, _, _, screen) in self.tables.items():
+            if len(h) <= gap:
                 continue
-            keys, items, offsets, screen = self.tables[n]
+            hashes = _links(h, gap)
             at = np.flatnonzero(screen[hashes & np.uint64((1 << TABLE_BITS) - 1)])
-            at = at[doc[at] == doc[at + n - 1]]
+            at = at[doc[at] == doc[at + gap]]
             left, right = np.searchsorted(keys, hashes[at], "left"), np.searchsorted(keys, hashes[at], "right")
-            times = right - left
+            hit = right > left
+            out.append((gap, at[hit] + gap, left[hit], (right - left)[hit]))
+        return out
+
+    def hits(self, places) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(end word in the flat array, item, end word in the item) of every link."""
+        at_, item_, pos_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for gap, at, left, times in places:
             at = np.repeat(at, times)
-            seed = np.repeat(left, times) + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+            place = np.repeat(left, times) + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
             at_.append(at)
-            item_.append(items[seed])
-            pos_.append(offsets[seed])
-        if not at_:
-            return (np.zeros(0, np.int64),) * 3
-        at = np.concatenate(at_)
-        return at, np.concatenate(item_), np.concatenate(pos_)
+            item_.append(self.tables[gap][1][place])
+            pos_.append(self.tables[gap][2][place])
+        return np.concatenate(at_), np.concatenate(item_), np.concatenate(pos_)
 
 
 def align(item: list[np.ndarray], passage: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,23 +176,48 @@ def align(item: list[np.ndarray], passage: list[np.ndarray]) -> tuple[np.ndarray
     return best, first, end
 
 
-def _passages(seeds: Seeds, h: np.ndarray, doc: np.ndarray, begins: np.ndarray, counts: np.ndarray):
+def _dense(key: np.ndarray, at: np.ndarray, need: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Which of the sorted places (key, at) are among ``need`` of one key within ``span`` words."""
+    n = len(key)
+    first = np.arange(n)
+    last = first + need - 1
+    held = np.minimum(last, n - 1)
+    full = (last < n) & (key[held] == key[first]) & (at[held] - at[first] <= span)
+    open_ = np.zeros(n + 1, np.int64)
+    np.add.at(open_, first[full], 1)
+    np.add.at(open_, last[full] + 1, -1)
+    return np.cumsum(open_[:-1]) > 0
+
+
+def _passages(seeds: Seeds, places, doc: np.ndarray, begins: np.ndarray, counts: np.ndarray):
     """(document, item, from, to) of the stretches of text to align."""
-    at, item, pos = seeds.hits(h, doc)
+    at, item, pos = seeds.hits(places)
+    key = doc[at] * len(seeds.items) + item
+    # Pairs that share a slot only raise each other's count.
+    slot = key % LINKS
+    many = np.flatnonzero(np.bincount(slot)[slot] >= seeds.need[item]) if len(key) else key
+    many = many[np.lexsort((at[many], key[many]))]
+    at, item, key, pos = at[many], item[many], key[many], pos[many]
+    other = np.ones(len(key), bool)
+    other[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1])
+    near = _dense(key[other], at[other], seeds.need[item[other]], seeds.span[item[other]])
+    near = near[np.cumsum(other) - 1]
+    at, item, key, pos = at[near], item[near], key[near], pos[near]
     if len(at) == 0:
         return
-    d = doc[at]
-    size = np.array([len(x) for x in seeds.items])[item]
-    order = np.lexsort((at, item, d))
-    at, item, pos, d, size = at[order], item[order], pos[order], d[order], size[order]
     new = np.ones(len(at), bool)
-    new[1:] = (d[1:] != d[:-1]) | (item[1:] != item[:-1]) | (at[1:] - at[:-1] > size[1:])
+    new[1:] = (key[1:] != key[:-1]) | (at[1:] - at[:-1] > seeds.span[item[1:]])
     edge = np.flatnonzero(new)
-    low = np.minimum.reduceat(at - pos, edge)
-    high = np.maximum.reduceat(at - pos + size, edge)
-    d, item, size = d[edge], item[edge], size[edge]
-    low = np.maximum(low - size // 2, begins[d])
-    high = np.minimum(high + size // 2, begins[d] + counts[d])
+    # The links of an alignment end at different words of the item, too.
+    stretch = np.cumsum(new) - 1
+    width = int(seeds.sizes.max())
+    ends = np.bincount(np.unique(stretch * width + pos) // width, minlength=len(edge))
+    first, last = at[edge], at[np.append(edge[1:], len(at)) - 1]
+    kept = ends >= seeds.need[item[edge]]
+    first, last, item = first[kept], last[kept], item[edge][kept]
+    d, span = doc[first], seeds.span[item]
+    low = np.maximum(first - span, begins[d])
+    high = np.minimum(last + 1 + span, begins[d] + counts[d])
     yield from zip(d.tolist(), item.tolist(), low.tolist(), high.tolist())
 
 
@@ -238,10 +240,14 @@ def _best(seeds: Seeds, texts: list[str]) -> list[tuple[int, int, float, int, in
     h, counts = _words(texts)
     begins = np.cumsum(counts) - counts
     doc = np.repeat(np.arange(len(counts)), counts)
+    places = seeds.places(h, doc)
+    if len(texts) > 1 and sum(int(times.sum()) for *_, times in places) > LINKS:
+        half = len(texts) // 2
+        return _best(seeds, texts[:half]) + [(d + half, *hit) for d, *hit in _best(seeds, texts[half:])]
     best: dict[tuple[int, int], tuple] = {}
-    for (d, k, low, _), score, first, end in _aligned(seeds, _passages(seeds, h, doc, begins, counts), h):
+    for (d, k, low, _), score, first, end in _aligned(seeds, _passages(seeds, places, doc, begins, counts), h):
         size = len(seeds.items[k])
-        if score >= SHARE * size and score >= min(size, LEAST):
+        if score >= threshold(size):
             start = int(low - begins[d] + first)
             hit = (-score / size, start, int(low - begins[d] + end))
             best[d, k] = min(best.get((d, k), hit), hit)
@@ -264,16 +270,6 @@ def _finder(seeds: Seeds, id_column: str, text: str, schema: pa.Schema):
     return run
 
 
-def _seeded(
-    texts: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, block_words: int
-) -> Iterator[Seeds]:
-    """The seeds of each block of test items, by the word counts of the whole corpus."""
-    for block in item_blocks(items, item_id, item_text, block_words):
-        vocabulary = np.unique(np.concatenate([h for _, h in block]))
-        total, counts = word_counts(texts, vocabulary, text)
-        yield Seeds(block, total, vocabulary, counts)
-
-
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -294,7 +290,8 @@ def leaks(
     arrow = to_arrow_schema(schema)
     slim = docs.select(id_column, text)
     found = docs.sparkSession.createDataFrame([], schema)
-    for seeds in _seeded(slim, items, text, item_id, item_text, block_words):
+    for block in item_blocks(items, item_id, item_text, block_words):
+        seeds = Seeds(block)
         found = found.unionByName(slim.mapInArrow(_finder(seeds, id_column, text, arrow), schema))
     return found
 
@@ -318,6 +315,6 @@ def without_leaks(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no test item; one pass over the texts for each block of items."""
     kept = docs
-    for seeds in _seeded(docs.select(text), items, text, item_id, item_text, block_words):
-        kept = kept.mapInArrow(_clean(seeds, text), docs.schema)
+    for block in item_blocks(items, item_id, item_text, block_words):
+        kept = kept.mapInArrow(_clean(Seeds(block), text), docs.schema)
     return kept
