@@ -117,3 +117,20 @@ def test_texts_with_many_links_are_halved(monkeypatch):
     whole = D._best(seeds, texts)
     monkeypatch.setattr(D, "LINKS", 40)
     assert D._best(seeds, texts) == whole == [(1, 0, 1.0, 0, 30), (3, 0, 1.0, 1, 31)]
+
+
+def test_long_verbatim_parts_leak_whatever_the_share(spark):
+    rng = random.Random(4)
+    draw = lambda n: [rng.choice(WORDS[4:]) for _ in range(n)]
+    items = {1: draw(55), 2: draw(500)}
+    changed = items[2][300:320]
+    changed[8] = "other"
+    body = lambda words: " ".join(draw(60) + words + draw(60))
+    rows = [(1, body(items[1][10:31])), (2, body(items[2][100:299])), (3, body(items[2][40:53])), (4, body(changed)),
+            (5, body(items[1][10:22])), (6, body(sum(([w, "gap", "gap"] for w in items[2][:40]), []))), (7, body([]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in D.leaks(docs, table).collect()}
+    assert set(found) == {(1, 1), (2, 2), (3, 2), (4, 2)}
+    assert (found[1, 1]["start"], found[1, 1]["end"]) == (60, 81) and found[1, 1]["score"] == pytest.approx(21 / 55)
+    assert sorted(r["doc_id"] for r in D.without_leaks(docs, table).collect()) == [5, 6, 7]

@@ -9,6 +9,10 @@ that leaks is without them. Word counts play no part: the same document and item
 Alignment. Such stretches of an item in a document are gathered into passages. Each passage, with as many words
 around it as an alignment can reach, is aligned locally: a match scores 1, a mismatch or gap -1/2. A passage leaks if the score reaches ``SHARE`` of the item's words, and at least
 ``LEAST`` words or the whole item. Copies with words changed, dropped or added keep most of the score.
+Of longer items a part is enough: a passage also leaks if an alignment in which each error takes off
+``STRICT`` reaches ``VERBATIM``, so that many words in a row or more with a few changed, however long the item.
+Such an alignment holds ``VERBATIM`` - 1 steps without an error within ``STRETCH`` words: of M = VERBATIM + 2E matches
+VERBATIM - 1 + E steps, on at most VERBATIM + 3E words.
 
 Test items are the stated query set: they are read in blocks of bounded size, each block travels to
 the tasks, and the documents never move. Words are compared in lower case without ASCII punctuation.
@@ -32,6 +36,9 @@ GAPS = (1, 2)
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 SHARE = 0.4
 LEAST = 8
+VERBATIM, STRICT = 13, 2.0
+# Most words on which VERBATIM - 1 of the steps without an error lie closest, over all numbers of errors.
+STRETCH = max((VERBATIM + 3 * e) // (1 + e // (VERBATIM - 1)) for e in range(10 * VERBATIM))
 # Words of test items held at once; more are worked off in further blocks.
 BLOCK_WORDS = 200_000
 # Alignment cells computed together.
@@ -86,6 +93,8 @@ class Seeds:
         least = threshold(self.sizes)
         self.need = np.maximum(np.ceil(least - 1e-9).astype(np.int64) - 1, 1)
         self.span = np.ceil(3 * self.sizes - 2 * least).astype(np.int64)
+        # Items of which a dense part can leak below the share.
+        self.long = least > VERBATIM
         self.tables = {}
         pairs = [(k, gap) for k, n in enumerate(self.sizes) for gap in GAPS if n > gap]
         self._add(GAPS, pairs)
@@ -101,14 +110,14 @@ class Seeds:
         order = np.argsort(keys, kind="stable")
         screen = np.zeros(1 << TABLE_BITS, bool)
         screen[keys & np.uint64((1 << TABLE_BITS) - 1)] = True
-        table = (keys[order], np.repeat([k for k, _ in links], sizes)[order], ends[order], screen)
+        table = (keys[order], np.repeat([k for k, _ in links], sizes)[order], ends[order], np.repeat([g for _, g in links], sizes)[order], screen)
         for gap in gaps:
             self.tables[gap] = table
 
     def places(self, h: np.ndarray, doc: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(gap, end word, first place in the table, number of places) of the links of documents that items hold."""
         out = []
-        for gap, (keys, _, _, screen) in self.tables.items():
+        for gap, (keys, *_, screen) in self.tables.items():
             if len(h) <= gap:
                 continue
             hashes = _links(h, gap)
@@ -119,19 +128,22 @@ class Seeds:
             out.append((gap, at[hit] + gap, left[hit], (right - left)[hit]))
         return out
 
-    def hits(self, places) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(end word in the flat array, item, end word in the item) of every link."""
-        at_, item_, pos_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def hits(self, places) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(end word in the flat array, item, end word in the item, no error between) of every link."""
+        at_, item_, pos_, exact_ = ([np.zeros(0, kind)] for kind in (np.int64, np.int64, np.int64, bool))
         for gap, at, left, times in places:
             at = np.repeat(at, times)
             place = np.repeat(left, times) + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
             at_.append(at)
             item_.append(self.tables[gap][1][place])
             pos_.append(self.tables[gap][2][place])
-        return np.concatenate(at_), np.concatenate(item_), np.concatenate(pos_)
+            exact_.append(self.tables[gap][3][place] == 1 if gap == 1 else np.zeros(len(place), bool))
+        return np.concatenate(at_), np.concatenate(item_), np.concatenate(pos_), np.concatenate(exact_)
 
 
-def align(item: list[np.ndarray], passage: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def align(
+    item: list[np.ndarray], passage: list[np.ndarray], mismatch: float = MISMATCH, gap: float = GAP
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best local alignment of each pair: score, first and end word in the passage.
 
     All pairs advance together, one item word a step; the start of the best path travels along.
@@ -149,8 +161,8 @@ def align(item: list[np.ndarray], passage: list[np.ndarray]) -> tuple[np.ndarray
     every = np.arange(rows)
     for i in range(tall):
         live = a_in[:, i : i + 1] & b_in
-        step = np.where((a[:, i : i + 1] == b) & live, MATCH, MISMATCH)
-        diagonal, up = score[:, :-1] + step, score[:, 1:] + GAP
+        step = np.where((a[:, i : i + 1] == b) & live, MATCH, mismatch)
+        diagonal, up = score[:, :-1] + step, score[:, 1:] + gap
         take = diagonal >= up
         new, origin = np.zeros_like(score), np.tile(column, (rows, 1))
         new[:, 1:] = np.where(take, diagonal, up)
@@ -158,12 +170,12 @@ def align(item: list[np.ndarray], passage: list[np.ndarray]) -> tuple[np.ndarray
         fresh = new <= 0
         new[fresh] = 0
         origin[fresh] = np.broadcast_to(column, origin.shape)[fresh]
-        # Gaps along the passage: the best cell to the left, less GAP for each word between.
-        level = new - GAP * column
+        # Gaps along the passage: the best cell to the left, less ``gap`` for each word between.
+        level = new - gap * column
         lead = np.maximum.accumulate(level, axis=1)
         behind = lead > level
         source = np.maximum.accumulate(np.where(behind, 0, column), axis=1)
-        new = np.where(behind, lead + GAP * column, new)
+        new = np.where(behind, lead + gap * column, new)
         origin = np.take_along_axis(origin, source, axis=1)
         score = np.where(a_in[:, i : i + 1], new, score)
         start = np.where(a_in[:, i : i + 1], origin, start)
@@ -189,46 +201,59 @@ def _dense(key: np.ndarray, at: np.ndarray, need: np.ndarray, span: np.ndarray)
     return np.cumsum(open_[:-1]) > 0
 
 
-def _passages(seeds: Seeds, places, doc: np.ndarray, begins: np.ndarray, counts: np.ndarray):
-    """(document, item, from, to) of the stretches of text to align."""
-    at, item, pos = seeds.hits(places)
-    key = doc[at] * len(seeds.items) + item
-    # Pairs that share a slot only raise each other's count.
-    slot = key % LINKS
-    many = np.flatnonzero(np.bincount(slot)[slot] >= seeds.need[item]) if len(key) else key
-    many = many[np.lexsort((at[many], key[many]))]
-    at, item, key, pos = at[many], item[many], key[many], pos[many]
+def _in_dense(key: np.ndarray, at: np.ndarray, need: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """The same for places that may come several times and then count once."""
     other = np.ones(len(key), bool)
     other[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1])
-    near = _dense(key[other], at[other], seeds.need[item[other]], seeds.span[item[other]])
-    near = near[np.cumsum(other) - 1]
-    at, item, key, pos = at[near], item[near], key[near], pos[near]
+    return _dense(key[other], at[other], need[other], span[other])[np.cumsum(other) - 1]
+
+
+def _stretches(seeds: Seeds, key, at, item, pos, need) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first, last, item) of neighbouring links with ends at ``need`` words of the item (the same holds for an alignment)."""
     if len(at) == 0:
         return
     new = np.ones(len(at), bool)
     new[1:] = (key[1:] != key[:-1]) | (at[1:] - at[:-1] > seeds.span[item[1:]])
     edge = np.flatnonzero(new)
-    # The links of an alignment end at different words of the item, too.
     stretch = np.cumsum(new) - 1
     width = int(seeds.sizes.max())
     ends = np.bincount(np.unique(stretch * width + pos) // width, minlength=len(edge))
-    first, last = at[edge], at[np.append(edge[1:], len(at)) - 1]
-    kept = ends >= seeds.need[item[edge]]
-    first, last, item = first[kept], last[kept], item[edge][kept]
-    d, span = doc[first], seeds.span[item]
-    low = np.maximum(first - span, begins[d])
-    high = np.minimum(last + 1 + span, begins[d] + counts[d])
-    yield from zip(d.tolist(), item.tolist(), low.tolist(), high.tolist())
+    kept = ends >= need[edge]
+    yield at[edge][kept], at[np.append(edge[1:], len(at)) - 1][kept], item[edge][kept]
 
 
-def _aligned(seeds: Seeds, found, h: np.ndarray):
+def _passages(seeds: Seeds, places, doc: np.ndarray, begins: np.ndarray, counts: np.ndarray):
+    """(document, item, from, to) of the stretches of text to align."""
+    at, item, pos, exact = seeds.hits(places)
+    key = doc[at] * len(seeds.items) + item
+    least = np.where(seeds.long, np.minimum(seeds.need, VERBATIM - 1), seeds.need)
+    # Pairs that share a slot only raise each other's count.
+    slot = key % LINKS
+    many = np.flatnonzero(np.bincount(slot)[slot] >= least[item]) if len(key) else key
+    many = many[np.lexsort((at[many], key[many]))]
+    at, item, key, pos, exact = at[many], item[many], key[many], pos[many], exact[many]
+    # By the share of the item, then by dense parts of long ones.
+    for chosen, need, span in (
+        (np.ones(len(at), bool), seeds.need[item], seeds.span[item]),
+        (exact & seeds.long[item], np.full(len(at), VERBATIM - 1), np.full(len(at), STRETCH)),
+    ):
+        of = np.flatnonzero(chosen)
+        of = of[_in_dense(key[of], at[of], need[of], span[of])]
+        for first, last, k in _stretches(seeds, key[of], at[of], item[of], pos[of], need[of]):
+            d, reach = doc[first], seeds.span[k]
+            low = np.maximum(first - reach, begins[d])
+            high = np.minimum(last + 1 + reach, begins[d] + counts[d])
+            yield from zip(d.tolist(), k.tolist(), low.tolist(), high.tolist())
+
+
+def _aligned(seeds: Seeds, found, h: np.ndarray, mismatch: float = MISMATCH, gap: float = GAP):
     """Score passages in groups of similar size, so that little of the padding is wasted."""
-    found = sorted(found, key=lambda f: (f[3] - f[2], len(seeds.items[f[1]])))
+    found = sorted(found, key=lambda f: (f[3] - f[2], len(seeds.items[f[1]]), f))
     group, cells = [], 0
     for f in [*found, None]:
         size = (f[3] - f[2] + 1) * len(seeds.items[f[1]]) if f else 0
         if group and (f is None or cells + size > CELLS):
-            yield from zip(group, *align([seeds.items[g[1]] for g in group], [h[g[2] : g[3]] for g in group]))
+            yield from zip(group, *align([seeds.items[g[1]] for g in group], [h[g[2] : g[3]] for g in group], mismatch, gap))
             group, cells = [], 0
         if f:
             group.append(f)
@@ -245,12 +270,21 @@ def _best(seeds: Seeds, texts: list[str]) -> list[tuple[int, int, float, int, in
         half = len(texts) // 2
         return _best(seeds, texts[:half]) + [(d + half, *hit) for d, *hit in _best(seeds, texts[half:])]
     best: dict[tuple[int, int], tuple] = {}
-    for (d, k, low, _), score, first, end in _aligned(seeds, _passages(seeds, places, doc, begins, counts), h):
+    found = set(_passages(seeds, places, doc, begins, counts))
+    held = {}
+    for passage, score, first, end in _aligned(seeds, found, h):
+        d, k, low, _ = passage
         size = len(seeds.items[k])
+        start = int(low - begins[d] + first)
+        hit = (-score / size, start, int(low - begins[d] + end))
         if score >= threshold(size):
-            start = int(low - begins[d] + first)
-            hit = (-score / size, start, int(low - begins[d] + end))
             best[d, k] = min(best.get((d, k), hit), hit)
+        elif seeds.long[k] and score >= VERBATIM:
+            held[passage] = hit
+    for passage, score, *_ in _aligned(seeds, held, h, -STRICT, -STRICT):
+        d, k, *_ = passage
+        if score >= VERBATIM:
+            best[d, k] = min(best.get((d, k), held[passage]), held[passage])
     return [(d, k, -s, a, b) for (d, k), (s, a, b) in sorted(best.items())]
 
 
