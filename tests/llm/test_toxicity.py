@@ -87,3 +87,21 @@ def test_held_out_accuracy(spark):
     scored = queries.op9_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")
     row = scored.selectExpr("avg(CASE WHEN predicted = toxic THEN 1.0 ELSE 0.0 END) AS a", "sum(CASE WHEN predicted = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS wrong").first()
     assert row["a"] >= 0.9 and row["wrong"] <= 2
+
+
+def test_hidden_words_next_to_others_and_in_long_stretches(fitted):
+    hidden = {
+        "you are a i d i o t": ["idiot"], "y.o.u-s.t.u.p.i.d": ["stupid"], "s t u p i d m o r o n": ["stupid", "moron"],
+        "t e n " * 30 + "i d i o t": ["idiot"], "i d i o t" + " k a" * 200: ["idiot*"], "mo" + "o" * 100 + "ron": ["moron"],
+        "1 d 1 0 t": ["idiot"], "stu.pid": ["stupid"], "m-0-r0n": ["moron"], "idio7": ["idiot"], '"1diot': ["idiot"], "1-diot": ["idiot"],
+    }
+    reader = X.Reader(fitted.model)
+    for text, plain in hidden.items():
+        found = {f for w in reader.words(f"sun ten {text} kalor") for f in X.features(w)}
+        assert found.issuperset(plain), text
+        assert fitted.evidence(reader, f"sun ten {text} kalor") > 0
+
+
+def test_a_long_stretch_is_read_once():
+    assert list(X.suspicious("x" + "4b" * 500)) == ["x" + "4b" * 500]
+    assert list(X.suspicious(" ".join("ab" * 300))) == [" ".join("ab" * 300)]

@@ -1,10 +1,11 @@
 """Toxicity by noisy-channel deobfuscation and learned word evidence.
 
-Restoring. A suspicious stretch (letters mixed with look-alike digits and signs, single letters set apart by
-spaces or dots, letters repeated three times and more) opens a lattice: each position may stand for itself, for the
-letters it looks like, for nothing (separators), or a run for one or two of its letters. Viterbi finds the cheapest
-path under a character trigram model of the corpus plus the cost of each disguise. The words found are added to
-the words as written.
+Restoring. A suspicious stretch (letters mixed with look-alike digits and signs or with separators, single letters or
+look-alikes set apart by spaces or dots, letters repeated three times and more) opens a lattice: each position may stand for
+itself, for the letters it looks like, for nothing or the end of a word (separators), or a run for one or two of its
+letters. Viterbi finds the cheapest path under a character trigram model of the corpus plus the cost of each disguise.
+Stretches are read whole, however long, runs of more than ``RUN`` equal characters as so many. All words found are added
+to the words as written.
 
 Scoring. Evidence is a word, or the stem (first 4 to 6 letters) of one, that stands in toxic training
 texts more often than chance allows: its likelihood ratio statistic must pass a bound that counts
@@ -44,15 +45,31 @@ LOOKS_LIKE = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c",
 }
 SEPARATORS = " .-_*"
-SWAP, DROP, CUT = 1.0, 0.5, 0.3  # cost of a look-alike, a separator, a shortened run
+SWAP, DROP, CUT = 1.0, 0.5, 0.3  # cost of a look-alike, a separator (left out or a word's end), a shortened run
+# Look-alikes that also end words as punctuation.
+ENDS = "!+("
 _SIGNS = re.escape("".join(LOOKS_LIKE))
+_TRAILING = re.escape("".join(c for c in LOOKS_LIKE if c not in ENDS))
 # Letters set apart: the whole stretch. Otherwise the place that gives a disguise away; the stretch is what
 # stands around it up to white space.
-SPACED = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?![^\W\d_])")
+_LETTER = r"[^\W\d_]"
+_ONE = rf"(?:{_LETTER}|[{_SIGNS}])"
+SPACED = re.compile(rf"(?<!{_LETTER}){_ONE}(?:[ .\-_*]{{1,3}}{_ONE}){{2,}}(?!{_LETTER})")
+_ANY = rf"[{_SIGNS}.\-_*]"
 GIVEAWAYS = (
-    re.compile(rf"(?:(?<=[^\W\d_])|(?<!\S))[{_SIGNS}]+(?=[^\W\d_])"),  # l00kal1ke
-    re.compile(r"([^\W\d_])\1\1+"),  # repeeeated
+    # l00kal1ke, in-ner, lookalik3, 1ookalike; the character comes first, as that is faster to search for.
+    re.compile(
+        rf"{_ANY}(?:(?<={_LETTER}.)(?:{_ANY}*(?={_LETTER})|[{_TRAILING}.\-_*]*(?<=[{_TRAILING}])(?!\w))"
+        rf"|(?<!\w.)(?:(?<=[{_SIGNS}]){_ANY}*|{_ANY}*[{_SIGNS}]{_ANY}*)(?={_LETTER}))"
+    ),
+    re.compile(rf"({_LETTER})\1\1+"),  # repeeeated
 )
+RUN = 3
+_RUNS = re.compile(rf"(.)\1{{{RUN},}}", re.S)
+_REST = re.compile(r"\S*")
+# Stretches up to this length are kept with what they hide.
+KEPT = 80
+# No word is longer.
 LONGEST = 40
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -92,17 +109,23 @@ def _trigrams(text: str):
 
 
 def suspicious(text: str) -> Iterator[str]:
-    """Stretches that may hide a word; longer ones than any word in pieces."""
+    """Stretches that may hide words, each once, long runs cut to ``RUN``."""
     for match in SPACED.finditer(text):
-        yield from (text[k : min(k + LONGEST, match.end())] for k in range(match.start(), match.end(), LONGEST))
+        if WORD.search(match[0]):
+            yield _RUNS.sub(r"\1" * RUN, match[0])
+    seen = set()
     for pattern in GIVEAWAYS:
+        done = 0
         for match in pattern.finditer(text):
             low, high = match.span()
-            while low > 0 and match.start() - low < LONGEST and not text[low - 1].isspace():
+            if low < done:
+                continue
+            while low > done and not text[low - 1].isspace():
                 low -= 1
-            while high < len(text) and high - match.end() < LONGEST and not text[high].isspace():
-                high += 1
-            yield text[low:high][: 2 * LONGEST].strip(SEPARATORS + ",;:?\"'#%&*")
+            done = _REST.match(text, high).end()
+            if low not in seen:
+                seen.add(low)
+                yield _RUNS.sub(r"\1" * RUN, text[low:done].strip(SEPARATORS + ",;:?\"'#%&*"))
 
 
 class CharacterModel:
@@ -142,29 +165,53 @@ def _options(token: str, i: int) -> Iterator[tuple[str, int, float]]:
             yield letter, run, SWAP + CUT
     if c in SEPARATORS:
         yield "", i + 1, DROP
+        yield " ", run, DROP
+    elif c in ENDS:
+        yield " ", run, 2 * SWAP
+    elif not c.isalnum() and c not in LOOKS_LIKE:
+        yield " ", run, 0.0
     if not c.isalpha():
         yield "", run, 8 * SWAP
 
 
 def restore(token: str, model: CharacterModel) -> str:
-    """The likeliest plain word behind a disguised one (Viterbi over the lattice)."""
+    """The likeliest plain words behind a disguised stretch, set apart by spaces (Viterbi over the lattice)."""
     token = token.lower()
-    best: list[dict[tuple[int, int], tuple[float, str]]] = [{} for _ in range(len(token) + 1)]
-    best[0][1, 1] = (0.0, "")
-    cost = model.cost
+    # State: the last two characters; value: cost, letters of the last step, value before it.
+    best: list[dict[tuple[int, int], tuple]] = [{} for _ in range(len(token) + 1)]
+    best[0][1, 1] = (0.0, "", None)
+    cost = model.cost.item
     for i in range(len(token)):
-        for (a, b), (so_far, word) in best[i].items():
-            for letters, to, price in _options(token, i):
-                x, y, total = a, b, so_far + price
-                for letter in letters:
-                    z = _PLACE.get(letter, 0)
-                    total += float(cost[x, y, z])
+        if not best[i]:
+            continue
+        options = [(s, [_PLACE.get(c, 1 if c == " " else 0) for c in s], best[to], price) for s, to, price in _options(token, i)]
+        for (a, b), path in best[i].items():
+            for letters, places, there, price in options:
+                x, y, total = a, b, path[0] + price
+                for z in places:
+                    total += cost(x, y, z)
                     x, y = y, z
-                held = best[to].get((x, y))
-                if held is None or (total, word + letters) < held:
-                    best[to][x, y] = (total, word + letters)
-    ends = [(total + float(cost[a, b, 1]), word) for (a, b), (total, word) in best[-1].items()]
-    return min(ends)[1] if ends else token
+                held = there.get((x, y))
+                if held is None or total < held[0]:
+                    there[x, y] = (total, letters, path)
+        best[i] = {}
+    ends = [(path[0] + (0.0 if b == 1 else cost(a, b, 1)), k, path) for k, ((a, b), path) in enumerate(best[-1].items())]
+    if not ends:
+        return token
+    path, out = min(ends)[2], []
+    while path is not None:
+        out.append(path[1])
+        path = path[2]
+    return " ".join("".join(reversed(out)).split())
+
+
+def readings(token: str, model: CharacterModel) -> list[str]:
+    """The words of a stretch. Where letters are set apart any of them may begin a word, as the ends are hidden too."""
+    plain = restore(token, model).split()
+    if SPACED.search(token):
+        joined = "".join(plain)
+        plain += [joined[k : k + LONGEST] for k in range(len(joined) - min(STEMS) + 1)]
+    return plain
 
 
 class Reader:
@@ -177,12 +224,14 @@ class Reader:
         low = (text or "").lower()
         found = set(WORD.findall(low))
         for token in suspicious(low):
-            if token not in self.known:
-                if len(self.known) > 100_000:
-                    self.known.clear()
-                self.known[token] = restore(token, self.model)
-            found.add(self.known[token])
-        found.discard("")
+            plain = self.known.get(token)
+            if plain is None:
+                plain = readings(token, self.model)
+                if len(token) <= KEPT:
+                    if len(self.known) > 100_000:
+                        self.known.clear()
+                    self.known[token] = plain
+            found.update(plain)
         return found
 
 
