@@ -101,3 +101,21 @@ def test_blocks_of_a_large_host(spark, monkeypatch):
     assert {r["text"] for r in H.main_text(df).collect()} == {f"t{k}" for k in range(300)}
     monkeypatch.setattr(H, "MAX_BIG_HOSTS", -1)
     assert {r["text"] for r in H.main_text(df).collect()} == {f"t{k}" for k in range(300)}
+
+
+NAMED = {
+    "<body><div class='has-sidebar'><article><p>a</article></div>": "a", "<body><div class='no-sidebar'><p>a</div>": "a",
+    "<body><div id='sidebar'><div><article><p>a</article></div></div>": "a", "<body><div class='content'><div class='menu'><h1>T</h1></div><p>a</div>": "T\n\na",
+    "<article><div class='article-header'><h1>T</h1><p>by x</div><p>a</article>": "T\n\nby x\n\na",
+    "<article><div class='search-results'><p>a</div><div class='post social-shares'><p>b</div></article>": "a\n\nb",
+    "<article><div class='widget'><p>a</div><p class='notice'>b<p class='alert'>c<p class='side note'>d</article>": "a\n\nb\n\nc\n\nd",
+    "<div class='overlay'><p>all the text of the page</div><p>more</p>": "all the text of the page\n\nmore",
+    "<article><p>a long enough text<div class='box sidebar'><p>s</div><div class='ad-slot'>x</div><div class='related-posts'>y</div></article>": "a long enough text",
+    "<article><p>a long enough text<div class='comments'><article>c</article></div></article><div class='related'><article>r</article></div>": "a long enough text",
+    "<article><p>a long enough text</article><nav><h1>menu</h1></nav>": "a long enough text",
+}
+
+
+@pytest.mark.parametrize("page", list(NAMED))
+def test_names_take_out_no_main_text(page):
+    assert H.extract([page]) == [NAMED[page]]

@@ -6,7 +6,8 @@ parents and order. A text slot whose content is the same on nearly all aligned p
 vary are content. Only pages that differ as a whole vote, so copies of one article do not make it a template.
 The content is what remains of the article (or of the main part, or of the body where there is none) without the
 template slots and without parts that are no text of the article by their tag, role or name: menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, comments of readers.
+footers, sidebars, adverts, forms, scripts, styles, comments of readers. Names count as a whole, and none takes out an
+element that holds a first heading, most of the page's text or its only article; other names are left to the template.
 
 No task holds more than one block, however many pages a host has, and a page moves once.
 
@@ -36,12 +37,20 @@ SKIPPED_TAGS = frozenset(
     "canvas menu dialog object embed audio video map".split()
 )
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-SKIPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
-    r"comments?|disqus|replies|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|share|sharing|social|related|"
-    r"recommended|footer|header|masthead|newsletter|subscribe|signup|login|search|pagination|pager|widget)(?:$|[\s_-])",
-    re.I,
+# Whole class or id names; of the parts that names of several parts are made of, those that leave no doubt.
+SKIPPED_NAMES = frozenset(
+    "ad ads advert advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr popup "
+    "modal overlay comments disqus replies sidebar menu nav navbar navigation breadcrumb breadcrumbs share sharing "
+    "social-share social-links related recommended footer masthead newsletter subscribe signup login pagination pager".split()
 )
+COMPOUND_NAMES = re.compile(
+    r"(?:ad|ads|cookie|cookies|gdpr|consent|disqus|newsletter|social)[_-](?:slot|unit|box|banner|bar|container|wrapper|notice|"
+    r"popup|modal|overlay|thread|signup|form|links|share|sharing|buttons|icons)"
+    r"|(?:site|page|main|top|global)[_-](?:footer|nav|menu|navbar|navigation|masthead)"
+    r"|(?:comment|comments|related|recommended)[_-](?:list|section|area|thread|posts|articles|links|stories)"
+)
+# A part named so is still text if it holds as much of the page's text.
+MOST = 0.5
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre section summary table tbody td tfoot th "
@@ -64,12 +73,12 @@ _SPACE = re.compile(r"\s+")
 class Node:
     """An element, or a text slot (tag ``#``) of a block."""
 
-    __slots__ = ("tag", "attributes", "children", "text", "shape", "size", "template")
+    __slots__ = ("tag", "attributes", "children", "text", "shape", "size", "template", "held")
 
     def __init__(self, tag: str, attributes: dict[str, str] | None = None, text: str = ""):
         self.tag, self.attributes, self.text = tag, attributes or {}, text
         self.children: list[Node] = []
-        self.shape, self.size, self.template = 0, 1, False
+        self.shape, self.size, self.template, self.held = 0, 1, False, False
 
 
 def _attributes(body: str) -> dict[str, str]:
@@ -128,6 +137,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
         elif tag not in VOID_TAGS and not body.rstrip().endswith("/"):
             stack.append(node)
+    hold(root)
     return root
 
 
@@ -143,9 +153,52 @@ def skipped(node: Node, in_article: bool) -> bool:
         return True
     if a.get("role", "").lower() in SKIPPED_ROLES:
         return True
-    if node.tag in ("html", "body", "article", "main"):
+    if node.held or node.tag in ("html", "body", "article", "main"):
         return False
-    return any(SKIPPED_NAMES.search(a[k]) for k in ("class", "id") if k in a)
+    return named(node)
+
+
+def named(node: Node) -> bool:
+    """Whether a class or the id says that this is no text of the article."""
+    a = node.attributes
+    names = f"{a.get('class', '')} {a.get('id', '')}".lower().split()
+    return any(n in SKIPPED_NAMES or COMPOUND_NAMES.fullmatch(n) for n in names)
+
+
+def hold(root: Node) -> None:
+    """Mark the named elements that hold a first heading, most of the text, or the page's only articles or main parts.
+
+    Where an article stands free, those in elements with such names are comments or teasers.
+    """
+    # Of each element the characters of text, and what it holds: 1 for a first heading, 2 for an article or main part.
+    chars: dict[int, int] = {}
+    holds: dict[int, int] = {}
+    doubtful: list[Node] = []
+    free = False
+    stack = [(root, False, False, False)]
+    while stack:
+        node, done, out, inside = stack.pop()
+        if node.tag == "#":
+            chars[id(node)], holds[id(node)] = (0 if out else len(node.text.strip())), 0
+            continue
+        if not done:
+            # Text of elements that are out whatever their name does not count as the page's.
+            out = out or node.tag in SKIPPED_TAGS
+            part = node.tag in ("article", "main") or node.attributes.get("role") == "main"
+            if not out and not part and node.attributes and named(node):
+                inside = True
+                doubtful.append(node)
+            free = free or (part and not out and not inside)
+            holds[id(node)] = 0 if out else 2 * part + (node.tag == "h1")
+            stack.append((node, True, out, inside))
+            stack.extend((c, False, out, inside) for c in node.children)
+            continue
+        chars[id(node)] = sum(chars[id(c)] for c in node.children)
+        for c in node.children:
+            holds[id(node)] |= holds[id(c)]
+    for node in doubtful:
+        has = holds[id(node)]
+        node.held = bool(has & 1) or (has >= 2 and not free) or chars[id(node)] > MOST * chars[id(root)]
 
 
 def article(root: Node) -> list[Node]:
