@@ -83,3 +83,29 @@ def test_redact(spark):
 def test_listed(spark):
     df = S.scan(spark.createDataFrame([(1, "token=abcdef0123456789abcdef01")], "doc_id long, text string"))
     assert df.select(S.listed(df["base_spans"]).alias("s")).first()["s"] == "assign:0:30,hex:6:30"
+
+
+def test_keys_of_every_alphabet_are_found(spark):
+    rng = random.Random(3)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    kinds = {"upper hex": ("0123456789ABCDEF", 0.9), "base32": (upper + "234567", 0.9), "letters": (upper + lower, 0.8)}
+    rows, n = [], 100
+    for kind, (alphabet, _) in kinds.items():
+        rows += [(f"{kind}/{size}", "key " + "".join(rng.choice(alphabet) for _ in range(size)) + " end") for size in (20, 32, 40, 64) for _ in range(n)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    found = Counter(r["doc_id"] for r in S.scan(df, thorough=True).where("size(spans) > size(base_spans)").collect())
+    for kind, (_, share) in kinds.items():
+        assert all(found[f"{kind}/{size}"] >= share * n for size in (20, 32, 40, 64)), found
+    names = ["getElementsByClassNameAndTag", "org/apache/spark/SparkContext", "parseHtmlDocumentFragment", "AVERYLONGCONSTANTNAME", "internationalisation"]
+    plain = spark.createDataFrame([(k, t) for k, t in enumerate(names)], "doc_id long, text string")
+    assert all(r["spans"] == [] for r in S.scan(plain, thorough=True).collect())
+
+
+def test_what_a_pattern_leaves_of_a_candidate_is_scanned(spark):
+    access, secret = "AKIA" + "Q7XW" * 4, "zQ8xV2mK9pL4nR7tW3yB6cD1zQ8xV2mK9pL4nR7t"
+    rows = [(1, f"a {access}/{secret} b"), (2, f"a {secret}/{access} b"), (3, f"a {access}/short1 b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r["doc_id"]: [(s["start"], s["rank"], s["end"]) for s in r["spans"]] for r in S.scan(df, thorough=True).collect()}
+    assert spans == {1: [(2, 1, 22), (23, 3, 63)], 2: [(2, 3, 42), (43, 1, 63)], 3: [(2, 1, 22)]}
+    cleaned = {r["doc_id"]: r["text"] for r in S.redact(df).collect()}
+    assert cleaned == {1: "a [SECRET]/[SECRET] b", 2: "a [SECRET]/[SECRET] b", 3: "a [SECRET]/short1 b"}

@@ -63,7 +63,7 @@ def token_ids(docs: DataFrame) -> DataFrame:
 
 
 def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
-    scanned = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    scanned = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"), thorough=True)
     count = lambda rank: F.size(F.filter("base_spans", lambda s: s["rank"] == rank)).cast("bigint")
     return scanned.select(
         "doc_id",

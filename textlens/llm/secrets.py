@@ -6,12 +6,12 @@ the matches themselves, measured in code points, give every start and end.
 Kinds, in the order in which spans that start together are listed: ``assign`` (a value assigned to a
 password-like name), ``access`` (access key ids), ``hex`` (long hex runs), ``entropy`` (the method).
 
-Entropy: a candidate is a whole run of key characters of at least ``WINDOW`` with a digit in it. Its character
-class (hex, or mixed letters and digits) sets the threshold. A window of ``WINDOW`` characters slides over it; of
+Entropy: a candidate is a whole run of key characters of at least ``WINDOW`` with a digit or mixed case in it, less the
+pattern spans (``thorough``, as the query and ``redact`` do; see ``scan``). The character class of each piece (hex of
+one or both cases, capitals, mixed letters and digits, letters that change their case often) sets the threshold. A window of ``WINDOW`` characters slides over it; of
 the sum of c * log2(c) over the window's character counts only the terms of the character that leaves
 and the one that enters change. The span reaches from the first to the last window above the threshold.
-Candidates on the allow list (placeholders, identifiers that are no secrets) and those that overlap a pattern span
-are left out; the pattern spans always stay.
+Pieces on the allow list (placeholders, identifiers that are no secrets) are left out; the pattern spans always stay.
 
 Defined results: null text counts as empty and has no spans. Rows are scanned one by one, other columns
 are kept, added ones replace columns of the same name.
@@ -35,12 +35,19 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
-# Character class -> (pattern of the whole candidate, bits a character at least).
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9]|[A-Za-z]*[a-z][A-Z])[A-Za-z0-9+/_=-]{20,}"
+# Character class -> (pattern of the whole piece, bits a character at least).
 CLASSES = (
     ("hex", r"^(?=.*[a-f])[0-9a-f]+$", 2.9),
+    ("upper hex", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", 2.9),
+    ("any hex", r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 3.2),
+    ("capitals", r"^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+=*$", 3.4),
     ("mixed", r"^(?=.*[0-9])(?=.*[A-Za-z]).+$", 3.7),
+    # Names in camel case change less often and rarely have capitals side by side.
+    ("letters", r"^(?=(?:.*?[a-z][A-Z]){3})(?=.*[A-Z]{2})[A-Za-z]+=*$", 3.7),
 )
+# Characters between a pattern span and what follows.
+JOINS = "+/_=-"
 ALLOWED = (
     r"(?i)example|sample|placeholder|changeme|xxxx|0123456789|abcdefghij",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
@@ -92,12 +99,13 @@ def _occurrences(window: Column, character: Column) -> Column:
     return F.size(F.filter(window, lambda c: c == character))
 
 
-def _hot(candidate: Column, bits: float) -> Column:
-    """(first, last): starts of the first and last windows with at least ``bits`` of entropy; last -1 if none.
+def _most(bits: float) -> float:
+    """H = log2(W) - S / W with S the sum of c * log2(c), so the bound on H is one on S."""
+    return (math.log2(WINDOW) - bits) * WINDOW + 1e-9
 
-    H = log2(W) - S / W with S the sum of c * log2(c), so the bound on H is one on S.
-    """
-    most = (math.log2(WINDOW) - bits) * WINDOW + 1e-9
+
+def _hot(candidate: Column, most: Column) -> Column:
+    """(first, last): starts of the first and last windows with S up to ``most``; last -1 if none."""
 
     def step(chars: Column, acc: Column, i: Column) -> Column:
         # 1-based positions: character i enters, character i - WINDOW leaves.
@@ -125,23 +133,48 @@ def _hot(candidate: Column, bits: float) -> Column:
     )
 
 
-def _entropy(text: Column, known: Column) -> Column:
-    """Spans of high entropy that overlap none of the ``known`` ones."""
-    def span(m: Column) -> Column:
-        hot = F.lit(None)
+def _pieces(m: Column, known: Column) -> Column:
+    """Array of (start, end) of what the sorted ``known`` spans leave of a candidate, if long enough."""
+    def cut(acc: Column, end: Column) -> Column:
+        piece = F.array(F.struct(acc["at"].alias("start"), end.alias("end")))
+        return F.when(end - acc["at"] >= WINDOW, F.concat(acc["out"], piece)).otherwise(acc["out"])
+
+    return F.aggregate(
+        F.filter(known, lambda k: (k["start"] < m["end"]) & (m["start"] < k["end"])),
+        F.struct(m["start"].alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out")),
+        lambda acc, k: F.struct(F.greatest(acc["at"], k["end"]).alias("at"), cut(acc, k["start"]).alias("out")),
+        lambda acc: cut(acc, m["end"]),
+    )
+
+
+def _entropy(text: Column, known: Column, thorough: bool) -> Column:
+    """Spans of high entropy outside the ``known`` ones; not ``thorough``: in candidates with a digit that overlap none."""
+    def judged(start: Column, piece: Column) -> Column:
+        most = F.lit(None).cast("double")
         for _, pattern, bits in reversed(CLASSES):
-            hot = F.when(m["hit"].rlike(pattern), _hot(m["hit"], bits)).otherwise(hot)
+            most = F.when(piece.rlike(pattern), F.lit(_most(bits))).otherwise(most)
         allowed = F.lit(False)
         for pattern in ALLOWED:
-            allowed = allowed | m["hit"].rlike(pattern)
-        free = ~F.exists(known, lambda k: (k["start"] < m["end"]) & (m["start"] < k["end"]))
-        return F.when(
-            free & ~allowed,
-            let(hot, lambda h: F.when(h["last"] >= 0, _span(m["start"] + h["first"], F.lit(3), m["start"] + h["last"] + WINDOW))),
+            allowed = allowed | piece.rlike(pattern)
+        hot = let(most, lambda bound: F.when(bound.isNotNull() & (F.length(piece) >= WINDOW) & ~allowed, _hot(piece, bound)))
+        return let(hot, lambda h: F.when(h["last"] >= 0, _span(start + h["first"], F.lit(3), start + h["last"] + WINDOW)))
+
+    def span(m: Column, p: Column) -> Column:
+        raw = F.substring(m["hit"], (p["start"] - m["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int"))
+        # Next to a pattern span the joining characters belong to neither.
+        return let(
+            F.when(p["end"] < m["end"], F.rtrim(raw, F.lit(JOINS))).otherwise(raw),
+            lambda right: let(
+                F.when(p["start"] > m["start"], F.ltrim(right, F.lit(JOINS))).otherwise(right),
+                lambda piece: judged(p["start"] + F.length(right) - F.length(piece), piece),
+            ),
         )
 
-    found = F.filter(F.transform(_matches(text, CANDIDATE), span), lambda s: s.isNotNull())
-    return F.when(text.rlike(CANDIDATE), found).otherwise(F.array().cast(_NONE))
+    found = _matches(text, CANDIDATE)
+    if not thorough:
+        found = F.filter(found, lambda m: m["hit"].rlike("[0-9]") & ~F.exists(known, lambda k: (k["start"] < m["end"]) & (m["start"] < k["end"])))
+    spans = F.flatten(F.transform(found, lambda m: F.transform(_pieces(m, known), lambda p: span(m, p))))
+    return F.when(text.rlike(CANDIDATE), F.filter(spans, lambda s: s.isNotNull())).otherwise(F.array().cast(_NONE))
 
 
 def listed(spans: Column) -> Column:
@@ -152,8 +185,12 @@ def listed(spans: Column) -> Column:
     )
 
 
-def scan(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``base_spans`` and ``spans``: arrays of (start, rank of the kind, end), sorted."""
+def scan(df: DataFrame, text: str = "text", thorough: bool = False) -> DataFrame:
+    """Add ``base_spans`` and ``spans``: arrays of (start, rank of the kind, end), sorted.
+
+    ``thorough`` also finds keys of letters only and scans what pattern spans leave of a candidate; otherwise candidates
+    without a digit and those that overlap a pattern span are left out.
+    """
     body = F.col("__body")
     values = F.transform(F.regexp_extract_all(body, F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= ASSIGN_VALUE)
     base = F.concat(
@@ -161,13 +198,13 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     )
     scanned = df.withColumn("__body", F.coalesce(F.col(text), F.lit("")))
     scanned = scanned.withColumn("base_spans", F.sort_array(base))
-    scanned = scanned.withColumn("spans", F.sort_array(F.concat("base_spans", _entropy(body, F.col("base_spans")))))
+    scanned = scanned.withColumn("spans", F.sort_array(F.concat("base_spans", _entropy(body, F.col("base_spans"), thorough))))
     return scanned.drop("__body")
 
 
 def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """Replace every found span by ``mark``; texts without one, null included, stay as they are."""
-    scanned = scan(df.select(F.struct(*df.columns).alias("__row"), F.col(text).alias("__text")), "__text")
+    scanned = scan(df.select(F.struct(*df.columns).alias("__row"), F.col(text).alias("__text")), "__text", thorough=True)
     body = F.col("__text")
     cleaned = F.aggregate(
         "spans",
