@@ -1,11 +1,13 @@
-"""Registered queries of the ten operators: name to (query, oracle SQL or None)."""
+"""Registered queries of the operators: name to (query, oracle SQL or None)."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlens.llm import bpe, decontaminate, html_text, lm, near_dup, quality, secrets, sharding, substring, toxicity
+from textlens.llm import (
+    bpe, clustering, decontaminate, html_text, lm, near_dup, quality, ranking, secrets, sharding, substring, toxicity, variants,
+)
 from textlens.llm.words import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -91,6 +93,21 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf, "embeddings")).drop("compared")
+
+
+def op12_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    ranker = ranking.fit(docs, table(spark, sf, "labels"), ~ranking.held_out())
+    scored = ranker.score(docs).withColumn("held_out", ranking.held_out())
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= ranking.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, quality.oracle_sql()),
     "op2_lm_scoring": (op2_lm_scoring, None),
@@ -102,4 +119,7 @@ QUERIES = {
     "op8_html_extraction": (op8_html_extraction, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_decontamination": (op10_decontamination, None),
+    "op11_centroid_clustering": (op11_centroid_clustering, clustering.oracle_sql()),
+    "op12_quality_classifier": (op12_quality_classifier, None),
+    "op13_spelling_variants": (op13_spelling_variants, variants.oracle_sql()),
 }
