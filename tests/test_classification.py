@@ -13,7 +13,7 @@ from textlens.operators import metrics as M
 from textlens.operators import report as R
 from textlens.operators.labels import LabelIndex, class_count, fit_label_index
 from textlens.operators.split import stratified_split
-from textlens.plans.classify import check_model_size
+from textlens.operators.block_classifier import BLOCK, BlockClassifier, Examples, Steps, hashed_words, pack
 
 PREDICTIONS = [(0, 0)] * 5 + [(0, 1)] * 2 + [(1, 1)] * 3 + [(1, 3)] * 1
 NAMES = ["ant", "bee", "cat", "dog"]  # cat: neither true nor predicted; dog: predicted only
@@ -258,10 +258,86 @@ def test_training_without_key_column(spark, products):
 
 
 def test_classifier_limits(spark, products):
-    for classes, features in ((1, 10), (1 << 14, 1 << 18)):
-        with pytest.raises(ValueError):
-            check_model_size(classes, features)
     with pytest.raises(ValueError):
-        TextClassifier(spark).train_and_evaluate(products, ["product"], "label", "id", epochs=0)
+        BlockClassifier(spark, 1, 10)
+    for options in ({"epochs": 0}, {"batch_size": 0}, {"learning_rate": 0.0}):
+        with pytest.raises(ValueError):
+            TextClassifier(spark).train_and_evaluate(products, ["product"], "label", "id", **options)
     with pytest.raises(ValueError):
         TextClassifier(spark).predict(products, ["product"], use_checkpoint=False)
+
+
+def many_classes(spark, classes=70, copies=4):
+    rows = [(c * copies + k, c, f"word{c} common filler{k}") for c in range(classes) for k in range(copies)]
+    df = spark.createDataFrame(rows, "id bigint, y bigint, text string")
+    return df.select("id", "y", hashed_words(F.col("text"), 1 << 16).alias("words"))
+
+
+def trained_on(spark, rows, classes, epochs, **options):
+    chunks, model, losses = pack(rows, 1 << 16, values=300), BlockClassifier(spark, classes, 1 << 16), []
+    for epoch in range(1, epochs + 1):
+        model, loss = model.train_epoch(chunks, epoch, Steps(**options))
+        losses.append(loss)
+    return model, losses
+
+
+def test_blocks_of_classes(spark):
+    """More classes than a block holds: epochs continue, and scoring by blocks equals scoring where the rows stand."""
+    rows, classes = many_classes(spark), 70
+    assert classes > 2 * BLOCK and classes % BLOCK
+    model, losses = trained_on(spark, rows, classes, 4, batch_size=8, learning_rate=1.0)
+    assert losses == sorted(losses, reverse=True) and losses[0] > 1.5 * losses[-1]
+    wanted = rows.withColumn("payload", F.struct("id"))
+    here = {r["payload"]["id"]: r for r in model.score(wanted).collect()}
+    apart = BlockClassifier(spark, classes, 1 << 16, model.weights, sent_bytes=0)
+    assert apart.sent() is None and model.sent() is not None
+    there = {r["payload"]["id"]: r for r in apart.score(wanted).collect()}
+    assert here.keys() == there.keys() and len(here) == 280
+    for key, row in here.items():
+        assert row["y_pred"] == there[key]["y_pred"] == row["y"]
+        assert row["p_true"] == pytest.approx(there[key]["p_true"], rel=1e-4) == row["p_pred"]
+
+
+def test_first_step_is_the_gradient(spark):
+    """One example, one step, by hand: Adagrad on the logistic loss of each class."""
+    rows = spark.createDataFrame([(0, [5])], "y bigint, words array<int>")
+    model, (loss,) = trained_on(spark, rows, 3, 1, batch_size=1, learning_rate=0.5)
+    start, p = -math.log(2), 1 / 3
+    assert loss == pytest.approx(-math.log(p) - 2 * math.log(1 - p), rel=1e-5)
+    got = {r["feature"]: r["w"] for r in model.weights.collect()}
+    for feature, first in ((5, 0.0), (1 << 16, start)):
+        for c, w in enumerate(got[feature]):
+            g = p - (c == 0)
+            assert w == pytest.approx(first - 0.5 * g / math.sqrt(g * g + 0.1), rel=1e-4)
+
+
+def test_batch_size_and_rate_matter(spark):
+    rows = many_classes(spark, 8)
+    run = lambda **options: trained_on(spark, rows, 8, 1, **options)[1][0]
+    assert run(batch_size=1) != run(batch_size=32)
+    assert run(batch_size=4, learning_rate=0.5) < run(batch_size=4, learning_rate=0.01)
+
+
+def test_examples(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    x = Examples.of(pa.array([[3, 1, 3], [], [9]], pa.list_(pa.int32())), 10)
+    assert x.edges.tolist() == [0, 3, 4, 6] and x.feature.tolist() == [1, 3, 10, 10, 9, 10]
+    length = math.hypot(math.log(2), math.log(3))
+    assert x.value.tolist() == pytest.approx([math.log(2) / length, math.log(3) / length, 1, 1, 1, 1])
+    assert list(x.cut(3)) == [(0, 1), (1, 3)] and list(x.cut(100)) == [(0, 3)] and list(x.cut(1)) == [(0, 1), (1, 2), (2, 3)]
+    assert np.allclose(x.scores(np.array([[2.0]], np.float32), np.array([-1, -1, 0, 0, 0, 0]))[:, 0], [2, 2, 4])
+
+
+def test_many_classes_end_to_end(spark, tmp_path):
+    rows = [(i, f"label{i % 40}", f"word{i % 40} item") for i in range(800)]
+    df = spark.createDataFrame(rows, "id bigint, label string, product string")
+    trained = TextClassifier(spark, str(tmp_path), "many")
+    result = trained.train_and_evaluate(df, ["product"], "label", "id", epochs=3, batch_size=16, learning_rate=1.0)
+    assert [r["epoch"] for r in result.losses.orderBy("epoch").collect()] == [1, 2, 3]
+    assert result.summary.where("phase = 'test-set'").first()["accuracy"] == 1.0
+    loaded = TextClassifier(spark, str(tmp_path), "many").load()
+    loaded.model.sent_bytes = 0
+    predicted, report = loaded.predict(df, ["product"], "label", use_checkpoint=False)
+    assert predicted.where("Predicted = label").count() == 800 and report.count() == 43

@@ -25,6 +25,14 @@ class LabelIndex:
     def of(cls, spark: SparkSession, labels: Sequence[str]) -> LabelIndex:
         return cls(spark.createDataFrame(list(enumerate(labels)), INDEX_SCHEMA), tuple(labels))
 
+    @classmethod
+    def read(cls, table: DataFrame, max_local: int = MAX_LOCAL_CLASSES) -> LabelIndex:
+        """An index of a stored (class_id, label) table; at most ``max_local + 1`` rows reach the driver."""
+        head = table.select("class_id", "label").limit(max_local + 1).collect()
+        if len(head) > max_local:
+            return cls(table.select("class_id", "label"), None)
+        return cls.of(table.sparkSession, [row["label"] for row in sorted(head)])
+
     def lookup(self) -> DataFrame:
         """The table, marked for broadcast only when its size was checked."""
         return self.table if self.labels is None else F.broadcast(self.table)

@@ -152,13 +152,15 @@ def evaluate(
     predicted: str = "y_pred",
     probabilities: str = "probs",
     groups: Sequence[str] = (),
+    true_probability: str | None = None,
 ) -> DataFrame:
     """Confusion cells with the summed cross-entropy: everything an evaluation needs in one pass.
 
-    Rows without a truth do not count.
+    Rows without a truth do not count. ``true_probability`` names a column that holds the probability of the true
+    class, for predictions that do not carry those of all classes.
     """
     pred = pred.where(F.col(truth).isNotNull())
-    chosen = F.get(F.col(probabilities), F.col(truth).cast("int"))
+    chosen = F.get(F.col(probabilities), F.col(truth).cast("int")) if true_probability is None else F.col(true_probability)
     keys = [F.col(truth).cast("bigint").alias("y_true"), F.col(predicted).cast("bigint").alias("y_pred")]
     return pred.groupBy(*groups, *keys).agg(
         F.count("*").alias("n"), F.sum(cross_entropy(chosen)).alias("loss")

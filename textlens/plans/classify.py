@@ -1,87 +1,48 @@
-"""Multi-class text classification: features and model on MLlib, split, evaluation, prediction."""
+"""Multi-class text classification: hashed words, a linear model in blocks of classes, split, evaluation, prediction."""
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textlens.functions import text as X
 from textlens.operators import metrics as M
 from textlens.operators import report as R
+from textlens.operators.block_classifier import BlockClassifier, Steps, hashed_words, pack
 from textlens.operators.labels import LabelIndex, fit_label_index
 from textlens.operators.split import HOLDOUT, SEED, fit_split
 from textlens.session import shared_path
-from textlens.sources.sinks import materialise
+from textlens.sources.sinks import materialise, write_table
 
 INPUT_COLUMN = "input_text"
 PREDICTED_COLUMN = "Predicted"
 NUM_FEATURES = 1 << 18
 
-# The coefficient matrix is held by the driver and by every task during training.
-MAX_COEFFICIENTS = 1 << 27
-# Sum gradients in three levels above this many coefficients, so that the driver merges few of them.
-WIDE_COEFFICIENTS = 1 << 22
-
 
 @dataclass
 class TrainingResult:
+    """``losses`` has a row per epoch (epoch, avg_train_loss); ``training_loss`` the same as a list."""
+
     metrics: DataFrame
     pivot: DataFrame
     summary: DataFrame
     training_loss: list[float]
-
-
-def feature_stages(num_features: int = NUM_FEATURES) -> list:
-    """Words, hashed counts, inverse document frequency; no vocabulary is collected."""
-    return [
-        RegexTokenizer(inputCol=INPUT_COLUMN, outputCol="_words", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=num_features),
-        IDF(inputCol="_counts", outputCol="features"),
-    ]
+    losses: DataFrame
 
 
 def with_input_text(df: DataFrame, input_columns: Sequence[str]) -> DataFrame:
     return df.withColumn(INPUT_COLUMN, X.input_text(*input_columns))
 
 
-def check_model_size(classes: int, num_features: int) -> None:
-    if classes < 2:
-        raise ValueError("a classifier needs at least two classes")
-    if classes * num_features > MAX_COEFFICIENTS:
-        raise ValueError(
-            f"{classes} classes x {num_features} features exceed {MAX_COEFFICIENTS} coefficients; "
-            "lower num_features"
-        )
-
-
-def classifier(classes: int, num_features: int, iterations: int, regularization: float) -> LogisticRegression:
-    return LogisticRegression(
-        featuresCol="features", labelCol="class_id", family="multinomial",
-        probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_prediction",
-        maxIter=iterations, regParam=regularization,
-        aggregationDepth=3 if classes * num_features > WIDE_COEFFICIENTS else 2,
-    )
-
-
 class TextClassifier:
-    """Train, evaluate, save, load, predict.
-
-    A fit with ``k`` iterations stands for epoch ``k``: full-batch training has a nested loss
-    history, so the fits for 1..epochs are the states one long fit passes through.
-    """
+    """Train, evaluate, save, load, predict. Any number of classes; an epoch is one pass that continues the last one."""
 
     def __init__(self, spark: SparkSession, model_path: str | None = None, category: str = "product_type"):
         self.spark = spark
         self.model_path = f"{(model_path or shared_path(spark, 'model')).rstrip('/')}/{category}"
-        self.model: PipelineModel | None = None
+        self.model: BlockClassifier | None = None
         self.index: LabelIndex | None = None
 
     def train_and_evaluate(
@@ -97,58 +58,52 @@ class TextClassifier:
         seed: int = SEED,
         select_best: str | None = None,
         save: bool = True,
-        batch_size: int | None = None,
-        learning_rate: float | None = None,
+        batch_size: int = 64,
+        learning_rate: float = 0.5,
     ) -> TrainingResult:
         """Split 81/9/10, train epoch by epoch, evaluate each on validation and the last on test.
 
         Without a ``key_column`` rows are told apart by their content, so that equal rows fall on
         the same side of the split.
         ``select_best`` (``f1_score``, ``accuracy``, ``avg_val_loss``) keeps the best epoch on
-        validation instead of the last one. ``batch_size`` and ``learning_rate`` are accepted from
-        callers that set them, but full-batch training has no use for them.
+        validation instead of the last one.
         """
-        if batch_size is not None or learning_rate is not None:
-            warnings.warn("batch_size and learning_rate do not apply to full-batch training", stacklevel=2)
-        if epochs <= 0:
-            raise ValueError("epochs must be positive")
+        if epochs <= 0 or batch_size <= 0 or learning_rate <= 0:
+            raise ValueError("epochs, batch_size and learning_rate must be positive")
         if select_best not in (None, "f1_score", "accuracy", "avg_val_loss"):
             raise ValueError(f"cannot select the best epoch by {select_best!r}")
         index = fit_label_index(df, label_column)
-        if index.labels is None:
-            raise ValueError("too many classes for a classifier")
-        classes = len(index.labels)
-        check_model_size(classes, num_features)
+        model = BlockClassifier(self.spark, index.size(), num_features)
 
         source = with_input_text(df, input_columns).where(F.col(label_column).isNotNull())
         key = F.xxhash64(label_column, INPUT_COLUMN) if key_column is None else F.col(key_column)
         source = source.select(key.alias("_key"), label_column, INPUT_COLUMN)
         cuts = fit_split(source, "_key", label_column, holdout, seed)
-        rows = cuts.assign(index.encode(source, label_column, "class_id"))
-        rows = rows.select("split", F.col("class_id").cast("double").alias("class_id"), INPUT_COLUMN)
-        train_text = rows.where("split = 'train'")
-        features = Pipeline(stages=feature_stages(num_features)).fit(train_text)
-
-        # Features are read once per iteration. Spilled to disk when they do not fit; a lost
-        # executor's share is computed again from the source.
-        ready = features.transform(rows).select("split", "class_id", "features")
-        ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            train, held_out = ready.where("split = 'train'"), ready.where("split <> 'train'")
-            models, losses, cells = [], [], []
-            for epoch in range(1, epochs + 1):
-                model = classifier(classes, num_features, epoch, regularization).fit(train)
-                models.append(model)
-                losses.append(float(model.summary.objectiveHistory[-1]))
-                wanted = held_out.where("split = 'validation'") if epoch < epochs else held_out
-                cells.append(self._evaluated(model, wanted, epoch, epochs))
-            evaluated = cells[0]
-            for more in cells[1:]:
-                evaluated = evaluated.unionByName(more)
-            # A few rows per epoch: stored, so that reports do not evaluate again.
-            evaluated = materialise(evaluated)
-        finally:
-            ready.unpersist()
+        rows = cuts.assign(index.encode(source, label_column, "y"))
+        # Words are read once per epoch, and by whatever replaces a lost executor: stored, columnar.
+        ready = materialise(rows.select("split", "y", hashed_words(F.col(INPUT_COLUMN), num_features).alias("words")))
+        # Dealt out evenly, so that no chunk holds one class only because the input is sorted.
+        chunks = pack(ready.where("split = 'train'").select("words", "y").hint("rebalance"), num_features)
+        held_out = ready.where("split <> 'train'").select("words", "y", F.struct("split").alias("payload"))
+        packed = None
+        steps = Steps(batch_size, learning_rate, regularization, seed)
+        models, losses, cells = [], [], []
+        for epoch in range(1, epochs + 1):
+            model, loss = model.train_epoch(chunks, epoch, steps)
+            models.append(model)
+            losses.append(loss)
+            if model.sent() is not None:
+                scored = model.score(held_out)
+            else:
+                packed = pack(held_out, num_features) if packed is None else packed
+                scored = model.score_chunks(packed)
+            wanted = scored.where("payload.split = 'validation'") if epoch < epochs else scored
+            cells.append(self._evaluated(wanted, epoch, epochs))
+        evaluated = cells[0]
+        for more in cells[1:]:
+            evaluated = evaluated.unionByName(more)
+        # A few rows per epoch: stored, so that reports do not evaluate again.
+        evaluated = materialise(evaluated)
 
         phase_epochs = [(R.DEV_PHASE, e) for e in range(1, epochs + 1)] + [(R.TEST_PHASE, epochs + 1)]
         groups = ["phase", "epoch"]
@@ -157,22 +112,21 @@ class TextClassifier:
         summary = M.evaluation_summary(evaluated, groups)
         long = R.metrics_long(report)
 
-        best = models[self._best_epoch(summary, long, select_best, epochs) - 1]
-        self.index, self.model = index, self._deployable(features, best, index)
+        self.index, self.model = index, models[self._best_epoch(summary, long, select_best, epochs) - 1]
         if save:
             self.save()
-        return TrainingResult(long, R.comparative_pivot(long, phase_epochs, pretty=True), summary, losses)
+        table = self.spark.createDataFrame(list(enumerate(losses, 1)), "epoch bigint, avg_train_loss double")
+        return TrainingResult(long, R.comparative_pivot(long, phase_epochs, pretty=True), summary, losses, table)
 
     @staticmethod
-    def _evaluated(model, rows: DataFrame, epoch: int, epochs: int) -> DataFrame:
-        scored = model.transform(rows).select(
-            F.when(F.col("split") == "test", R.TEST_PHASE).otherwise(R.DEV_PHASE).alias("phase"),
-            F.when(F.col("split") == "test", epochs + 1).otherwise(epoch).cast("bigint").alias("epoch"),
-            F.col("class_id").alias("y_true"),
-            F.col("_prediction").alias("y_pred"),
-            vector_to_array("_probability").alias("probs"),
+    def _evaluated(scored: DataFrame, epoch: int, epochs: int) -> DataFrame:
+        test = F.col("payload.split") == "test"
+        rows = scored.select(
+            F.when(test, R.TEST_PHASE).otherwise(R.DEV_PHASE).alias("phase"),
+            F.when(test, epochs + 1).otherwise(epoch).cast("bigint").alias("epoch"),
+            F.col("y").alias("y_true"), "y_pred", "p_true",
         )
-        return M.evaluate(scored, groups=["phase", "epoch"])
+        return M.evaluate(rows, groups=["phase", "epoch"], true_probability="p_true")
 
     @staticmethod
     def _best_epoch(summary: DataFrame, long: DataFrame, select_best: str | None, epochs: int) -> int:
@@ -183,25 +137,23 @@ class TextClassifier:
         dev = table.where(F.col("phase") == R.DEV_PHASE)
         return dev.orderBy(measure.desc(), "epoch").first()["epoch"]
 
-    @staticmethod
-    def _deployable(features: PipelineModel, model, index: LabelIndex) -> PipelineModel:
-        decode = IndexToString(inputCol="_prediction", outputCol=PREDICTED_COLUMN, labels=list(index.labels))
-        return PipelineModel(stages=[*features.stages, model, decode])
-
     def save(self, path: str | None = None) -> str:
-        """Write pipeline and label list."""
+        """Write weights, their sizes and the label list."""
         if self.model is None:
             raise ValueError("no trained model to save")
         path = path or self.model_path
-        self.model.write().overwrite().save(f"{path}/pipeline")
-        self.index.table.coalesce(1).write.mode("overwrite").parquet(f"{path}/labels")
+        write_table(self.model.weights, f"{path}/weights")
+        sizes = [(self.model.classes, self.model.num_features)]
+        write_table(self.spark.createDataFrame(sizes, "classes bigint, num_features bigint").coalesce(1), f"{path}/sizes")
+        write_table(self.index.table, f"{path}/labels")
         return path
 
     def load(self, path: str | None = None) -> TextClassifier:
         path = path or self.model_path
-        self.model = PipelineModel.load(f"{path}/pipeline")
-        rows = self.spark.read.parquet(f"{path}/labels").orderBy("class_id").collect()
-        self.index = LabelIndex.of(self.spark, [row["label"] for row in rows])
+        sizes = self.spark.read.parquet(f"{path}/sizes").first()
+        weights = self.spark.read.parquet(f"{path}/weights")
+        self.model = BlockClassifier(self.spark, sizes["classes"], sizes["num_features"], weights)
+        self.index = LabelIndex.read(self.spark.read.parquet(f"{path}/labels"))
         return self
 
     def predict(
@@ -214,18 +166,22 @@ class TextClassifier:
     ) -> tuple[DataFrame, DataFrame | None]:
         """Append ``input_text`` and ``Predicted``; with a truth column also a ranked report.
 
-        Both results are lazy; all rows are predicted in one distributed pass.
+        Both results are lazy, and all rows are predicted in one distributed pass, unless the weights are too large to be
+        sent to the tasks; the rows are stored in chunks first then.
         """
         if use_checkpoint:
             self.load()
         if self.model is None:
             raise ValueError("no trained model: train one or load one")
-        scored = self.model.transform(with_input_text(df, input_columns))
-        predicted = scored.select(*df.columns, INPUT_COLUMN, PREDICTED_COLUMN)
+        rows = with_input_text(df, input_columns)
+        words = hashed_words(F.col(INPUT_COLUMN), self.model.num_features).alias("words")
+        kept = [c for c in df.columns if c not in (INPUT_COLUMN, PREDICTED_COLUMN)]
+        payload = F.struct(*kept, INPUT_COLUMN).alias("payload")
+        scored = self.model.score(rows.select(words, F.lit(None).cast("bigint").alias("y"), payload))
+        predicted = self.index.decode(scored, "y_pred", PREDICTED_COLUMN).select("payload.*", PREDICTED_COLUMN)
         if label_column is None:
             return predicted, None
-        truth = self.index.encode(scored, label_column, "y_true", unseen)
-        truth = truth.select("y_true", F.col("_prediction").cast("bigint").alias("y_pred"))
-        cells = M.confusion_cells(truth.where("y_true is not null"))
+        truth = self.index.encode(rows, label_column, "y", unseen).select(words, "y", F.struct(F.lit(0).alias("none")).alias("payload"))
+        cells = M.confusion_cells(self.model.score(truth.where("y is not null")), "y", "y_pred")
         report = R.full_report(M.class_counts(cells, self.index))
         return predicted, R.prediction_report(report)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from textlens import TextClassifier
 from textlens.functions import text as X
@@ -152,23 +152,67 @@ def train_classifier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def epoch_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of each class per phase and epoch, found or missed."""
+    """Rows of each class per phase and epoch, found or missed; what is predicted in all; and whether some were found."""
     _, _, result = _train(spark, sf, epochs=3, save=False)
     classes = result.metrics.where("tp IS NOT NULL")
-    return classes.select("phase", "epoch", "label_name", "support", (F.col("tp") + F.col("fn")).alias("found_or_missed"))
+    made = classes.groupBy("phase", "epoch").agg(F.sum(F.col("tp") + F.col("fp")).alias("predictions"))
+    return classes.join(made, ["phase", "epoch"]).select(
+        "phase", "epoch", "label_name", "support", (F.col("tp") + F.col("fn")).alias("found_or_missed"), "predictions",
+        (F.col("tp") > 0).alias("some_found"),
+    )
+
+
+def epoch_losses(spark: SparkSession, sf: str) -> DataFrame:
+    """Training loss per epoch, against the epoch before and against guessing by class shares."""
+    docs, _, result = _train(spark, sf, epochs=3, save=False)
+    share = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select((F.col("n") / F.sum("n").over(Window.partitionBy())).alias("p"))
+    guess = share.agg(F.sum(-F.col("p") * F.log("p") - (1 - F.col("p")) * F.log(1 - F.col("p"))).alias("guess"))
+    before = result.losses.select((F.col("epoch") + 1).alias("epoch"), F.col("avg_train_loss").alias("before"))
+    return result.losses.join(before, "epoch", "left").crossJoin(guess).select(  # one row a side
+        "epoch", (F.col("avg_train_loss") < F.coalesce("before", "guess")).alias("falls"),
+        (F.col("avg_train_loss") < F.col("guess")).alias("below_guess"),
+    )
 
 
 def predict_labels(spark: SparkSession, sf: str) -> DataFrame:
-    docs, trained, _ = _train(spark, sf, epochs=2, save=False)
+    """Predictions that are labels, and whether nine in ten of all are right."""
+    docs, trained, _ = _train(spark, sf, epochs=3, save=False)
     predicted, _ = trained.predict(docs, ["text"], use_checkpoint=False)
+    right = predicted.agg((F.avg((F.col("Predicted") == F.col("lang")).cast("int")) >= 0.9).alias("nine_in_ten_right"))
     known = F.col("Predicted").isin(*language_index(spark).labels)
-    return predicted.select("doc_id", "lang", known.alias("known_label"))
+    return predicted.select("doc_id", "lang", known.alias("known_label")).crossJoin(F.broadcast(right))  # one row
 
 
 def predict_report(spark: SparkSession, sf: str) -> DataFrame:
-    docs, trained, _ = _train(spark, sf, epochs=2, save=False)
+    """Support of each class, found or missed; what is predicted in all; and whether F1 passes 80 percent."""
+    docs, trained, _ = _train(spark, sf, epochs=3, save=False)
     report = trained.predict(docs, ["text"], "lang", use_checkpoint=False)[1].where("tp IS NOT NULL")
-    return report.select("label_name", "support", (F.col("tp") + F.col("fn")).alias("found_or_missed"))
+    made = report.agg(F.sum(F.col("tp") + F.col("fp")).alias("predictions"))
+    return report.crossJoin(F.broadcast(made)).select(  # one row
+        "label_name", "support", (F.col("tp") + F.col("fn")).alias("found_or_missed"), "predictions",
+        (F.regexp_replace("f1_score", "%", "").cast("double") > 80).alias("passes"),
+    )
+
+
+def train_products(spark: SparkSession, sf: str) -> DataFrame:
+    """A class for each brand, type and size: loss per epoch, and whether predictions are of the product's own type."""
+    parts = table(spark, sf, "part").withColumn("label", X.composite_label("p_brand", "p_type", "p_size"))
+    trained = TextClassifier(spark)
+    columns = ["p_brand", "p_type", "p_size"]
+    result = trained.train_and_evaluate(
+        parts, columns, "label", "p_partkey", epochs=4, num_features=NUM_FEATURES, save=False, batch_size=16, learning_rate=1.0
+    )
+    predicted, _ = trained.predict(parts, columns, use_checkpoint=False)
+    own = F.element_at(F.split("Predicted", r"\|\|\|"), 2) == F.col("p_type")
+    checked = predicted.agg(
+        (F.avg(own.cast("int")) >= 0.9).alias("own_type"),
+        (F.avg((F.col("label") == F.col("Predicted")).cast("int")) > 0.05).alias("far_above_guess"),
+    )
+    before = result.losses.select((F.col("epoch") + 1).alias("epoch"), F.col("avg_train_loss").alias("before"))
+    return result.losses.join(before, "epoch", "left").crossJoin(checked).select(  # one row a side
+        "epoch", F.lit(trained.index.size()).cast("bigint").alias("classes"),
+        F.coalesce(F.col("avg_train_loss") < F.col("before"), F.lit(True)).alias("falls"), "own_type", "far_above_guess",
+    )
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,7 +265,8 @@ def _sql_phases(epochs: int) -> str:
 _TRAINED = f"""WITH {SQL_SPLIT}, {_sql_phases(2)}
     SELECT phase, epoch, count(*)::BIGINT AS support, true AS beats_majority FROM phases JOIN parts USING (split) GROUP BY phase, epoch"""
 _EPOCHS = f"""WITH {SQL_SPLIT}, {_sql_phases(3)}
-    SELECT phase, epoch, lang AS label_name, count(*)::BIGINT AS support, count(*)::BIGINT AS found_or_missed
+    SELECT phase, epoch, lang AS label_name, count(*)::BIGINT AS support, count(*)::BIGINT AS found_or_missed,
+        (sum(count(*)) OVER (PARTITION BY phase, epoch))::BIGINT AS predictions, true AS some_found
     FROM phases JOIN parts USING (split) GROUP BY phase, epoch, lang"""
 
 QUERIES = {
@@ -298,7 +343,17 @@ QUERIES = {
     ),
     "train_classifier": (train_classifier, _TRAINED),
     "epoch_metrics": (epoch_metrics, _EPOCHS),
-    "predict_labels": (predict_labels, "SELECT doc_id, lang, true AS known_label FROM documents"),
-    "predict_report": (predict_report, "SELECT lang AS label_name, count(*)::BIGINT AS support, count(*)::BIGINT AS found_or_missed FROM documents GROUP BY lang"),
+    "epoch_losses": (epoch_losses, "SELECT range AS epoch, true AS falls, true AS below_guess FROM range(1, 4)"),
+    "predict_labels": (predict_labels, "SELECT doc_id, lang, true AS known_label, true AS nine_in_ten_right FROM documents"),
+    "predict_report": (
+        predict_report,
+        """SELECT lang AS label_name, count(*)::BIGINT AS support, count(*)::BIGINT AS found_or_missed,
+            (sum(count(*)) OVER ())::BIGINT AS predictions, true AS passes FROM documents GROUP BY lang""",
+    ),
+    "train_products": (
+        train_products,
+        f"""WITH {_PARTS} SELECT range AS epoch, (SELECT count(DISTINCT label) FROM parts)::BIGINT AS classes, true AS falls,
+            true AS own_type, true AS far_above_guess FROM range(1, 5)""",
+    ),
     "model_roundtrip": (model_roundtrip, "SELECT doc_id, true AS same FROM documents"),
 }
