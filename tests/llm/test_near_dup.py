@@ -136,8 +136,32 @@ def test_block_links_are_those_of_all_pairs(spark):
     bags = N.Bags([t.encode() for t in texts])
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     rows = docs.mapInArrow(N._bag_blobs("text"), "node long, size long, bag binary")
-    tied = rows.selectExpr("node", "1L AS label")
-    links = N.compare_blocks(tied, rows, 0.8)
+    tied = rows.selectExpr("node", "1L AS group")
+    links = N.compare_blocks(tied, spark.createDataFrame([], "node long, label long"), rows, 0.8)
     joined = {r["node"]: r["label"] for r in N.components(links).collect()} if links.count() else {}
     wanted = brute([(int(n), t) for n, t in zip(bags.nodes(), texts)])
     assert len({joined.get(n, n) for n in map(int, bags.nodes())}) == len({c for _, c, _ in wanted})
+
+
+def test_components_are_compared_with_others_only(spark, monkeypatch):
+    """Members of a component that has its own blocks meet those of other components, and each small one meets all."""
+    monkeypatch.setattr(N, "BLOCK", 2)
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join([f"x{j}", *words]) for j in range(9)]  # all alike
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = docs.mapInArrow(N._bag_blobs("text"), "node long, size long, bag binary")
+    nodes = [r["node"] for r in rows.collect()]
+    labels = spark.createDataFrame([(n, nodes[0] if k < 4 else nodes[4]) for k, n in enumerate(nodes[:8])], "node long, label long")
+    links = N.compare_blocks(rows.selectExpr("node", "1L AS group"), labels, rows, 0.8).collect()
+    of = {n: 0 if k < 4 else 1 if k < 8 else 2 for k, n in enumerate(nodes)}
+    met = {tuple(sorted((of[r["a"]], of[r["b"]]))) for r in links}
+    assert {(0, 1), (0, 2), (1, 2)} >= met and len(met) >= 2
+
+
+def test_forest_keeps_components(spark):
+    rng = random.Random(4)
+    stars = {(rng.randrange(200), 1000 + rng.randrange(12)) for _ in range(900)}
+    stars = spark.createDataFrame(sorted(stars), "node long, head long")
+    few = N.forest(stars)
+    assert few.count() < 200 + 12 * 12 < stars.count()
+    assert sorted(map(tuple, N.components(few).collect())) == sorted(map(tuple, N.components(stars.toDF("a", "b")).collect()))

@@ -38,6 +38,8 @@ SIMILAR = 0.8
 BANDS, ROWS = 42, 6
 # Members of one band that are still apart: up to LARGE they are paired, beyond that compared block by block.
 LARGE, BLOCK = 64, 256
+# The blocks of small components.
+SHARED = ""
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
 
@@ -251,18 +253,34 @@ def _block_links(similar: float):
     return run
 
 
-def compare_blocks(tied: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
-    """Links among all members of each large group, block by block.
+def compare_blocks(tied: DataFrame, labels: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+    """Links between members of each large group that lie in different components, block by block.
 
-    Every member travels once for each block of its group, not once for each partner, and no task holds
-    more than two blocks. ``tied`` has (node, label of the group).
+    ``tied`` has (node, group), ``labels`` (node, label) the components so far. A component of more than ``BLOCK`` members of a group
+    has blocks of its own, which don't meet each other; the members of smaller ones share blocks. A member travels once for
+    each block it meets, not once for each partner, and no task holds more than two blocks.
     """
-    count = tied.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    members = tied.join(count, "label").withColumn("block", block).join(bags, "node")
-    dealt = members.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("facing"))
-    dealt = dealt.select("label", "node", "bag", "block", F.least("block", "facing").alias("lo"), F.greatest("block", "facing").alias("hi"))
-    return dealt.groupBy("label", "lo", "hi").applyInArrow(_block_links(similar), "a long, b long")
+    placed = tied.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    own = placed.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+    own = own.select("group", "label", F.col("label").cast("string").alias("part"))
+    placed = placed.join(own, ["group", "label"], "left").withColumn("part", F.coalesce("part", F.lit(SHARED)))
+    parts = placed.groupBy("group", "part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    number = F.xxhash64("part", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members = placed.join(parts, ["group", "part"]).select("group", "node", "part", number.alias("block"))
+    every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.xxhash64("part", k.cast("int")))
+    faced = parts.select("group", F.col("part").alias("other"), F.explode(every).alias("facing"))
+    meets = (F.col("part") == SHARED) | (F.col("part") != F.col("other"))
+    dealt = members.join(bags, "node").join(faced, "group").where(meets)
+    dealt = dealt.select("group", "node", "bag", "block", F.least("block", "facing").alias("lo"), F.greatest("block", "facing").alias("hi"))
+    return dealt.groupBy("group", "lo", "hi").applyInArrow(_block_links(similar), "a long, b long")
+
+
+def forest(stars: DataFrame) -> DataFrame:
+    """Fewer links (a, b) with the components of the links (node, head): a node keeps one head, its heads are tied to each other."""
+    by = stars.groupBy("node").agg(F.sort_array(F.collect_set("head")).alias("heads"))
+    first = by.select(F.col("node").alias("a"), F.get("heads", F.lit(0)).alias("b"))
+    rest = F.explode(F.slice("heads", 2, F.greatest(F.size("heads") - 1, F.lit(0))))
+    return first.unionByName(by.select(rest.alias("a"), F.get("heads", F.lit(0)).alias("b")).distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -297,7 +315,7 @@ def _ordered_pair(x: Column, y: Column) -> list[Column]:
 
 
 class Groups:
-    """Near-duplicate groups of a table: ``rows`` (id, node, label) and ``links`` between nodes."""
+    """Near-duplicate groups of a table: ``rows`` (id, node, label)."""
 
     def __init__(
         self, docs: DataFrame, id_column: str = "doc_id", text: str = "text",
@@ -313,15 +331,15 @@ class Groups:
         # The member that shares most bands with most others is nearest to the middle of its group.
         rank = shared.groupBy("node").agg(F.sum("size").alias("rank"))
         ranked = shared.select("node", "band").join(rank, "node")
-        heads = ranked.groupBy("band").agg(F.max_by("node", "rank").alias("head"))
+        heads = ranked.groupBy("band").agg(F.max_by("node", F.struct("rank", "node")).alias("head"))
         stars = shared.select("node", "band").join(heads, "band").where("node <> head")
-        stars = saved(stars.select(*_ordered_pair(F.col("node"), F.col("head"))).distinct())
+        stars = saved(stars.select("node", "head").distinct())
         involved = shared.select("node").distinct()
         bags = slim.select("text").mapInArrow(_bag_blobs("text"), "node long, size long, bag binary")
         self.bags = saved(bags.join(involved, "node", "left_semi").dropDuplicates(["node"]))
-        checked = saved(verify(stars, self.bags, similar))
-        links = checked.where("linked").select("a", "b")
-        labels = components(links)
+        checked = verify(stars.select(F.col("node").alias("a"), F.col("head").alias("b")), self.bags, similar)
+        links = saved(checked.where("linked").select("a", "b"))
+        labels = components(forest(links.select(F.col("a").alias("node"), F.col("b").alias("head"))))
         # Members of one band in different components that were not compared yet.
         placed = shared.select("node", "band").join(labels, "node", "left")
         placed = placed.withColumn("label", F.coalesce("label", "node"))
@@ -332,14 +350,21 @@ class Groups:
         other = small.select(F.col("node").alias("node2"), F.col("label").alias("label2"), "band")
         pairs = small.join(other, "band").where("label < label2")
         pairs = pairs.select(*_ordered_pair(F.col("node"), F.col("node2"))).distinct()
-        rest = verify(pairs.join(stars, ["a", "b"], "left_anti"), self.bags, similar)
+        compared = stars.select(*_ordered_pair(F.col("node"), F.col("head")))
+        rest = verify(pairs.join(compared, ["a", "b"], "left_anti"), self.bags, similar)
         large = open_.join(size.where(F.col("size") > LARGE).select("band", "head"), "band")
-        tied = components(large.select(F.col("node").alias("a"), F.col("head").alias("b")))
-        found = rest.where("linked").select("a", "b").unionByName(compare_blocks(tied, self.bags, similar))
-        extra = saved(found)
-        self.links = links.unionByName(extra)
-        if extra.head(1):
-            labels = components(self.links)
+        tied = components(forest(large.select("node", "head"))).withColumnRenamed("label", "group")
+        found = rest.where("linked").select("a", "b").unionByName(compare_blocks(tied, labels, self.bags, similar))
+        # What was found ties components, not nodes: few links, whatever the size of the groups.
+        at = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias("label_" + x))
+        between = found.join(at("a"), "a", "left").join(at("b"), "b", "left")
+        between = between.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+        between = saved(between.where("a <> b").distinct())
+        if between.head(1):
+            joined = components(between)
+            whole = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
+            alone = joined.join(labels, "node", "left_anti")  # nodes that had no link before
+            labels = whole.select("node", F.coalesce("root", "label").alias("label")).unionByName(alone)
         named = described.select("id", "node").join(labels, "node", "left")
         self.rows = named.select("id", "node", F.coalesce("label", "node").alias("label"))
 
