@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textlens import Lexicon, MarkerScorer, OnnxScorer, SentimentAnalyzer, score_sentiment
+from textlens import Lexicon, MarkerScorer, OnnxScorer, PhraseLexicon, Rules, SentimentAnalyzer, score_sentiment
 from textlens.functions import scores as S
 from textlens.functions.lexicon_rules import RuleLexicon
 from textlens.operators import sentences as O
@@ -311,3 +311,114 @@ def test_stream_equals_batch(spark, small):
     score_stream(stream, score, sink, log).awaitTermination()
     streamed = spark.read.parquet(sink)
     assert streamed.exceptAll(score(docs)).count() == 0 and streamed.count() == docs.count()
+
+
+# Lexicon tables: in the plan, sent to the tasks, joined ------------------------------------------
+
+WAYS = {"plan": {}, "sent": {"max_inline": 0}, "joined": {"max_inline": 0, "max_sent": 0}}
+TEXTS = [
+    (1, "Not good at all. Very good! It is GOOD?"), (1, "Not good at all. Very good! It is GOOD?"), (None, None), (None, "good"), (2, ""), (3, "  "),
+    (4, "no good, but kind of bad; never so good"), (5, "the cat sat. the bad cat sat on the bad cat. cat sat on"), (6, "\x00 good\x1fbad É" + " good" * 500),
+]
+
+
+def by_every_way(spark, entries, level, **options):
+    df = spark.createDataFrame(TEXTS, "id bigint, text string").repartition(3)
+    table = spark.createDataFrame(entries, "token string, valence double")
+    name = "doc_sentiments" if level == "document" else "sentence_sentiments_lst"
+    found = {}
+    for way, limits in WAYS.items():
+        rows = score_sentiment(df, "text", table, level=level, **limits, **options).collect()
+        found[way] = sorted(((r["id"], r["text"], r[name]) for r in rows), key=str)
+    return found
+
+
+ENTRIES = [("good", 1.9), ("Good", 1.5), ("bad", -2.5), ("cat", 0.3), (None, 5.0), ("sat", None)] + [(f"none{k}", 1.0) for k in range(300)]
+
+
+@pytest.mark.parametrize("level", ["document", "sentence"])
+def test_rules_at_every_size_of_lexicon(spark, level):
+    found = by_every_way(spark, ENTRIES, level, rules=Rules())
+    assert found["plan"] == found["sent"] == found["joined"] and len(found["plan"]) == len(TEXTS)
+    inline = RuleLexicon({"good": 1.9, "bad": -2.5, "cat": 0.3})
+    df = spark.createDataFrame(TEXTS, "id bigint, text string")
+    name = "doc_sentiments" if level == "document" else "sentence_sentiments_lst"
+    rows = score_sentiment(df, "text", inline, level=level).collect()
+    assert found["joined"] == sorted(((r["id"], r["text"], r[name]) for r in rows), key=str)
+
+
+def test_not_good_is_negative_by_table(spark):
+    df = spark.createDataFrame([(1, "this is not good")], "id bigint, text string")
+    table = spark.createDataFrame([("good", 1.9)], "token string, valence double")
+    plain = score_sentiment(df, "text", table, level="document", max_inline=0).first()["doc_sentiments"]
+    ruled = score_sentiment(df, "text", table, level="document", max_inline=0, rules=Rules()).first()["doc_sentiments"]
+    assert plain == 0.4404 and ruled == pytest.approx(-0.3412, abs=1e-3)
+    analyzer = SentimentAnalyzer(spark, scorers={"vader": table})
+    assert analyzer.trigger_SentimentInference(df, "vader", sentParse=False).first()["doc_sentiments"] == ruled
+
+
+PHRASES = {"the cat": 1.0, "cat": -1.0, "cat sat on": 2.0, "sat on the": -3.0, "the": 0.25, "on": 0.5, "bad  Cat": 0.125}
+
+
+def longest_first(text, phrases):
+    words = [w.strip(".,;?!").lower() for w in text.split()]
+    entries, total, k = {" ".join(p.lower().split()): v for p, v in phrases.items()}, 0.0, 0
+    while k < len(words):
+        for n in range(3, 0, -1):
+            run = " ".join(words[k : k + n])
+            if k + n <= len(words) and run in entries:
+                total, k = total + entries[run], k + n
+                break
+        else:
+            k += 1
+    return total
+
+
+def test_phrases_longest_first(spark):
+    texts = ["the cat sat on the cat", "cat sat on the bad cat", "Sat on the cat, cat sat on", "the the cat", "on", "", "zzz", "bad cat bad"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    sums = PhraseLexicon(PHRASES).valence_sum(F.col("text"))
+    for r in df.withColumn("x", sums).collect():
+        assert r["x"] == pytest.approx(longest_first(r["text"], PHRASES)), r["text"]
+    found = by_every_way(spark, list(PHRASES.items()), "sentence", phrases=True)
+    assert found["plan"] == found["sent"] == found["joined"]
+    five = next(r[2] for r in found["sent"] if r[0] == 5)
+    wanted = [longest_first(s, PHRASES) for s in ("the cat sat.", "the bad cat sat on the bad cat.", "cat sat on")]
+    assert five == [pytest.approx(x / (x * x + 15) ** 0.5, abs=1e-4) for x in wanted]
+
+
+def test_filter_lets_hits_through_and_little_else(spark):
+    from textlens.operators.lexicon_values import bloom_filter, may_contain, normalised, sifted
+
+    table = spark.range(3000).selectExpr("concat('word', id) AS token", "1D AS valence")
+    entries = normalised(table)
+    words = spark.range(40_000).selectExpr("concat('word', id) AS key").selectExpr("key", "xxhash64(key) AS h").toPandas()
+    passed = may_contain(bloom_filter(entries, 3000), words["h"].to_numpy())
+    assert passed[:3000].all() and passed[3000:].mean() < 0.01
+    rows = spark.range(200).selectExpr("id AS _row", "array(transform(sequence(0, 99), k -> concat('word', id * 100 + k))) AS keys")
+    kept = sifted(rows, F.col("keys"), "_row", entries, 3000)
+    assert 3000 <= kept.count() <= 3000 + 0.01 * 17_000
+    assert kept.where("key <> concat('word', _row * 100 + place)").count() == 0
+
+
+def test_frequent_words_are_dealt_out(spark, monkeypatch):
+    from textlens.operators import lexicon_values as V
+
+    monkeypatch.setattr(V, "FREQUENT", 3)
+    monkeypatch.setattr(V, "SAMPLED_ROWS", 1)
+    found = by_every_way(spark, ENTRIES, "document", rules=Rules())
+    assert found["joined"] == found["plan"]
+
+
+def test_valences_must_be_finite_at_every_size(spark):
+    table = spark.createDataFrame([("good", float("nan"))], "token string, valence double")
+    df = spark.createDataFrame([(1, "good")], "id int, text string")
+    for limits in WAYS.values():
+        with pytest.raises(Exception, match="finite"):
+            score_sentiment(df, "text", table, level="document", **limits).collect()
+
+
+def test_options_of_tables_only(reviews):
+    for options in ({"rules": Rules()}, {"phrases": True}):
+        with pytest.raises(ValueError):
+            score_sentiment(reviews, "reviews", LEXICON, **options)

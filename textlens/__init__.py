@@ -6,15 +6,17 @@ the caller runs an action, except where a step is a fit, a save or a run record.
 
 from textlens.plans.classify import TextClassifier
 from textlens.plans.sentiment import SentimentAnalyzer, score_sentiment
-from textlens.functions.lexicon import Lexicon
-from textlens.functions.lexicon_rules import RuleLexicon
+from textlens.functions.lexicon import Lexicon, PhraseLexicon
+from textlens.functions.lexicon_rules import RuleLexicon, Rules
 from textlens.scorers import MarkerScorer, OnnxScorer, Scorer
 
 __all__ = [
     "Lexicon",
     "MarkerScorer",
     "OnnxScorer",
+    "PhraseLexicon",
     "RuleLexicon",
+    "Rules",
     "Scorer",
     "SentimentAnalyzer",
     "TextClassifier",

@@ -3,7 +3,7 @@
 A lexicon of bounded size travels inside the plan as a constant: an array of small maps, addressed
 by ``crc32(token) % buckets``. A lookup therefore costs a handful of comparisons whatever the size
 of the lexicon, needs no join, no shuffle and no Python, and the text column is never moved. Larger
-lexicons stay tables and are joined (``operators.lexicon_join``).
+lexicons stay tables (``operators.lexicon_values``) that deliver an array of valences for the ``keys`` of a text.
 """
 
 from __future__ import annotations
@@ -94,12 +94,16 @@ class Lexicon:
         """Valence of one lower-case token, null when it is not in the lexicon."""
         return self.table.lookup(token)
 
+    def keys(self, text: Column) -> Column:
+        """What is looked up of a text, in order."""
+        return tokens(text)
+
     def valence_sum(self, text: Column) -> Column:
-        return F.aggregate(
-            tokens(text),
-            F.lit(0.0),
-            lambda total, token: total + F.coalesce(self.valence(token), F.lit(0.0)),
-        )
+        return self.valence_sum_of(text, F.transform(self.keys(text), self.valence))
+
+    def valence_sum_of(self, text: Column, values: Column) -> Column:
+        """The sum, given the valence (or null) of each of the text's ``keys``."""
+        return F.aggregate(values, F.lit(0.0), lambda total, value: total + F.coalesce(value, F.lit(0.0)))
 
     def score(self, text: Column, alpha: float = ALPHA, digits: int | None = COMPOUND_DIGITS) -> Column:
         """Compound score of one text; no hits give 0.0 and null text gives null."""
@@ -108,3 +112,49 @@ class Lexicon:
     def score_each(self, texts: Column, **options) -> Column:
         """Scores of an array of texts, same length and order."""
         return F.transform(texts, lambda text: self.score(text, **options))
+
+
+class PhraseLexicon(Lexicon):
+    """A lexicon whose entries may have several words. At each place the longest entry counts, and its words for nothing else.
+
+    Keys of a text are its runs of one word, then those of two, and so on, a key for each place (null where the text ends).
+    ``longest`` is the number of words of the longest entry; it is found from ``entries`` unless they stay in a table.
+    """
+
+    def __init__(self, entries: Mapping[str, float], longest: int | None = None, max_entries: int = MAX_INLINE_ENTRIES):
+        super().__init__({" ".join(phrase.split()): value for phrase, value in entries.items()}, max_entries)
+        self.longest = longest or max((len(phrase.split()) for phrase in self.entries), default=1)
+
+    def keys(self, text: Column) -> Column:
+        def run(words: Column, i: Column, n: int) -> Column:
+            return F.when(i + n <= F.size(words), F.array_join(F.slice(words, i + 1, n), " "))
+
+        def runs(words: Column) -> Column:
+            return F.concat(words, *[F.transform(words, lambda _, i: run(words, i, n)) for n in range(2, self.longest + 1)])
+
+        return let(tokens(text), runs)
+
+    def valence_sum_of(self, text: Column, values: Column) -> Column:
+        def summed(values: Column) -> Column:
+            size = F.floor(F.size(values) / self.longest).cast("int")
+
+            def longest_at(i: Column) -> Column:
+                """(words, valence) of the longest entry that starts here; null for none."""
+                found = None
+                for n in range(self.longest, 0, -1):
+                    value = F.get(values, size * (n - 1) + i)
+                    match = F.struct(F.lit(n).alias("words"), value.alias("valence"))
+                    found = F.when(value.isNotNull(), match) if found is None else found.when(value.isNotNull(), match)
+                return found
+
+            def step(state: Column, i: Column) -> Column:
+                taken = lambda m: F.when(m.isNull() | (i < state["free"]), state).otherwise(
+                    F.struct((i + m["words"]).alias("free"), (state["total"] + m["valence"]).alias("total"))
+                )
+                return let(longest_at(i), taken)
+
+            places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+            start = F.struct(F.lit(0).alias("free"), F.lit(0.0).alias("total"))
+            return F.when(values.isNotNull(), F.aggregate(places, start, step, lambda state: state["total"]))
+
+        return let(values, summed)

@@ -8,7 +8,7 @@ lists are parameters. Idioms of several words are not part of the rules, but for
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, functions as F
@@ -175,7 +175,27 @@ class RuleLexicon(Lexicon):
             first = first | other
         return first
 
+    def keys(self, text: Column) -> Column:
+        return F.transform(raw_words(text), lambda word: F.lower(word))
+
     def valence_sum(self, text: Column) -> Column:
+        return self._summed(text, lambda words: F.transform(words, lambda word: let(F.lower(word), self.known.lookup)))
+
+    def valence_sum_of(self, text: Column, values: Column) -> Column:
+        """Rule words come from the plan, valences from outside."""
+        def entry(word: Column, value: Column) -> Column:
+            def joined(low: Column, rule: Column) -> Column:
+                row = F.struct(
+                    low.alias("low"), value.alias("valence"), rule["degree"].alias("degree"),
+                    F.coalesce(rule["negation"], F.lit(False)).alias("negation"),
+                )
+                return F.when(rule.isNotNull() | value.isNotNull(), row)
+
+            return let(F.lower(word), lambda low: let(self.known.lookup(low), lambda rule: joined(low, rule)))
+
+        return self._summed(text, lambda words: F.zip_with(words, values, entry))
+
+    def _summed(self, text: Column, known_of: Callable[[Column], Column]) -> Column:
         def over(words: Column, known: Column) -> Column:
             places = F.transform(known, lambda k, i: F.when(k["valence"].isNotNull(), i))
             turn = F.array_position(F.transform(known, lambda k: k["low"]), self.rules.contrast)
@@ -201,6 +221,5 @@ class RuleLexicon(Lexicon):
             F.when(questions > MAX_QUESTIONS, MANY_QUESTIONS)
             .when(questions > 1, questions * QUESTION).otherwise(0.0)
         )
-        total = let(raw_words(text), lambda words: let(
-            F.transform(words, lambda word: let(F.lower(word), self.known.lookup)), lambda known: over(words, known)))
+        total = let(raw_words(text), lambda words: let(known_of(words), lambda known: over(words, known)))
         return let(total, lambda x: F.when(x > 0, x + emphasis).when(x < 0, x - emphasis).otherwise(x))

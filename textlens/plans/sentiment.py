@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textlens.functions import scores as S
-from textlens.functions.lexicon import MAX_INLINE_ENTRIES, Lexicon
+from textlens.functions.lexicon import MAX_INLINE_ENTRIES, Lexicon, PhraseLexicon, compound
+from textlens.functions.lexicon_rules import RuleLexicon, Rules
 from textlens.functions.text import SENTENCE_BOUNDARY, sentences, truncate_tokens
-from textlens.operators.lexicon_join import score_by_join
+from textlens.operators.lexicon_values import MAX_SENT, with_values
 from textlens.operators.scoring import batch_size, computed_once, model_logits
 from textlens.operators.sentences import (
     DOC_SCORE_COLUMN,
@@ -63,14 +64,18 @@ def score_sentiment(
     max_inline: int = MAX_INLINE_ENTRIES,
     by_rows: bool = False,
     once: bool = True,
+    rules: Rules | None = None,
+    phrases: bool = False,
+    max_sent: int = MAX_SENT,
 ) -> DataFrame:
     """Append sentiment to a table of texts; lazy, and every argument is checked first.
 
     ``scorer``: a ``Lexicon``, a lexicon table (``token``, ``valence``), or a model scorer.
     ``level='sentence'`` appends ``sentences_array`` and ``sentence_sentiments_lst``;
-    ``'document'`` appends ``doc_sentiments``. Rows are scored in place and nothing is shuffled,
-    except with a lexicon table of more than ``max_inline`` rows: that one is joined, and scores find
-    their rows again by a hash of the text. ``keys`` are therefore not needed; null and repeated ones do no harm.
+    ``'document'`` appends ``doc_sentiments``. Rows are scored in place and nothing is shuffled: a lexicon table of up to
+    ``max_inline`` rows becomes part of the plan, one of up to ``max_sent`` is sent to the tasks. Only a larger one
+    is joined, after a Bloom filter. ``rules`` (the published ones or others) or ``phrases`` (entries of several words,
+    longest first) say how a table is scored, whatever its size. ``keys`` are not needed; null and repeated ones do no harm.
 
     ``by_rows`` (sentence level, model scorer) spreads the sentences themselves over
     the cluster. It pays a shuffle so that a costly model is not held up by the tasks that happen
@@ -87,6 +92,10 @@ def score_sentiment(
     S.check_model_name(model)
     if text not in df.columns:
         raise ValueError(f"no column {text!r} in {df.columns}")
+    if (rules is not None or phrases) and not isinstance(scorer, DataFrame):
+        raise ValueError("rules and phrases go with a lexicon table; use RuleLexicon or PhraseLexicon otherwise")
+    if rules is not None and phrases:
+        raise ValueError("a table is scored with rules or with phrases")
 
     def sign(score: Column) -> Column:
         return S.let(score, S.binarize) if binarize else score
@@ -103,9 +112,11 @@ def score_sentiment(
     if level == "sentence":
         df = df.withColumn(SENTENCES_COLUMN, sentences(text, boundary))
     if isinstance(scorer, DataFrame):
-        scorer = Lexicon.from_table(scorer, max_entries=max_inline) or scorer
-    if isinstance(scorer, DataFrame):
-        return _score_with_table(df, text, scorer, level, sign, limited)
+        found = Lexicon.from_table(scorer, max_entries=max_inline)
+        if found is None:
+            scheme = _scheme({}, rules, longest_entry(scorer) if phrases else None)
+            return _score_with_table(df, text, scorer, scheme, level, max_sent, sign, limited, append)
+        scorer = _scheme(found.entries, rules, 0 if phrases else None)
 
     if level == "document":
         source = limited(F.col(text))
@@ -135,6 +146,19 @@ def text_key(text: str) -> Column:
     return F.md5(F.col(text).cast("binary"))
 
 
+def longest_entry(lexicon: DataFrame) -> int:
+    """Words of the longest entry of a lexicon table."""
+    words = F.size(F.split(F.trim("token"), r"\s+"))
+    return max(1, lexicon.where(F.col("token").isNotNull()).agg(F.max(words)).first()[0] or 1)
+
+
+def _scheme(entries: Mapping[str, float], rules: Rules | None, longest: int | None) -> Lexicon:
+    """How texts are scored, with the entries that are part of the plan; ``longest``: entries may have several words."""
+    if rules is not None:
+        return RuleLexicon(entries, rules)
+    return Lexicon(entries) if longest is None else PhraseLexicon(entries, longest)
+
+
 def _keep_null_arrays(grouped: DataFrame) -> DataFrame:
     kept = F.when(F.col(SENTENCES_COLUMN).isNotNull(), F.col(SENTENCE_SCORES_COLUMN))
     return grouped.withColumn(SENTENCE_SCORES_COLUMN, kept)
@@ -155,22 +179,17 @@ def _score_by_rows(
 
 
 def _score_with_table(
-    df: DataFrame, text: str, lexicon: DataFrame, level: str,
+    df: DataFrame, text: str, lexicon: DataFrame, scheme: Lexicon, level: str, max_sent: int,
     sign: Callable[[Column], Column], limited: Callable[[Column], Column],
+    append: Callable[[DataFrame, str, Column], DataFrame],
 ) -> DataFrame:
-    keys = [TEXT_KEY]
-    df = df.withColumn(TEXT_KEY, text_key(text))
-    if level == "document":
-        scored = score_by_join(
-            df.select(*keys, limited(F.col(text)).alias("_text")), keys, "_text", lexicon, "_score"
-        )
-        joined = df.join(scored.hint("merge"), keys, "left")
-        return joined.withColumn(DOC_SCORE_COLUMN, sign(F.col("_score"))).drop("_score", TEXT_KEY)
-    pieces = df.select(*keys, F.posexplode(SENTENCES_COLUMN).alias("pos", "sentence")).dropDuplicates([*keys, "pos"])
-    pieces = pieces.withColumn("sentence", limited(F.col("sentence")))
-    scored = score_by_join(pieces, [*keys, "pos"], "sentence", lexicon, "_score")
-    scored = scored.withColumn("_score", sign(F.col("_score")))
-    return _keep_null_arrays(regroup_sentences(df, scored, keys, "_score", SENTENCE_SCORES_COLUMN)).drop(TEXT_KEY)
+    document = level == "document"
+    texts = F.when(F.col(text).isNotNull(), F.array(limited(F.col(text)))) if document else F.transform(SENTENCES_COLUMN, limited)
+    valued = with_values(df, F.transform(texts, scheme.keys), lexicon, "_values", max_sent)
+    each = F.zip_with(texts, F.col("_values"), lambda one, values: sign(compound(scheme.valence_sum_of(one, values))))
+    if document:
+        return append(valued, DOC_SCORE_COLUMN, F.get(each, F.lit(0))).drop("_values")
+    return append(valued, SENTENCE_SCORES_COLUMN, each).drop("_values")
 
 
 def ensemble_score(df: DataFrame, columns: Sequence[str], out: str = "ensemble_score") -> DataFrame:
@@ -190,7 +209,8 @@ class SentimentAnalyzer:
 
     ``scorers`` maps model names to scorers; ``vader`` stands for the lexicon. With ``run_log_path``
     each call appends one record (parameters, success, error); with ``materialise_result`` the
-    scored table is written to the shared folder and read back, cutting the lineage.
+    scored table is written to the shared folder and read back, cutting the lineage. A lexicon table is scored with
+    ``lexicon_rules``, the published ones unless others (or None, the plain sum) are given.
     """
 
     def __init__(
@@ -201,6 +221,7 @@ class SentimentAnalyzer:
         scorers: dict[str, Lexicon | DataFrame | Scorer] | None = None,
         run_log_path: str | None = None,
         materialise_result: bool = False,
+        lexicon_rules: Rules | None = Rules(),
     ):
         if transformer_batch_size <= 0:
             raise ValueError("the batch size must be positive")
@@ -210,6 +231,7 @@ class SentimentAnalyzer:
         self.scorers = {name.lower(): scorer for name, scorer in (scorers or {}).items()}
         self.run_log_path = run_log_path
         self.materialise_result = materialise_result
+        self.lexicon_rules = lexicon_rules
 
     def _scorer(self, model_name: str):
         name = model_name.lower()
@@ -252,6 +274,7 @@ class SentimentAnalyzer:
                 model="roberta" if model_name.lower() == LEXICON_MODEL else model_name,
                 batching=enable_batching,
                 keys=key_columns,
+                rules=self.lexicon_rules if isinstance(scorer, DataFrame) else None,
             )
             if self.materialise_result:
                 result = materialise(result)

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlens import score_sentiment
+from textlens import PhraseLexicon, score_sentiment
 from textlens.functions import text as X
 from textlens.functions.lexicon_rules import RuleLexicon, Rules
 from textlens.functions.scores import binarize
-from textlens.operators.lexicon_join import score_by_join
 from textlens.operators.sentences import (
     DOC_SCORE_COLUMN, add_sentence_count, add_sentences, explode_sentences,
     regroup_sentences, sentence_rows,
@@ -89,11 +88,43 @@ def lexicon_rules_doc(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", DOC_SCORE_COLUMN)
 
 
+def lexicon_rules_sentence(spark: SparkSession, sf: str) -> DataFrame:
+    """The rules for each sentence, with a lexicon table that is sent to the tasks."""
+    scored = score_sentiment(documents(spark, sf), "text", lexicon_table(spark), rules=RULES, max_inline=0)
+    return exploded_scores(scored, ["doc_id"])
+
+
+def lexicon_rules_table_doc(spark: SparkSession, sf: str) -> DataFrame:
+    """The rules with a lexicon table that is joined."""
+    scored = score_sentiment(
+        documents(spark, sf), "text", lexicon_table(spark), level="document", rules=RULES, max_inline=0, max_sent=0
+    )
+    return scored.select("doc_id", DOC_SCORE_COLUMN)
+
+
+PHRASES = {
+    "the": 0.5, "of": -0.5, "and": 1.0, "of the": 2.0, "the of": -1.0, "the the": 0.7, "and the": 1.3, "of the and": -2.5,
+    "in the of": 1.7, "de la": 0.9, "la de la": -1.1, "der und": 0.6,
+}
+
+
+def lexicon_phrases_doc(spark: SparkSession, sf: str) -> DataFrame:
+    scored = score_sentiment(documents(spark, sf), "text", PhraseLexicon(PHRASES), level="document")
+    return scored.select("doc_id", DOC_SCORE_COLUMN)
+
+
+def lexicon_phrases_table_doc(spark: SparkSession, sf: str) -> DataFrame:
+    entries = spark.createDataFrame(list(PHRASES.items()), "token string, valence double")
+    scored = score_sentiment(documents(spark, sf), "text", entries, level="document", phrases=True, max_inline=0)
+    return scored.select("doc_id", DOC_SCORE_COLUMN)
+
+
 def lexicon_salted_doc(spark: SparkSession, sf: str) -> DataFrame:
-    """The shuffled form that a lexicon beyond the broadcast limit takes."""
-    return score_by_join(
-        documents(spark, sf), ["doc_id"], "text", lexicon_table(spark), DOC_SCORE_COLUMN, max_broadcast_bytes=0
+    """The join that a lexicon beyond the limit of what is sent takes."""
+    scored = score_sentiment(
+        documents(spark, sf), "text", lexicon_table(spark), level="document", max_inline=0, max_sent=0
     )
+    return scored.select("doc_id", DOC_SCORE_COLUMN)
 
 
 def sentiment_flagship(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,8 +188,8 @@ def _sql_neighbour(value: str, d: int) -> str:
     return f"CASE WHEN low{d} IS NOT NULL AND valence{d} IS NULL THEN {changed} ELSE {value} END"
 
 
-def _sql_rules() -> str:
-    """The rules on rows: one per word, its neighbours by lag."""
+def _sql_rules(source: str = "documents", key: str = "doc_id", out: str = "doc_sentiments") -> str:
+    """The rules on rows: one per word, its neighbours by lag. ``source`` has the key and a ``text``."""
     bare = f"trim(w, {SQL_WORD_EDGES})"
     words = rf"string_split_regex(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '\s+')"
     degree = " ".join(f"WHEN '{w}' THEN {v}::DOUBLE" for w, v in RULES.degrees.items())
@@ -166,31 +197,59 @@ def _sql_rules() -> str:
     lags = ", ".join(
         f"lag({c}, {d}) OVER by_doc AS {c}{d}" for d in (1, 2, 3) for c in ("low", "valence", "degree", "neg", "cap")
     )
-    return f"""WITH {SQL_LEXICON},
-        raw AS (SELECT doc_id, unnest({words}) AS w, generate_subscripts({words}, 1) AS i FROM documents),
-        cut AS (SELECT doc_id, i, CASE WHEN length({bare}) <= 2 THEN w ELSE {bare} END AS w FROM raw),
-        known AS (SELECT doc_id, i, w, lower(w) AS low, valence, CASE lower(w) {degree} END AS degree,
+    return f"""{SQL_LEXICON},
+        raw AS (SELECT {key}, unnest({words}) AS w, generate_subscripts({words}, 1) AS i FROM {source}),
+        cut AS (SELECT {key}, i, CASE WHEN length({bare}) <= 2 THEN w ELSE {bare} END AS w FROM raw),
+        known AS (SELECT {key}, i, w, lower(w) AS low, valence, CASE lower(w) {degree} END AS degree,
             lower(w) IN ({negations}) OR contains(lower(w), 'n''t') AS neg, upper(w) = w AND lower(w) <> w AS cap
             FROM cut LEFT JOIN lex ON lower(w) = token),
         around AS (SELECT *, {lags}, count(*) FILTER (WHERE cap) OVER whole AS caps, count(*) OVER whole AS n,
             min(i) FILTER (WHERE low = '{RULES.contrast}') OVER whole AS turn FROM known
-            WINDOW by_doc AS (PARTITION BY doc_id ORDER BY i), whole AS (PARTITION BY doc_id)),
+            WINDOW by_doc AS (PARTITION BY {key} ORDER BY i), whole AS (PARTITION BY {key})),
         hit AS (SELECT *, caps > 0 AND caps < n AS stressed FROM around WHERE valence IS NOT NULL AND degree IS NULL),
         s0 AS (SELECT *, valence + CASE WHEN cap AND stressed THEN sign(valence) * 0.733 ELSE 0 END::DOUBLE AS v0 FROM hit),
         s1 AS (SELECT *, {_sql_neighbour('v0', 1)} AS v1 FROM s0),
         s2 AS (SELECT *, {_sql_neighbour('v1', 2)} AS v2 FROM s1),
         s3 AS (SELECT *, {_sql_neighbour('v2', 3)} AS v3 FROM s2),
-        total AS (SELECT doc_id, sum(v3 * CASE WHEN turn IS NULL OR i = turn THEN 1 WHEN i < turn THEN 0.5
-            ELSE 1.5 END::DOUBLE) AS x FROM s3 GROUP BY doc_id),
-        marked AS (SELECT doc_id, coalesce(x, 0) AS x, least(length(text) - length(replace(text, '!', '')), 4)
+        total AS (SELECT {key}, sum(v3 * CASE WHEN turn IS NULL OR i = turn THEN 1 WHEN i < turn THEN 0.5
+            ELSE 1.5 END::DOUBLE) AS x FROM s3 GROUP BY {key}),
+        marked AS (SELECT {key}, coalesce(x, 0) AS x, least(length(text) - length(replace(text, '!', '')), 4)
             * 0.292::DOUBLE + CASE WHEN q > 3 THEN 0.96 WHEN q > 1 THEN q * 0.18 ELSE 0 END::DOUBLE AS e
-            FROM (SELECT *, length(text) - length(replace(text, '?', '')) AS q FROM documents) LEFT JOIN total USING (doc_id)),
-        final AS (SELECT doc_id, CASE WHEN x > 0 THEN x + e WHEN x < 0 THEN x - e ELSE x END AS x FROM marked)
-        SELECT doc_id, round(x / sqrt(x * x + 15), 4)::DOUBLE AS doc_sentiments FROM final"""
+            FROM (SELECT *, length(text) - length(replace(text, '?', '')) AS q FROM {source}) LEFT JOIN total USING ({key})),
+        final AS (SELECT {key}, CASE WHEN x > 0 THEN x + e WHEN x < 0 THEN x - e ELSE x END AS x FROM marked)
+        SELECT {key}, round(x / sqrt(x * x + 15), 4)::DOUBLE AS {out} FROM final"""
+
+
+def _sql_phrases() -> str:
+    """Longest entry first, left to right: a fold over the places of a text."""
+    longest = max(len(p.split()) for p in PHRASES)
+    runs = {n: " || ' ' || ".join(f"tk[i + {k}]" for k in range(n)) for n in range(1, longest + 1)}
+    listed = lambda n: [(p, v) for p, v in PHRASES.items() if len(p.split()) == n]
+    words = " ".join(
+        f"WHEN {runs[n]} IN ({', '.join(repr(p) for p, _ in listed(n))}) THEN {n}" for n in range(longest, 0, -1)
+    )
+    value = " ".join(f"WHEN {runs[len(p.split())]} = '{p}' THEN {v}" for p, v in sorted(PHRASES.items(), key=lambda e: -len(e[0].split())))
+    return f"""WITH t AS (SELECT doc_id, {sql_tokens()} AS tk FROM documents),
+        e AS (SELECT doc_id, i, CASE {words} ELSE 0 END AS words, CASE {value} ELSE 0 END::DOUBLE AS v
+            FROM (SELECT doc_id, tk, unnest(range(1, len(tk) + 1)) AS i FROM t)),
+        l AS (SELECT doc_id, list(struct_pack(i := i, words := words, v := v) ORDER BY i) AS es FROM e WHERE words > 0 GROUP BY doc_id),
+        r AS (SELECT doc_id, list_reduce(list_prepend(struct_pack(i := 1::BIGINT, words := 0, v := 0::DOUBLE), es), lambda a, x:
+            CASE WHEN x.i < a.i THEN a ELSE struct_pack(i := x.i + x.words, words := 0, v := a.v + x.v) END).v AS x FROM l)
+        SELECT doc_id, round(coalesce(x, 0) / sqrt(coalesce(x, 0) * coalesce(x, 0) + 15), 4)::DOUBLE AS doc_sentiments
+        FROM documents LEFT JOIN r USING (doc_id)"""
+
+
+_RULES_BY_SENTENCE = f"""WITH st AS (SELECT doc_id, unnest({sql_sentences()}) AS text,
+        generate_subscripts({sql_sentences()}, 1)::BIGINT - 1 AS pos FROM documents),
+    {_sql_rules('st', 'doc_id, pos', 'score')}"""
 
 
 QUERIES = {
-    "lexicon_rules_doc": (lexicon_rules_doc, _sql_rules()),
+    "lexicon_rules_doc": (lexicon_rules_doc, "WITH " + _sql_rules()),
+    "lexicon_rules_table_doc": (lexicon_rules_table_doc, "WITH " + _sql_rules()),
+    "lexicon_rules_sentence": (lexicon_rules_sentence, _RULES_BY_SENTENCE),
+    "lexicon_phrases_doc": (lexicon_phrases_doc, _sql_phrases()),
+    "lexicon_phrases_table_doc": (lexicon_phrases_table_doc, _sql_phrases()),
     "sentence_split": (sentence_split, f"SELECT doc_id, unnest({sql_sentences()}) AS sentence FROM documents"),
     "sentence_explode": (sentence_explode, SQL_EXPLODED),
     "sentence_regroup": (
