@@ -71,9 +71,10 @@ def test_sentence_rows_score_each_sentence_once(docs):
     assert "Filter" not in text
 
 
-def test_only_small_inputs_are_spread(spark, docs):
+def test_only_small_inputs_are_spread(spark, docs, tmp_path):
     assert spread(docs, ["doc_id"]).rdd.getNumPartitions() == 4
-    many = docs.repartition(9)
+    docs.repartition(9).write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
     assert spread(many, ["doc_id"]) is many
 
 

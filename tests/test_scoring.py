@@ -277,11 +277,10 @@ def test_regroup_keeps_order_and_empty_documents(spark, holes):
 def test_repartition_rule(spark):
     df = spark.range(1000).repartition(4)
     assert O.wanted_partitions(250_000) == 4
-    assert O.repartition_by_rows(df, rows_per_partition=100).rdd.getNumPartitions() == 12
-    assert O.repartition_by_rows(df, rows_per_partition=500).rdd.getNumPartitions() == 4
-    many = df.repartition(20)
-    fewer = O.repartition_by_rows(many, rows_per_partition=500, checkpoint=True)
+    assert O.repartition_by_rows(df, rows_per_partition=100, rows=1000).rdd.getNumPartitions() == 12
+    fewer = O.repartition_by_rows(df.repartition(20), rows_per_partition=500, rows=1000, checkpoint=True)
     assert fewer.rdd.getNumPartitions() == 4 and fewer.count() == 1000
+    assert O.repartition_by_rows(df).count() == 1000
     with pytest.raises(ValueError):
         O.repartition_by_rows(df, rows_per_partition=0)
 

@@ -9,6 +9,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
@@ -53,10 +54,19 @@ def _scoring_function(scorer: Scorer, size: int | None, nested: bool):
 
     def in_slices(state: Any, texts: pa.Array) -> np.ndarray:
         step = size or max(1, len(texts))
+        order = None
+        if len(texts) > step:
+            # Texts of like length share a call, so that a model pads little.
+            order = np.argsort(np.asarray(pc.binary_length(texts)), kind="stable")
+            texts = texts.take(pa.array(order))
         parts = [scorer.logits(state, texts.slice(i, step)) for i in range(0, len(texts), step)]
         scores = np.concatenate(parts) if parts else np.zeros((0, classes))
         if scores.shape != (len(texts), classes):
             raise ValueError(f"the scorer returned {scores.shape}, not {(len(texts), classes)}")
+        if order is not None:
+            back = np.empty_like(scores)
+            back[order] = scores
+            scores = back
         return scores
 
     def rows(state: Any, texts: pa.Array) -> pa.Array:
@@ -87,15 +97,18 @@ def _scoring_function(scorer: Scorer, size: int | None, nested: bool):
     return run
 
 
-def model_logits(scorer: Scorer, texts: Column, level: str = "document", mode: str = "dynamic") -> Column:
+def model_logits(
+    scorer: Scorer, texts: Column, level: str = "document", mode: str = "dynamic", call_size: int | None = None
+) -> Column:
     """Logits of each text (``document``) or of each element of an array of texts (``sentence``).
 
     Arrays are scored in place: no explode, no regroup, no shuffle. The result does not depend on
-    the batch mode. Spark caps an Arrow batch by ``spark.sql.execution.arrow.maxRecordsPerBatch``.
+    the batch mode, nor on ``call_size``, the largest number of texts of one model call. Spark caps an Arrow batch by ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
     nested = level == "sentence"
     kind = "array<array<double>>" if nested else "array<double>"
-    function = _scoring_function(scorer, batch_size(mode, level), nested)
+    sizes = [n for n in (batch_size(mode, level), call_size) if n is not None]
+    function = _scoring_function(scorer, min(sizes, default=None), nested)
     return F.arrow_udf(function, kind)(texts)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -57,26 +59,32 @@ def regroup_sentences(
     """Collect ``value`` per key in sentence order and append it to ``df`` as an array.
 
     ``keys`` must identify a document, so a group is never larger than the sentences of one
-    source row. Only key, position and value are shuffled for the grouping. A key without rows in
+    source row; null is a key like any other. A position that occurs twice under a key fails the job, because the rows of two
+    documents can't be told apart then. Only key, position and value are shuffled for the grouping. A key without rows in
     ``values`` receives an empty array.
     """
     ordered = F.array_sort(F.collect_list(F.struct("pos", F.col(value).alias("value"))))
     arrays = values.groupBy(*keys).agg(ordered.alias("_pairs"))
-    arrays = arrays.select(*keys, F.col("_pairs.value").alias(out))
+    repeated = F.size(F.array_distinct("_pairs.pos")) < F.size("_pairs")
+    message = F.lit(f"the keys {list(keys)} do not identify a document: a position occurs twice")
+    found = F.when(repeated, F.raise_error(message)).otherwise(F.col("_pairs.value"))
+    arrays = arrays.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], found.alias("_found"))
     element = values.schema[value].dataType.simpleString()
     empty = F.array().cast(f"array<{element}>")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
     # Both sides have a row per document, so neither is ever worth a broadcast.
-    return df.join(arrays.hint("merge"), list(keys), "left").withColumn(out, F.coalesce(F.col(out), empty))
+    joined = df.join(arrays.hint("merge"), same, "left").withColumn(out, F.coalesce("_found", empty))
+    return joined.drop("_found", *[f"_key{i}" for i in range(len(keys))])
 
 
 def spread(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Give an input with fewer splits than cores one partition per core, by hash of ``keys``.
+    """Give an input of fewer files than cores one partition per core, by hash of ``keys``.
 
-    A small file arrives as one task whatever the cluster. An input with at least as many splits
-    as cores comes back untouched, so nothing is shuffled at scale.
+    A small file arrives as one task whatever the cluster. An input of at least as many files
+    as cores comes back untouched, so nothing is shuffled at scale. Files are listed, no job runs.
     """
     wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
+    return df.repartition(wanted, *keys) if len(df.inputFiles()) < wanted else df
 
 
 def wanted_partitions(rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
@@ -90,23 +98,18 @@ def repartition_by_rows(
     rows: int | None = None,
     checkpoint: bool = False,
 ) -> DataFrame:
-    """Size partitions by row count: ``n = 2 + rows // rows_per_partition``.
+    """Size partitions: by ``n = 2 + rows // rows_per_partition`` for a caller who knows the number of rows.
 
-    The data moves only when n exceeds the present number of partitions or is under half of it;
-    too many partitions are merged in place, without a shuffle. Pass unique ``keys`` to spread rows
-    by hash: that placement is the same when a lost task runs again and needs no sort.
-    ``rows`` saves the count when the caller knows it.
+    Without ``rows`` nothing is counted: Spark sizes the partitions by bytes while the query runs
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), splitting skewed ones and merging small ones; no job runs here.
+    Pass unique ``keys`` to spread counted rows by hash: that placement is the same when a lost task runs again.
     """
     if rows_per_partition <= 0:
         raise ValueError("rows_per_partition must be positive")
-    present = df.rdd.getNumPartitions()
-    wanted = wanted_partitions(df.count() if rows is None else rows, rows_per_partition)
-    if wanted > present:
-        df = df.repartition(wanted, *keys)
-    elif 2 * wanted < present:
-        df = df.coalesce(wanted)
+    if rows is None:
+        df = df.hint("rebalance")
     else:
-        return df
+        df = df.repartition(wanted_partitions(rows, rows_per_partition), *keys)
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,6 +11,7 @@ from textlens.functions import scores as S
 from textlens.functions.lexicon import MAX_INLINE_ENTRIES, Lexicon, PhraseLexicon, compound
 from textlens.functions.lexicon_rules import RuleLexicon, Rules
 from textlens.functions.text import SENTENCE_BOUNDARY, sentences, truncate_tokens
+from textlens.operators.abbreviations import Abbreviations
 from textlens.operators.lexicon_values import MAX_SENT, with_values
 from textlens.operators.scoring import batch_size, computed_once, model_logits
 from textlens.operators.sentences import (
@@ -22,7 +24,6 @@ from textlens.operators.sentences import (
 from textlens.scorers import Scorer
 from textlens.sources.sinks import RunLog, materialise
 
-TEXT_KEY = "_text_key"
 LEVELS = ("sentence", "document")
 SCORE_MODES = ("label_signed", "prob_diff")
 LEXICON_MODEL = "vader"
@@ -67,6 +68,8 @@ def score_sentiment(
     rules: Rules | None = None,
     phrases: bool = False,
     max_sent: int = MAX_SENT,
+    abbreviations: Abbreviations | None = None,
+    call_size: int | None = None,
 ) -> DataFrame:
     """Append sentiment to a table of texts; lazy, and every argument is checked first.
 
@@ -77,8 +80,10 @@ def score_sentiment(
     is joined, after a Bloom filter. ``rules`` (the published ones or others) or ``phrases`` (entries of several words,
     longest first) say how a table is scored, whatever its size. ``keys`` are not needed; null and repeated ones do no harm.
 
+    ``abbreviations`` keeps sentences whole after the words it lists. ``call_size`` is the largest number of texts of one model call.
+
     ``by_rows`` (sentence level, model scorer) spreads the sentences themselves over
-    the cluster. It pays a shuffle so that a costly model is not held up by the tasks that happen
+    the cluster. It stores the rows and pays a shuffle so that a costly model is not held up by the tasks that happen
     to hold the long documents. ``once`` keeps filters on the scores from computing them twice;
     without it they are plain columns, which Spark also drops when nothing reads them.
     """
@@ -87,6 +92,8 @@ def score_sentiment(
     if score_mode not in SCORE_MODES:
         raise ValueError(f"unknown score mode {score_mode!r}; known: {SCORE_MODES}")
     batch_size(batching, level)
+    if call_size is not None and call_size <= 0:
+        raise ValueError("call_size must be positive")
     if by_rows and (level != "sentence" or isinstance(scorer, (Lexicon, DataFrame))):
         raise ValueError("scoring by rows is for sentences and a model scorer")
     S.check_model_name(model)
@@ -110,7 +117,8 @@ def score_sentiment(
         return value if max_tokens is None else truncate_tokens(value, max_tokens)
 
     if level == "sentence":
-        df = df.withColumn(SENTENCES_COLUMN, sentences(text, boundary))
+        split = sentences(text, boundary) if abbreviations is None else abbreviations.sentences(text, boundary)
+        df = df.withColumn(SENTENCES_COLUMN, split)
     if isinstance(scorer, DataFrame):
         found = Lexicon.from_table(scorer, max_entries=max_inline)
         if found is None:
@@ -122,7 +130,7 @@ def score_sentiment(
         source = limited(F.col(text))
         if isinstance(scorer, Lexicon):
             return append(df, DOC_SCORE_COLUMN, sign(scorer.score(source)))
-        df = append(df, "_logits", model_logits(scorer, source, level, batching))
+        df = append(df, "_logits", model_logits(scorer, source, level, batching, call_size))
         df = df.withColumn("_probs", S.softmax(F.col("_logits"), len(scorer.labels)))
         return df.withColumn(DOC_SCORE_COLUMN, signed(F.col("_probs"))).drop("_logits", "_probs")
 
@@ -133,19 +141,12 @@ def score_sentiment(
         each = F.transform(source, lambda one: sign(scorer.score(one)))
         return append(df, SENTENCE_SCORES_COLUMN, each)
     if by_rows:
-        df = df.withColumn(TEXT_KEY, text_key(text))
-        pieces = df.select(TEXT_KEY, F.posexplode(source).alias("pos", "sentence")).dropDuplicates([TEXT_KEY, "pos"])
-        return _score_by_rows(df, pieces, scorer, batching, signed).drop(TEXT_KEY)
-    df = append(df, "_logits", model_logits(scorer, source, level, batching))
+        return _score_by_rows(df, source, scorer, batching, call_size, signed)
+    df = append(df, "_logits", model_logits(scorer, source, level, batching, call_size))
     each = F.transform("_logits", lambda one: S.let(S.softmax(one), signed))
     return df.withColumn(SENTENCE_SCORES_COLUMN, each).drop("_logits")
 
 
-def text_key(text: str) -> Column:
-    """Stands for a row wherever only its text matters; null for null, which no join meets."""
-    return F.md5(F.col(text).cast("binary"))
-
-
 def longest_entry(lexicon: DataFrame) -> int:
     """Words of the longest entry of a lexicon table."""
     words = F.size(F.split(F.trim("token"), r"\s+"))
@@ -159,23 +160,25 @@ def _scheme(entries: Mapping[str, float], rules: Rules | None, longest: int | No
     return Lexicon(entries) if longest is None else PhraseLexicon(entries, longest)
 
 
-def _keep_null_arrays(grouped: DataFrame) -> DataFrame:
-    kept = F.when(F.col(SENTENCES_COLUMN).isNotNull(), F.col(SENTENCE_SCORES_COLUMN))
-    return grouped.withColumn(SENTENCE_SCORES_COLUMN, kept)
-
-
 def _score_by_rows(
-    df: DataFrame, pieces: DataFrame, scorer: Scorer, batching: str,
+    df: DataFrame, source: Column, scorer: Scorer, batching: str, call_size: int | None,
     signed: Callable[[Column], Column],
 ) -> DataFrame:
-    keys = [TEXT_KEY]
+    """Sentences spread over the cluster and sorted by length within a task, so that model calls cost alike and pad little.
+
+    Rows are stored with a number first: null, repeated and equal rows each find their own sentences again.
+    """
     spark = df.sparkSession
+    rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()))
     wanted = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pieces = pieces.repartition(wanted, *keys, "pos")
-    scored = pieces.withColumn("_logits", model_logits(scorer, F.col("sentence"), "document", batching))
+    pieces = rows.select("_row", F.posexplode(source).alias("pos", "sentence")).repartition(wanted, "_row", "pos")
+    pieces = pieces.sortWithinPartitions(F.length("sentence"))
+    scored = computed_once(pieces, "_logits", model_logits(scorer, F.col("sentence"), "document", batching, call_size))
     scored = scored.withColumn("_probs", S.softmax(F.col("_logits"), len(scorer.labels)))
-    scored = scored.select(*keys, "pos", signed(F.col("_probs")).alias("_score"))
-    return _keep_null_arrays(regroup_sentences(df, scored, keys, "_score", SENTENCE_SCORES_COLUMN))
+    scored = scored.select("_row", "pos", signed(F.col("_probs")).alias("_score"))
+    grouped = regroup_sentences(rows, scored, ["_row"], "_score", SENTENCE_SCORES_COLUMN)
+    kept = F.when(F.col(SENTENCES_COLUMN).isNotNull(), F.col(SENTENCE_SCORES_COLUMN))
+    return grouped.withColumn(SENTENCE_SCORES_COLUMN, kept).drop("_row")
 
 
 def _score_with_table(
@@ -207,7 +210,8 @@ def sentiment_class(logits: Column, labels: Sequence[str], model: str) -> Column
 class SentimentAnalyzer:
     """Entry point with the call signature users know.
 
-    ``scorers`` maps model names to scorers; ``vader`` stands for the lexicon. With ``run_log_path``
+    ``scorers`` maps model names to scorers; ``vader`` stands for the lexicon. ``transformer_batch_size`` bounds the texts
+    of one model call. With ``run_log_path``
     each call appends one record (parameters, success, error); with ``materialise_result`` the
     scored table is written to the shared folder and read back, cutting the lineage. A lexicon table is scored with
     ``lexicon_rules``, the published ones unless others (or None, the plain sum) are given.
@@ -252,7 +256,15 @@ class SentimentAnalyzer:
         score_mode: str = "label_signed",
         key_columns: Sequence[str] = (),
         repartition: bool = False,
-    ) -> DataFrame:
+        max_tokens: int | None = None,
+        action: Callable[[DataFrame], Any] | None = None,
+    ):
+        """The scored table; with ``action``, what that makes of it.
+
+        ``action`` (a write, for instance) runs inside the run record, which then has its outcome and the rows it
+        went through, observed while it ran; it must read the table. So does ``materialise_result``. Otherwise nothing has
+        run when the record is written, and its ``success`` is null.
+        """
         parameters = {
             "model_name": model_name,
             "device": self.device,
@@ -275,8 +287,11 @@ class SentimentAnalyzer:
                 batching=enable_batching,
                 keys=key_columns,
                 rules=self.lexicon_rules if isinstance(scorer, DataFrame) else None,
+                max_tokens=max_tokens,
+                call_size=self.transformer_batch_size,
             )
             if self.materialise_result:
-                result = materialise(result)
-                run.metrics["rows"] = float(result.count())
+                result = run.observed(result, materialise)
+            if action is not None:
+                return action(result) if self.materialise_result else run.observed(result, action)
         return result

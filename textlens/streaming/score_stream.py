@@ -1,4 +1,4 @@
-"""Scoring a stream of files: the same in-place plan, no state, no watermark, no shuffle."""
+"""Scoring a stream of files: in place (no state, no watermark, no shuffle), or batch by batch with any plan."""
 
 from __future__ import annotations
 
@@ -38,3 +38,29 @@ def score_stream(
     writer = writer.option("path", sink).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()
+
+
+def score_stream_in_batches(
+    stream: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    sink: str,
+    checkpoint: str,
+    available_now: bool = True,
+    interval: str = "10 seconds",
+) -> StreamingQuery:
+    """Start scoring ``stream`` batch by batch, with plans that a stream itself can't hold: shuffles, stored rows, several passes.
+
+    A document arrives whole, so its sentences meet again within their batch and no state is kept. A batch writes its own
+    folder ``sink/batch=<number>`` and replaces it when it runs again after a restart, so nothing is there twice. Read with
+    ``read_batches``.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        score(batch).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def read_batches(spark: SparkSession, sink: str) -> DataFrame:
+    """All batches written so far, without their number."""
+    return spark.read.parquet(sink).drop("batch")

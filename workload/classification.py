@@ -56,6 +56,11 @@ def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return M.confusion_matrix(_cells(spark, sf), len(language_index(spark).labels))
 
 
+def confusion_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The matrix as it is kept: cells that occur."""
+    return _cells(spark, sf)
+
+
 def _counts(spark: SparkSession, sf: str) -> DataFrame:
     return M.class_counts(_cells(spark, sf), language_index(spark))
 
@@ -288,6 +293,7 @@ QUERIES = {
             (SELECT count(*) FROM pred WHERE y_true = a.class_id AND y_pred = b.class_id)::BIGINT AS n
             FROM dim a, dim b""",
     ),
+    "confusion_cells": (confusion_cells, f"WITH {SQL_PRED} SELECT y_true, y_pred, count(*)::BIGINT AS n FROM pred GROUP BY ALL"),
     "tp_fp_fn": (tp_fp_fn, f"WITH {_REPORT} SELECT class_id, tp, fp, fn FROM rep"),
     "class_report": (class_report, f"WITH {_REPORT} SELECT class_id, label_name, support, {_ROUND} FROM rep"),
     "accuracy": (

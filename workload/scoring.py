@@ -80,11 +80,14 @@ def prob_diff(spark: SparkSession, sf: str) -> DataFrame:
     return _probs(spark, sf).select("doc_id", rounded(S.polarity_difference(F.col("probs"))).alias("score"))
 
 
+# Scores that no lexicon gives, as rows of their own.
+EDGES = [(-1, None), (-2, float("nan")), (-3, 0.0), (-4, -0.0), (-5, float("inf")), (-6, -1e-300)]
+
+
 def binarize(spark: SparkSession, sf: str) -> DataFrame:
-    """Signs of lexicon scores, with the Spanish ones null and the French ones not a number."""
-    score = lexicon().score(F.col("text"))
-    holey = F.when(F.col("lang") == "fr", F.lit(float("nan"))).when(F.col("lang") != "es", score)
-    rows = documents(spark, sf, "lang").select("doc_id", holey.alias("score"))
+    """Signs of lexicon scores, and of scores at the edges."""
+    rows = documents(spark, sf).select("doc_id", lexicon().score(F.col("text")).alias("score"))
+    rows = rows.unionByName(spark.createDataFrame(EDGES, "doc_id bigint, score double"))
     return rows.select("doc_id", S.binarize(F.col("score")).alias("sign"))
 
 
@@ -103,8 +106,10 @@ def udf_scorer(spark: SparkSession, sf: str) -> DataFrame:
 
 def batch_invariance(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    for mode in ("dynamic", "sequential", "none"):
-        docs = score_sentiment(docs, "text", SENTIMENT, level="document", score_mode="prob_diff", batching=mode)
+    for mode, call_size in (("dynamic", 7), ("sequential", 100), ("none", None)):
+        docs = score_sentiment(
+            docs, "text", SENTIMENT, level="document", score_mode="prob_diff", batching=mode, call_size=call_size
+        )
         docs = docs.withColumnRenamed(DOC_SCORE_COLUMN, f"{mode}_score")
     return docs.select("doc_id", *[rounded(f"{m}_score").alias(f"{m}_score") for m in ("dynamic", "sequential", "none")])
 
@@ -173,8 +178,9 @@ QUERIES = {
     "prob_diff": (prob_diff, f"WITH {_DOCS} SELECT doc_id, round(p2 - p0, 6) AS score FROM sm"),
     "binarize": (
         binarize,
-        f"""WITH {_SCORED}, h AS (SELECT doc_id, CASE lang WHEN 'fr' THEN 'nan'::DOUBLE WHEN 'es' THEN NULL
-            ELSE s END AS score FROM lexed) SELECT doc_id, {sql_binarize('score')} AS sign FROM h""",
+        f"""WITH {_SCORED}, h AS (SELECT doc_id, s::DOUBLE AS score FROM lexed UNION ALL
+            VALUES (-1, NULL), (-2, 'nan'::DOUBLE), (-3, 0), (-4, 0), (-5, 1), (-6, -1))
+            SELECT doc_id::BIGINT AS doc_id, {sql_binarize('score')} AS sign FROM h""",
     ),
     "argmax_label": (
         argmax_label,

@@ -13,9 +13,11 @@ from textlens.operators.sentences import (
     regroup_sentences, sentence_rows,
 )
 from textlens.session import shared_path
-from textlens.streaming.score_stream import read_stream, score_stream
+from textlens.operators.abbreviations import THRESHOLD, WORD, fit_abbreviations
+from textlens.streaming.score_stream import read_batches, read_stream, score_stream, score_stream_in_batches
 from workload.common import (
-    LEXICON, SQL_LEXICON, SQL_WORD_EDGES, documents, lexicon, lexicon_table, sql_binarize, sql_sentences, sql_tokens, table,
+    LEXICON, SENTIMENT, SENTIMENT_MARKERS, SQL_LEXICON, SQL_WORD_EDGES, documents, lexicon, lexicon_table, rounded, sql_binarize,
+    sql_sentences, sql_softmax, sql_tokens, table,
 )
 
 TOKEN_LIMIT = 16
@@ -150,6 +152,28 @@ def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     return exploded_scores(spark.read.parquet(sink), ["doc_id"])
 
 
+def stream_by_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same stream, its sentences spread over the cluster in every batch and brought together again."""
+    documents_ = table(spark, sf, "documents")
+    folder = documents_.inputFiles()[0].rsplit("/", 1)[0]
+    glob = "*.parquet" if folder.endswith("documents.parquet") else "documents.parquet"
+    stream = read_stream(spark, folder, documents_.schema, glob=glob).select("doc_id", "text")
+    sink, log = shared_path(spark, "batch-sink"), shared_path(spark, "batch-log")
+
+    def score(df: DataFrame) -> DataFrame:
+        return score_sentiment(df, "text", SENTIMENT, score_mode="prob_diff", by_rows=True).drop("text")
+
+    score_stream_in_batches(stream, score, sink, log).awaitTermination()
+    return exploded_scores(read_batches(spark, sink), ["doc_id"]).withColumn("score", rounded("score"))
+
+
+def sentence_split_learned(spark: SparkSession, sf: str) -> DataFrame:
+    """Sentences with the abbreviations that the documents themselves show."""
+    docs = documents(spark, sf)
+    learned = fit_abbreviations(docs, "text")
+    return docs.select("doc_id", F.explode(learned.sentences("text")).alias("sentence"))
+
+
 def sql_sentence_scores(source: str, keys: str) -> str:
     """CTEs ending in ``scored``(keys, pos, sentence, score)."""
     return f"""{SQL_LEXICON},
@@ -244,7 +268,40 @@ _RULES_BY_SENTENCE = f"""WITH st AS (SELECT doc_id, unnest({sql_sentences()}) AS
     {_sql_rules('st', 'doc_id, pos', 'score')}"""
 
 
+def _sql_learned() -> str:
+    """The same measure from counts of words, then boundaries kept or not, piece by piece."""
+    word = WORD.replace("'", "''").replace(chr(92) + "p{L}", "\\pL").replace("[\\pL.]", "[\\pL.]")
+    ws = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    words = rf"string_split_regex(trim(text, {ws}), '\s+')"
+    capital = "'^[(\\[\"'']*\\p{Lu}'"
+    pieces = rf"string_split(regexp_replace(trim(text, {ws}), '([.!?])(\s+)', '\1\2' || chr(1), 'g'), chr(1))"
+    return rf"""WITH o AS (SELECT w, lead(w) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM (
+            SELECT doc_id, unnest({words}) AS w, generate_subscripts({words}, 1) AS i FROM documents)),
+        k AS (SELECT lower(regexp_extract(w, '{word}', 1)) AS word, regexp_extract(w, '{word}', 2) = '.' AS period, nxt FROM o),
+        c AS (SELECT word, count(*) FILTER (period) AS p, count(*) FILTER (NOT period) AS r,
+            count(*) FILTER (period AND regexp_matches(nxt, {capital})) AS ca, count(*) FILTER (period AND nxt IS NOT NULL) AS af
+            FROM k WHERE word <> '' GROUP BY word),
+        s AS (SELECT sum(p) / sum(p + r) AS q FROM c),
+        a AS (SELECT word, ca > af * 0.5 AS names, length(replace(word, '.', '')) AS n FROM c, s WHERE p > 0 AND
+            2 * (p * ln(0.99::DOUBLE) + r * ln(1 - 0.99::DOUBLE) - p * ln(q) - r * ln(1 - q)) * exp(-length(replace(word, '.', '')))
+            * (length(word) - length(replace(word, '.', '')) + 1) * pow(length(replace(word, '.', ''))::DOUBLE, -r) >= {THRESHOLD}),
+        x AS (SELECT doc_id, unnest({pieces}) AS piece, generate_subscripts({pieces}, 1) AS i FROM documents),
+        y AS (SELECT *, lead(piece) OVER (PARTITION BY doc_id ORDER BY i) AS nxt,
+            lower(regexp_extract(regexp_extract(piece, '(\S+)\s*$', 1), '{word}', 1)) AS final FROM x),
+        j AS (SELECT doc_id, i, piece, nxt IS NULL OR NOT (regexp_matches(piece, '\.\s*$') AND word IS NOT NULL
+            AND (names OR NOT regexp_matches(nxt, {capital}))) AS ends FROM y LEFT JOIN a ON final = word),
+        g AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n FROM j),
+        t AS (SELECT doc_id, n, trim(string_agg(piece, '' ORDER BY i), {ws}) AS sentence FROM g GROUP BY ALL)
+        SELECT doc_id, sentence FROM t WHERE sentence <> ''"""
+
+
+_BY_ROWS = f"""WITH st AS (SELECT doc_id, unnest({sql_sentences()}) AS sentence,
+    generate_subscripts({sql_sentences()}, 1)::BIGINT - 1 AS pos FROM documents),
+    {sql_softmax('st', 'doc_id, pos', SENTIMENT_MARKERS, text='sentence')} SELECT doc_id, pos, round(p2 - p0, 6) AS score FROM sm"""
+
 QUERIES = {
+    "sentence_split_learned": (sentence_split_learned, _sql_learned()),
+    "stream_by_rows": (stream_by_rows, _BY_ROWS),
     "lexicon_rules_doc": (lexicon_rules_doc, "WITH " + _sql_rules()),
     "lexicon_rules_table_doc": (lexicon_rules_table_doc, "WITH " + _sql_rules()),
     "lexicon_rules_sentence": (lexicon_rules_sentence, _RULES_BY_SENTENCE),
