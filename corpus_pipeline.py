@@ -4,6 +4,12 @@ Filtering stages return documents with the columns they came with; the last one
 applies the stages to ``documents``. A stage is one operator of ``textlens.llm`` and its decision:
 rejected documents go, one document of each near-duplicate group stays, documents that hold a benchmark
 passage go, secrets are cut out of the text (and ``n_chars`` counted again), texts become ids.
+
+Defined results: a null or empty text has too few words, so the first stage drops it; a later stage that is given one
+keeps it (all texts without words are one near-duplicate group, hold no passage and no secret, and have no ids). Very long texts are
+read whole. Of rows equal in id and text one stays, of a group the one with the smallest id (null ids last, ties by
+content). Rows with equal ids and different texts are different documents. Empty tables give empty tables. Further columns are
+carried along by all stages but the last and are never read; ``n_chars`` is renewed only if there is one.
 """
 
 from __future__ import annotations
@@ -32,6 +38,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced."""
     cleaned = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return cleaned
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

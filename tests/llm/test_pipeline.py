@@ -1,5 +1,7 @@
 """Each stage against a direct computation on its own input."""
 
+import random
+
 import public_tokenizers
 import pytest
 import tiktoken
@@ -66,3 +68,46 @@ def test_encoding_stage(stages):
     assert rows.keys() == texts.keys()
     for key, row in rows.items():
         assert row["round_trip"] and row["ids"] == reference.encode_ordinary(texts[key]["text"])
+
+
+ODD = "doc_id long, text string, node string, spans int, kept string, ids int, label string"
+
+
+def prose(seed, n):
+    rng = random.Random(seed)
+    words = ["the", "of", "and", "to", "is", "with", "that", "be", "have"]
+    letters = "abcdefghijklmnop"
+    made = [rng.choice(words) if rng.random() < 0.3 else "".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(n)]
+    return " ".join(made) + "."
+
+
+def odd_rows():
+    fine, other = prose(1, 150), prose(2, 150)
+    texts = [(1, None), (2, ""), (3, " \n "), (4, fine), (4, fine), (5, fine), (None, other), (6, other + " password=hunter2secret the end."), (7, "short")]
+    texts.append((8, prose(3, 100_000)))
+    return [(i, t, "n", 1, "k", 2, "l") for i, t in texts]
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stage_on_odd_rows(spark, number):
+    """Nulls, empty and very long texts, ties, repeated rows, an empty table, columns with the operators' own names."""
+    docs = spark.createDataFrame(odd_rows(), ODD)
+    name, stage = corpus_pipeline.STAGES[number]
+    got = stage(spark, docs, SF).collect()
+    assert stage(spark, docs.limit(0), SF).count() == 0
+    ids = sorted(str(r["doc_id"]) for r in got)
+    if name == "quality_rules":
+        assert {"1", "2", "3", "7"}.isdisjoint(ids) and ids.count("4") == 2
+    elif name == "near_dedup":
+        assert ids == ["1", "4", "6", "7", "8"]
+    elif name in ("benchmark_decontamination", "secret_scans"):
+        assert len(got) == len(odd_rows())
+    else:
+        assert len(got) == len(odd_rows()) and all(r["round_trip"] for r in got)
+        assert {r["doc_id"]: r["ids"] for r in got}[2] == []
+    if name != "byte_bpe":
+        assert got[0].__fields__ == docs.columns
+        assert all((r["node"], r["spans"], r["kept"], r["ids"], r["label"]) == ("n", 1, "k", 2, "l") for r in got)
+    if name == "secret_scans":
+        texts = {r["doc_id"]: r["text"] for r in got}
+        assert "[SECRET]" in texts[6] and texts[1] is None and texts[2] == ""

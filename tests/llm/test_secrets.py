@@ -31,15 +31,31 @@ def entropy_span(candidate, bits):
 def extra(text):
     known, out = base(text), []
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
-        c = m[0]
-        kind = next((k for k in S.CLASSES if re.match(k[1], c)), None)
-        if not re.search("[0-9]", c) or kind is None or any(re.search(p, c) for p in S.ALLOWED):
+        if not re.search("[0-9]|[a-z][A-Z]", m[0]):
             continue
-        if any(a < m.end() and m.start() < b for a, _, b in known):
-            continue
-        span = entropy_span(c, kind[2])
-        if span:
-            out.append((m.start() + span[0], 3, m.start() + span[1]))
+        # What the pattern spans leave of the candidate, piece by piece.
+        taken = [False] * len(m[0])
+        for a, _, b in known:
+            for k in range(max(a, m.start()), min(b, m.end())):
+                taken[k - m.start()] = True
+        k = 0
+        while k < len(taken):
+            end = k
+            while end < len(taken) and not taken[end]:
+                end += 1
+            piece, start = m[0][k:end], m.start() + k
+            if end - k >= S.WINDOW:
+                if end < len(taken):
+                    piece = piece.rstrip(S.JOINS)
+                if k > 0:
+                    start += len(piece) - len(piece.lstrip(S.JOINS))
+                    piece = piece.lstrip(S.JOINS)
+                kind = next((c for c in S.CLASSES if re.match(c[1], piece)), None)
+                if kind and len(piece) >= S.WINDOW and not any(re.search(p, piece) for p in S.ALLOWED):
+                    span = entropy_span(piece, kind[2])
+                    if span:
+                        out.append((start + span[0], 3, start + span[1]))
+            k = end + 1
     return sorted(known + out)
 
 
@@ -93,19 +109,23 @@ def test_keys_of_every_alphabet_are_found(spark):
     for kind, (alphabet, _) in kinds.items():
         rows += [(f"{kind}/{size}", "key " + "".join(rng.choice(alphabet) for _ in range(size)) + " end") for size in (20, 32, 40, 64) for _ in range(n)]
     df = spark.createDataFrame(rows, "doc_id string, text string")
-    found = Counter(r["doc_id"] for r in S.scan(df, thorough=True).where("size(spans) > size(base_spans)").collect())
+    found = Counter(r["doc_id"] for r in S.scan(df).where("size(spans) > size(base_spans)").collect())
     for kind, (_, share) in kinds.items():
         assert all(found[f"{kind}/{size}"] >= share * n for size in (20, 32, 40, 64)), found
     names = ["getElementsByClassNameAndTag", "org/apache/spark/SparkContext", "parseHtmlDocumentFragment", "AVERYLONGCONSTANTNAME", "internationalisation"]
     plain = spark.createDataFrame([(k, t) for k, t in enumerate(names)], "doc_id long, text string")
-    assert all(r["spans"] == [] for r in S.scan(plain, thorough=True).collect())
+    assert all(r["spans"] == [] for r in S.scan(plain).collect())
 
 
 def test_what_a_pattern_leaves_of_a_candidate_is_scanned(spark):
     access, secret = "AKIA" + "Q7XW" * 4, "zQ8xV2mK9pL4nR7tW3yB6cD1zQ8xV2mK9pL4nR7t"
     rows = [(1, f"a {access}/{secret} b"), (2, f"a {secret}/{access} b"), (3, f"a {access}/short1 b")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    spans = {r["doc_id"]: [(s["start"], s["rank"], s["end"]) for s in r["spans"]] for r in S.scan(df, thorough=True).collect()}
+    spans = {r["doc_id"]: [(s["start"], s["rank"], s["end"]) for s in r["spans"]] for r in S.scan(df).collect()}
     assert spans == {1: [(2, 1, 22), (23, 3, 63)], 2: [(2, 3, 42), (43, 1, 63)], 3: [(2, 1, 22)]}
     cleaned = {r["doc_id"]: r["text"] for r in S.redact(df).collect()}
     assert cleaned == {1: "a [SECRET]/[SECRET] b", 2: "a [SECRET]/[SECRET] b", 3: "a [SECRET]/short1 b"}
+
+
+def test_empty_table(spark):
+    assert S.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -68,3 +68,22 @@ def test_identical_rows_are_one_document(spark):
 
 def test_empty_table(spark):
     assert substring.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_ids_of_other_types(spark):
+    rows = [("b", "x a b c d e f y"), ("a", "a b c d e f g h"), (None, "c d e f"), ("a", "a b c d e f g h"), ("a", "q c d e f")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {(r["doc_id"], r["text"]): r["kept_text"] for r in substring.remove_repeats(df, window=4).collect()}
+    assert got[None, "c d e f"] == "c d e f" and got["b", "x a b c d e f y"] == "x y"
+    assert got["a", "a b c d e f g h"] == "a b g h" or got["a", "q c d e f"] == "q"
+    numbers = df.selectExpr("CASE doc_id WHEN 'a' THEN 1 WHEN 'b' THEN 2 END AS doc_id", "text")
+    same = sorted(map(str, substring.remove_repeats(numbers, window=4).select("text", "kept_text").collect()))
+    assert sorted(map(str, substring.remove_repeats(df, window=4).select("text", "kept_text").collect())) == same
+    assert substring.remove_repeats(df, window=4).columns == ["doc_id", "text", *substring.ADDED.fieldNames()]
+
+
+def test_a_very_long_text(spark):
+    text = " ".join(f"w{k}" for k in range(120_000))
+    df = spark.createDataFrame([(1, text), (2, "start " + text + " end")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in substring.remove_repeats(df).collect()}
+    assert rows[1]["n_removed"] == 0 and rows[2]["kept_text"] == "start end"

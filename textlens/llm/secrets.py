@@ -7,14 +7,15 @@ Kinds, in the order in which spans that start together are listed: ``assign`` (a
 password-like name), ``access`` (access key ids), ``hex`` (long hex runs), ``entropy`` (the method).
 
 Entropy: a candidate is a whole run of key characters of at least ``WINDOW`` with a digit or mixed case in it, less the
-pattern spans (``thorough``, as the query and ``redact`` do; see ``scan``). The character class of each piece (hex of
+pattern spans. The character class of each piece (hex of
 one or both cases, capitals, mixed letters and digits, letters that change their case often) sets the threshold. A window of ``WINDOW`` characters slides over it; of
 the sum of c * log2(c) over the window's character counts only the terms of the character that leaves
 and the one that enters change. The span reaches from the first to the last window above the threshold.
 Pieces on the allow list (placeholders, identifiers that are no secrets) are left out; the pattern spans always stay.
 
-Defined results: null text counts as empty and has no spans. Rows are scanned one by one, other columns
-are kept, added ones replace columns of the same name.
+Defined results: null text counts as empty and has no spans. Spans that start together are listed by kind; equal spans of
+different kinds are both there. Texts of any length are scanned whole. Rows are scanned one by one, so repeated rows need no rule and
+an empty table gives an empty result; other columns are kept, added ones replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -147,8 +148,8 @@ def _pieces(m: Column, known: Column) -> Column:
     )
 
 
-def _entropy(text: Column, known: Column, thorough: bool) -> Column:
-    """Spans of high entropy outside the ``known`` ones; not ``thorough``: in candidates with a digit that overlap none."""
+def _entropy(text: Column, known: Column) -> Column:
+    """Spans of high entropy outside the ``known`` ones."""
     def judged(start: Column, piece: Column) -> Column:
         most = F.lit(None).cast("double")
         for _, pattern, bits in reversed(CLASSES):
@@ -171,8 +172,6 @@ def _entropy(text: Column, known: Column, thorough: bool) -> Column:
         )
 
     found = _matches(text, CANDIDATE)
-    if not thorough:
-        found = F.filter(found, lambda m: m["hit"].rlike("[0-9]") & ~F.exists(known, lambda k: (k["start"] < m["end"]) & (m["start"] < k["end"])))
     spans = F.flatten(F.transform(found, lambda m: F.transform(_pieces(m, known), lambda p: span(m, p))))
     return F.when(text.rlike(CANDIDATE), F.filter(spans, lambda s: s.isNotNull())).otherwise(F.array().cast(_NONE))
 
@@ -185,12 +184,8 @@ def listed(spans: Column) -> Column:
     )
 
 
-def scan(df: DataFrame, text: str = "text", thorough: bool = False) -> DataFrame:
-    """Add ``base_spans`` and ``spans``: arrays of (start, rank of the kind, end), sorted.
-
-    ``thorough`` also finds keys of letters only and scans what pattern spans leave of a candidate; otherwise candidates
-    without a digit and those that overlap a pattern span are left out.
-    """
+def scan(df: DataFrame, text: str = "text") -> DataFrame:
+    """Add ``base_spans`` and ``spans``: arrays of (start, rank of the kind, end), sorted."""
     body = F.col("__body")
     values = F.transform(F.regexp_extract_all(body, F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= ASSIGN_VALUE)
     base = F.concat(
@@ -198,13 +193,13 @@ def scan(df: DataFrame, text: str = "text", thorough: bool = False) -> DataFrame
     )
     scanned = df.withColumn("__body", F.coalesce(F.col(text), F.lit("")))
     scanned = scanned.withColumn("base_spans", F.sort_array(base))
-    scanned = scanned.withColumn("spans", F.sort_array(F.concat("base_spans", _entropy(body, F.col("base_spans"), thorough))))
+    scanned = scanned.withColumn("spans", F.sort_array(F.concat("base_spans", _entropy(body, F.col("base_spans")))))
     return scanned.drop("__body")
 
 
 def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """Replace every found span by ``mark``; texts without one, null included, stay as they are."""
-    scanned = scan(df.select(F.struct(*df.columns).alias("__row"), F.col(text).alias("__text")), "__text", thorough=True)
+    scanned = scan(df.select(F.struct(*df.columns).alias("__row"), F.col(text).alias("__text")), "__text")
     body = F.col("__text")
     cleaned = F.aggregate(
         "spans",

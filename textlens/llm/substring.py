@@ -9,7 +9,8 @@ that start earlier somewhere else are the maximal exact repeats, which are cut o
 No pair of places is ever formed: a key meets each batch of documents once (``batches``), and what
 a bucket answers is whether an earlier batch of documents has it. Documents move once.
 
-Defined results: order is (id, start), nulls before all ids; rows with a null or repeated id and
+Defined results: order is (id, start), nulls before all ids (ids that are no whole numbers are numbered in the order of their text
+first); rows with a null or repeated id and
 different texts are ordered by batch and text; identical rows are the same document and get the same result.
 Null or empty text has no words and keeps the empty text. Texts shorter than a window are kept (with
 words joined by one space). All other columns are kept; the added ones replace columns of the same name.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from textlens.llm import batches as B
 from textlens.llm.words import flat_words, rolling, steps, _BASES
+from textlens.operators.labels import distinct_labels, number_sorted
 
 WINDOW = 20
 ADDED = T.StructType([
@@ -251,6 +253,8 @@ def remove_repeats(
 
     block = (window + 1) // 2
     docs = docs.drop(*[c for c in ADDED.fieldNames() if c in docs.columns])
+    if not isinstance(docs.schema[id_column].dataType, T.IntegralType):
+        return _numbered(docs, id_column, text, window, batch_bytes)
     count = B.batch_count(docs, text, batch_bytes)
     dealt = B.in_batches(docs, [id_column, text], count)
     schema = T.StructType(docs.schema.fields + ADDED.fields)
@@ -265,6 +269,14 @@ def remove_repeats(
     )
 
 
+def _numbered(docs: DataFrame, id_column: str, text: str, window: int, batch_bytes: int) -> DataFrame:
+    """The same for ids of any type: they are sorted and numbered on the cluster."""
+    order = "__order"
+    numbers = number_sorted(distinct_labels(docs, id_column)).select(F.col("class_id").alias(order), F.col("label").alias("__label"))
+    joined = docs.join(numbers, F.col(id_column).cast("string") == F.col("__label"), "left").drop("__label")
+    return remove_repeats(joined, order, text, window, batch_bytes).drop(order)
+
+
 def oracle_sql(documents: str = "documents", window: int = WINDOW) -> str:
     """DuckDB SQL of the digest query, from whole windows as strings."""
     return rf"""

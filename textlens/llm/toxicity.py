@@ -334,12 +334,15 @@ def fit(
     model = CharacterModel.of(slim, text)
     chosen = labels.where(train & F.col(label).isNotNull()).groupBy(id_column).agg(F.max(label).cast("int").alias("__label"))
     chosen = chosen.orderBy(F.xxhash64(id_column), id_column).limit(sample)
-    rows = saved(slim.join(F.broadcast(chosen), id_column).select(F.col(text).alias("text"), "__label"))  # at most ``sample`` ids
+    held = slim.join(F.broadcast(chosen), id_column)  # at most ``sample`` ids
+    rows = saved(held.select(F.col(text).alias("text"), "__label", F.xxhash64(id_column).alias("__id")))
     toxic_rows, clean_rows = rows.where("__label = 1"), rows.where("__label = 0")
     toxic = _counted(toxic_rows, model, "text", None, LEAST_TEXTS)
     clean = _counted(clean_rows, model, "text", frozenset(toxic), 1)
     judge = Judge(model, evidence(toxic, clean, toxic_rows.count(), clean_rows.count()), 0.0, -40.0)
-    seen = rows.mapInArrow(judge.column("text", "x", False), "text string, __label int, x double").select("x", "__label").collect()
+    seen = rows.mapInArrow(judge.column("text", "x", False), "text string, __label int, __id long, x double").select("__id", "x", "__label")
+    # One row for each id, so that at most ``sample`` rows are collected however often an id occurs.
+    seen = seen.groupBy("__id", "__label").agg(F.max("x").alias("x")).select("x", "__label").collect()
     if seen:
         judge.slope, judge.base = _curve(np.array([r[0] for r in seen]), np.array([float(r[1]) for r in seen]))
     return judge
