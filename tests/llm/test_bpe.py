@@ -58,3 +58,45 @@ def test_whole_table(spark):
 def test_empty_table(spark, ranks):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert add_ids(empty, ByteBPE(ranks, public_tokenizers.PATTERN).with_frequent(empty)).count() == 0
+
+
+def test_long_words_by_heap(ranks):
+    from textlens.llm import bpe
+
+    rng = random.Random(3)
+    for letters, n in (("ab", 300), ("abcdefgh", 500), ("theran", 400), ("é1 ", 300), ("a", 1000)):
+        word = "".join(rng.choice(letters) for _ in range(n)).encode()
+        assert bpe.merge_long(word, ranks) == slow_merge(word, ranks)
+    assert [bpe.merge_long(w, ranks) for w in (b"a", b"ab", b"qz")] == [slow_merge(w, ranks) for w in (b"a", b"ab", b"qz")]
+
+
+def slow_merge(word, ranks):
+    parts = [word[k : k + 1] for k in range(len(word))]
+    while True:
+        pairs = [(ranks[x + y], k) for k, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in ranks]
+        if not pairs:
+            return [ranks[p] for p in parts]
+        k = min(pairs)[1]
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+
+def test_a_million_letters(spark, ranks):
+    import time
+
+    rng = random.Random(5)
+    text = "".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    start = time.time()
+    rows = add_ids(df, ByteBPE(ranks, public_tokenizers.PATTERN).with_frequent(df)).collect()
+    assert time.time() - start < 60
+    assert rows[0]["ids"] == rows[1]["ids"] == reference.encode_ordinary(text)
+
+
+def test_threshold_of_counts(spark, ranks):
+    """Words as frequent as the smallest count that keeps them within the bound; ties stay together."""
+    from textlens.llm.bpe import _unpack_words
+
+    df = spark.createDataFrame([(1, "a" + " b" * 9 + " c" * 5 + " d" * 5 + " e" * 2)], "doc_id long, text string")
+    words = lambda most: set(_unpack_words(ByteBPE(ranks, public_tokenizers.PATTERN).with_frequent(df, most=most).frequent))
+    assert [words(n) for n in (0, 1, 2, 3, 4, 9)] == [set(), {" b"}, {" b"}, {" b", " c", " d"}, {" b", " c", " d", " e"}, {"a", " b", " c", " d", " e"}]
