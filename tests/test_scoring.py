@@ -297,6 +297,17 @@ def test_materialise_cuts_lineage(spark, reviews):
     assert stored.count() == 3 and stored.inputFiles()
 
 
+def test_written_tables_can_be_removed(spark, reviews, monkeypatch):
+    from textlens import session
+
+    monkeypatch.setattr(session, "_WRITTEN", {})
+    stored = materialise(reviews)
+    folder = stored.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder) and shared_path(spark, "unused")
+    assert session.remove_written(spark) == 1 and not os.path.exists(folder)
+    assert session.remove_written(spark) == 0
+
+
 def test_stream_equals_batch(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     folder = shared_path(spark, "stream-in")

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Paths given out, by application.
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
@@ -51,8 +53,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/textlens/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder. ``remove_written`` knows it."""
+    path = f"{shared_dir(spark)}/textlens/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Remove what this application has written to paths of its own below the shared folder; the number of folders removed.
+
+    Tables that are still to be read, models and run logs without a path of their own among them, are gone afterwards.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(p) for p in _WRITTEN.pop(spark.sparkContext.applicationId, [])]
+    return sum(bool(path.getFileSystem(conf).delete(path, True)) for path in paths)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
