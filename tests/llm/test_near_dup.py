@@ -105,7 +105,9 @@ def test_signature_is_unbiased():
         assert np.mean(s[i] == s[i + 1]) == pytest.approx(wanted, abs=0.06)
 
 
-def test_components_of_a_long_path(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components_of_a_long_path(spark, monkeypatch, few):
+    monkeypatch.setattr(N, "FEW_LINKS", few)
     path = spark.range(60).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(100, 101)], "a long, b long"))
     labels = {r["node"]: r["label"] for r in N.components(path).collect()}
     assert {labels[k] for k in range(61)} == {0} and labels[101] == labels[100] == 100

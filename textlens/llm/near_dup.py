@@ -38,6 +38,8 @@ SIMILAR = 0.8
 BANDS, ROWS = 42, 6
 # Members of one band that are still apart: up to LARGE they are paired, beyond that compared block by block.
 LARGE, BLOCK = 64, 256
+# Links of this number at most are joined by one task.
+FEW_LINKS = 200_000
 # The blocks of small components.
 SHARED = ""
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
@@ -286,8 +288,10 @@ def forest(stars: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of all nodes of the links (a, b), the label being the smallest node of the component."""
     edges = saved(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    state = None
+    state, few = None, edges.count() <= FEW_LINKS
     while True:
+        if few:  # a round of them is less work than dealing them out: one task, no shuffle
+            edges = edges.coalesce(1)
         # Large star: every larger neighbour is tied to the smallest one (or the node itself).
         both = _either(edges, ("u", "v"), ("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -300,6 +304,7 @@ def components(links: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
+    edges = edges.coalesce(1) if few else edges
     ends = _either(edges, ("u", "v"), ("v", "v")).distinct()
     return ends.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
