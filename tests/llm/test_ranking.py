@@ -95,3 +95,31 @@ def test_one_label_no_label_no_rows(spark):
 def test_sample_bound(spark):
     labels = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
     assert 1500 < R._sampled(labels, "doc_id", "quality", 2000).count() < 2500
+
+
+def test_fit_takes_every_labelled_row(spark):
+    """More rows than any sample: positions, pairs and the quantile are of all of them."""
+    ids = spark.range(0, 30_000, 1, 8)
+    labels = ids.select(F.col("id").alias("doc_id"), (F.col("id") % 3 != 0).cast("int").alias("quality"))
+    clean = F.concat(F.lit("Some words of text "), F.col("id"), F.lit(", and more of them."))
+    docs = ids.select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 != 0, clean).otherwise(F.concat(F.lit("$$ ## "), F.col("id"))).alias("text"))
+    ranker = R.fit(docs, labels, F.lit(True))
+    mean = docs.agg(F.avg(F.log1p(F.octet_length("text")))).first()[0]
+    assert ranker.middle[R.NAMES.index("log_bytes")] == pytest.approx(mean, rel=1e-12)
+    assert ranker.score(docs).where(F.col("score") < R.THRESHOLD).count() == 10_000
+
+
+def test_places_are_gapless(spark):
+    rows = spark.range(0, 1000, 1, 7).select((F.col("id") * 37 % 1000).alias("v"))
+    found = R.placed(rows, "v").collect()
+    assert len(found) == 1000 and all(r["at"] == r["v"] for r in found)
+    assert R.placed(rows.limit(0), "v").count() == 0
+
+
+def test_many_documents_of_the_rarer_label(spark, monkeypatch):
+    """Pairs are the same, whether the rarer label is sent or dealt out."""
+    rows = spark.createDataFrame([(i, int(i % 4 != 0), [float(i)]) for i in range(40)], "id long, label int, x array<double>")
+    key = lambda pairs: sorted((p["good"][0], p["bad"][0]) for p in pairs.collect())
+    sent = key(R.preference_pairs(rows, 3))
+    monkeypatch.setattr(R, "SENT_ROWS", 0)
+    assert key(R.preference_pairs(rows, 3)) == sent

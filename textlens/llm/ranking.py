@@ -12,11 +12,11 @@ is the odds of being preferred to a document at that quantile, moved so that it
 
 Features are shares, rates and logarithms of counts over the whole text (letters by case, digits, symbols, punctuation, words by
 length and shape, repeated words, repeated three-word windows), each with its square. They are computed in flat arrays for
-many texts at once. Texts are not shuffled.
+many texts at once. Texts are not shuffled: features are computed where a text lies, and only they meet the labels.
 
-The fit takes labelled rows with a hash below a cut that leaves ``SAMPLE`` of them on average, the documented bound; the
-table sent to tasks has no more. One document counts for each id (equal ids: the one smallest in feature order), the
-highest label for each id with several. Features, scores and the scan of all documents have no bound.
+The fit takes every labelled row: counts, pairs, moments and the quantile are of all of them. Positions for the pairs and the
+quantile come from a distributed sort, so no label is ever in one task. One document counts for each id (equal ids: the
+one smallest in feature order), the highest label for each id with several.
 
 Defined results: null and empty texts have features 0 and get the score these have. Null ids and null labels don't train. Rows are
 scored one by one, so repeated rows, ties and empty tables need no rule; other columns are kept, one named like the score is
@@ -29,13 +29,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from textlens.llm.near_dup import saved
 from textlens.llm.words import flat_words, rolling, steps
 
-SAMPLE = 20_000
 PAIRS = 4
+# Up to this many documents of the rarer label are sent to the tasks that form pairs.
+SENT_ROWS = 20_000
 THRESHOLD = 0.3
 PRIOR = 1e-3
 NEWTON_STEPS = 12
@@ -144,7 +145,7 @@ def _describer(text: str):
         for batch in batches:
             x = np.concatenate([np.zeros((0, len(NAMES))), *_rows(batch, text)])
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(NAMES)), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), lists], ["id", "label", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "x"])
 
     return run
 
@@ -182,16 +183,34 @@ class Ranker:
         return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
-def _sampled(labels: DataFrame, id_column: str, label: str, sample: int) -> DataFrame:
-    """(id, label): labelled ids with a hash below a cut, ``sample`` of them on average at most."""
+def _sampled(labels: DataFrame, id_column: str, label: str, sample: int | None) -> DataFrame:
+    """(id, label): every labelled id once; with a ``sample``, those with a hash below a cut, so many on average at most."""
     slim = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     one = slim.groupBy("id").agg(F.max("label").alias("label"))
-    n = one.count()
-    if n <= sample:
+    n = one.count() if sample is not None else 0
+    if sample is None or n <= sample:
         return one
     return one.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
 
 
+def placed(rows: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows with ``at``, their place from 0 in a total order, sorted across the cluster.
+
+    The sorted rows are stored, which fixes their partitions; only one number a partition reaches the driver.
+    """
+    stored = saved(rows.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", 33)
+    sizes = sorted(stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, total = {}, 0
+    for number, n in sizes:
+        before[number], total = total, total + n
+    if not before:
+        return stored.withColumn("at", F.col("_place")).drop("_place")
+    offsets = stored.sparkSession.createDataFrame(list(before.items()), "_part long, _before long")
+    joined = stored.join(F.broadcast(offsets), part == F.col("_part"))  # a row a partition
+    return joined.withColumn("at", F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))).drop("_place", "_part", "_before")
+
+
 def _stepper(ranker: Ranker):
     """Gradient and curvature of the loss over a task's pairs; cell -1 counts them, -2 sums the loss."""
     w = ranker.weights
@@ -217,30 +236,32 @@ def preference_pairs(rows: DataFrame, pairs: int = PAIRS) -> DataFrame:
     """(good, bad): features of documents of label 1 and 0; each document of either label in ``pairs`` pairs at least.
 
     Opponents are dealt by position: the next ones in turn for each document, so all are used alike and no two labels
-    are crossed. ``rows`` is the bounded sample.
+    are crossed. ``id`` is unique in ``rows``.
     """
-    numbered = rows.withColumn("at", F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")) - 1)
-    sizes = {r["label"]: r["n"] for r in numbered.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    numbered = placed(rows, "label", F.xxhash64("id"), "id")
+    numbered = numbered.withColumn("at", F.col("at") - F.when(F.col("label") == 1, sizes[0]).otherwise(0))
     many, few = (1, 0) if sizes[1] >= sizes[0] else (0, 1)
     turns = F.explode(F.sequence(F.lit(0), F.lit(pairs - 1))).alias("turn")
     left = numbered.where(F.col("label") == many).select("at", F.col("x").alias("many"), turns)
     left = left.withColumn("facing", (F.col("at") * pairs + F.col("turn")) % sizes[few])
     right = numbered.where(F.col("label") == few).select(F.col("at").alias("facing"), F.col("x").alias("few"))
+    # Few opponents, each facing many, are sent; more of them are dealt out by their position.
+    right = F.broadcast(right) if sizes[few] <= SENT_ROWS else right
     names = ("good", "bad") if many == 1 else ("bad", "good")
     return left.join(right, "facing").select(F.col("many").alias(names[0]), F.col("few").alias(names[1]))
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, train: Column, id_column: str = "doc_id", text: str = "text",
-    label: str = "quality", sample: int = SAMPLE, pairs: int = PAIRS,
+    label: str = "quality", sample: int | None = None, pairs: int = PAIRS,
 ) -> Ranker:
-    """Fit on labelled rows for which ``train`` (a condition on the id) holds."""
-    chosen = _sampled(labels.where(train), id_column, label, sample)
-    slim = docs.where(train).select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    held = slim.join(F.broadcast(chosen), "id")  # ``sample`` ids on average, at most
+    """Fit on all labelled rows for which ``train`` (a condition on the id) holds, or on a ``sample`` of them if a caller asks."""
+    slim = docs.where(train).select(F.col(id_column).alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
     kind = slim.schema["id"].dataType.simpleString()
-    described = held.mapInArrow(_describer("text"), f"id {kind}, label int, x array<double>")
-    rows = saved(described.groupBy("id", "label").agg(F.min("x").alias("x")))
+    described = slim.mapInArrow(_describer("text"), f"id {kind}, x array<double>")
+    one = described.groupBy("id").agg(F.min("x").alias("x"))
+    rows = saved(one.join(_sampled(labels.where(train), id_column, label, sample), "id").select("id", "label", "x"))
     width = len(NAMES)
     each = [f(F.get("x", F.lit(k))) for k in range(width) for f in (F.avg, F.stddev_pop)]
     first = rows.agg(F.count(F.lit(1)), F.sum("label"), *each).first()
@@ -264,8 +285,11 @@ def fit(
         if np.abs(step).max() < 1e-6:
             break
     # Half way between the strengths on both sides of the quantile.
-    lists = rows.mapInArrow(_strengths(ranker), "strength double")
-    ranker.cut = lists.agg(F.percentile("strength", (n - good - 0.5) / (n - 1))).first()[0]  # over the sample
+    # Equal strengths are told apart by their row, so that many copies are not one task's.
+    strengths = rows.mapInArrow(_strengths(ranker), "strength double").withColumn("row", F.monotonically_increasing_id())
+    ranked = placed(strengths, "strength", "row")
+    beside = ranked.where(F.col("at").isin(n - good - 1, n - good)).agg(F.avg("strength"))  # two rows
+    ranker.cut = beside.first()[0]
     return ranker
 
 
