@@ -2,13 +2,17 @@
 
 import hashlib
 import math
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from textlens import TextClassifier
+from textlens.operators import block_classifier as B
 from textlens.operators import metrics as M
 from textlens.operators import report as R
 from textlens.operators.labels import LabelIndex, class_count, fit_label_index
@@ -341,3 +345,21 @@ def test_many_classes_end_to_end(spark, tmp_path):
     loaded.model.sent_bytes = 0
     predicted, report = loaded.predict(df, ["product"], "label", use_checkpoint=False)
     assert predicted.where("Predicted = label").count() == 800 and report.count() == 43
+
+
+def test_examples_take_bounded_memory(monkeypatch):
+    """A large Arrow batch is counted in pieces: the same examples, and little beside words and result."""
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(0, 2000, 4000)
+    edges = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+    words = pa.ListArray.from_arrays(edges, pa.array(rng.integers(0, 1 << 18, sizes.sum()).astype(np.int32)))
+    tracemalloc.start()
+    pieces = B.Examples.of(words, 1 << 18)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * len(words.flatten())
+    monkeypatch.setattr(B, "WORDS_AT_ONCE", 1 << 40)
+    whole = B.Examples.of(words, 1 << 18)
+    for name in ("edges", "feature", "value"):
+        assert np.array_equal(getattr(pieces, name), getattr(whole, name))
+    assert [b - a for a, b in B.word_ranges(pa.array([None, [1], []], pa.list_(pa.int32())))] == [3]

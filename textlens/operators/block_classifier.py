@@ -36,6 +36,9 @@ FIRST_SQUARES = 0.1
 # Classes of a block, feature values of a chunk.
 BLOCK = 32
 CHUNK_VALUES = 1 << 19
+# Words, and products of values and classes, that a task works on at once, however large an Arrow batch is.
+WORDS_AT_ONCE = 1 << 18
+PRODUCTS_AT_ONCE = 1 << 20
 # Weights up to this size are sent to the tasks that score.
 SENT_BYTES = 64 << 20
 WEIGHTS = "block int, feature int, w array<float>, g array<float>"
@@ -57,6 +60,19 @@ class Examples:
 
     @classmethod
     def of(cls, words: pa.Array, num_features: int) -> Examples:
+        """The same whatever ``WORDS_AT_ONCE`` is; it bounds what counting takes beside words and result."""
+        parts = [cls._counted(words.slice(low, high - low), num_features) for low, high in word_ranges(words)]
+        if len(parts) == 1:
+            return parts[0]
+        sizes = [np.diff(x.edges) for x in parts]
+        return cls(
+            np.concatenate(([0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes])))),
+            np.concatenate([np.zeros(0, np.int32), *[x.feature for x in parts]]),
+            np.concatenate([np.zeros(0, np.float32), *[x.value for x in parts]]),
+        )
+
+    @classmethod
+    def _counted(cls, words: pa.Array, num_features: int) -> Examples:
         sizes = np.asarray(words.value_lengths().fill_null(0)).astype(np.int64)
         row = np.repeat(np.arange(len(sizes)), sizes)
         key = row * (num_features + 1) + np.asarray(words.flatten()).astype(np.int64)
@@ -92,6 +108,17 @@ class Examples:
         return np.add.reduceat(products, self.edges[:-1], axis=0)
 
 
+def word_ranges(words: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with at most ``WORDS_AT_ONCE`` words, or one row each."""
+    ends = np.cumsum(np.asarray(words.value_lengths().fill_null(0)).astype(np.int64))
+    low = 0
+    while low < len(ends):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + WORDS_AT_ONCE, "right")))
+        yield low, high
+        low = high
+
+
 def _packer(num_features: int, values: int, payload: bool):
     """Rows (words, y, payload) as chunks."""
 
@@ -300,8 +327,8 @@ def _scored(payload: T.StructField) -> T.StructType:
 
 def _chunk_features(batches):
     for batch in batches:
-        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("feature").to_pylist()):
-            found = np.unique(np.frombuffer(blob, np.int32))
+        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("feature")):
+            found = np.unique(np.frombuffer(blob.as_buffer(), np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk)), pa.array(found)], ["chunk", "feature"])
 
 
@@ -318,11 +345,12 @@ def _summary(z: np.ndarray, y: np.ndarray, first: int) -> tuple[np.ndarray, np.n
 
 def _row_scorer(features: np.ndarray, weights: np.ndarray, num_features: int):
     def run(batches):
-        for batch in batches:
+        pieces = (batch.slice(low, high - low) for batch in batches for low, high in word_ranges(batch.column("words")))
+        for batch in pieces:
             all_ = Examples.of(batch.column("words"), num_features)
             y = np.asarray(batch.column("y").fill_null(-1))
             # Scores are rows x classes numbers, so wide models take fewer rows at once.
-            for low, high in all_.cut(max(1, (1 << 24) // weights.shape[1])):
+            for low, high in all_.cut(max(1, PRODUCTS_AT_ONCE // weights.shape[1])):
                 x = all_.part(low, high)
                 at = np.minimum(np.searchsorted(features, x.feature), max(len(features) - 1, 0))
                 place = np.where(features[at] == x.feature, at, -1) if len(features) else np.full(len(x.feature), -1)
