@@ -363,3 +363,22 @@ def test_examples_take_bounded_memory(monkeypatch):
     for name in ("edges", "feature", "value"):
         assert np.array_equal(getattr(pieces, name), getattr(whole, name))
     assert [b - a for a, b in B.word_ranges(pa.array([None, [1], []], pa.list_(pa.int32())))] == [3]
+
+
+def test_spans_of_blocks(spark, monkeypatch):
+    """A chunk of few features meets its blocks at once; steps on a matrix equal steps on single values, block by block."""
+    rows, model = many_classes(spark), BlockClassifier(spark, 70, 1 << 16)
+    chunks = pack(rows, 1 << 16, values=300)
+    assert model._dealt(chunks).count() == chunks.count()
+    wide, loss = model.train_epoch(chunks, 1, Steps(batch_size=8))
+    monkeypatch.setattr(B, "UNIT_WEIGHTS", 1)
+    monkeypatch.setattr(B, "SPARSE", 0)
+    chunks = pack(rows, 1 << 16, values=300)
+    assert model._dealt(chunks).count() == model.blocks * chunks.count()
+    narrow, same = model.train_epoch(chunks, 1, Steps(batch_size=8))
+    assert loss == pytest.approx(same, rel=1e-4)
+    weights = lambda m: {(r["block"], r["feature"]): r["w"] for r in m.weights.collect()}
+    one, other = weights(wide), weights(narrow)
+    assert one.keys() == other.keys()
+    for key, w in one.items():
+        assert w == pytest.approx(other[key], abs=1e-4)

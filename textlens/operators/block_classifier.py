@@ -2,7 +2,8 @@
 
 Nothing here is as large as classes x features in one place. Coefficients are a table of (block, feature, an array
 with a weight for each class of the block); examples are packed into chunks of a bounded number of feature values. The unit of
-work is a chunk and a block: a cogroup of the chunk with the weights of just the features that occur in it.
+work is a chunk and a span of blocks: a cogroup of the chunk with the weights of just the features that occur in it. The fewer features
+a chunk has, the more blocks a span: a chunk is sent and opened once a span, and its steps work on wide matrices.
 
 An epoch is one pass. Every chunk starts with the weights of the epoch before, goes through its examples in mini-batches
 (shuffled by seed, epoch and chunk) with a step size that adapts to each weight, and returns what it changed. The new
@@ -10,7 +11,7 @@ weight is the mean over the chunks that saw the feature, weighted by their examp
 So epoch k costs one pass and continues epoch k - 1; batch size and learning rate mean what they usually do.
 
 Scores of a class are independent of other blocks; probabilities are the classes' own, divided by their sum. Each chunk and
-block returns its best class, its sum, and the probability of the true class; a chunk's blocks are then combined, which is the
+span returns its best class, its sum, and the probability of the true class; a chunk's spans are then combined, which is the
 argmax over all classes. Weights that are counted and found small are sent to the tasks instead, and rows are
 scored where they stand.
 
@@ -39,10 +40,15 @@ CHUNK_VALUES = 1 << 19
 # Words, and products of values and classes, that a task works on at once, however large an Arrow batch is.
 WORDS_AT_ONCE = 1 << 18
 PRODUCTS_AT_ONCE = 1 << 20
+# Weights that a unit holds, and blocks of a span at most.
+UNIT_WEIGHTS = 1 << 22
+SPAN = 32
+# Values are set into a matrix of rows x features if at least one of so many of its cells is filled.
+SPARSE = 16
 # Weights up to this size are sent to the tasks that score.
 SENT_BYTES = 64 << 20
 WEIGHTS = "block int, feature int, w array<float>, g array<float>"
-CHUNK = "chunk bigint, edges binary, feature binary, value binary, y array<bigint>"
+CHUNK = "chunk bigint, span int, edges binary, feature binary, value binary, y array<bigint>"
 
 
 def hashed_words(text: Column, num_features: int) -> Column:
@@ -103,11 +109,22 @@ class Examples:
         """Sum of weight x value per row and class; ``place``: row of each feature value's weights, -1 for none."""
         if not len(place):
             return np.zeros((self.rows, weights.shape[1]), np.float32)
+        found, column = np.unique(place, return_inverse=True)
+        if self.rows * len(found) <= SPARSE * len(place):
+            row = np.repeat(np.arange(self.rows), np.diff(self.edges))
+            own = np.where(found[:, None] >= 0, weights[found], 0)
+            return self._matrix(row, column, self.value, (self.rows, len(found))) @ own
         products = np.where(place[:, None] >= 0, weights[place], 0) * self.value[:, None]
         # Every row has at least its constant, so no range is empty.
         return np.add.reduceat(products, self.edges[:-1], axis=0)
 
 
+    @staticmethod
+    def _matrix(row: np.ndarray, column: np.ndarray, value: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+        cells = np.bincount(row * shape[1] + column, value, shape[0] * shape[1])
+        return cells.reshape(shape).astype(np.float32)
+
+
 def word_ranges(words: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most ``WORDS_AT_ONCE`` words, or one row each."""
     ends = np.cumsum(np.asarray(words.value_lengths().fill_null(0)).astype(np.int64))
@@ -134,8 +151,9 @@ def _packer(num_features: int, values: int, payload: bool):
                 lists = lambda name: pa.ListArray.from_arrays(
                     pa.array([0, high - low], pa.int32()), batch.column(name).slice(low, high - low)
                 )
-                columns = [pa.array([(part << 33) + number]), one(x.edges, np.int64), one(x.feature, np.int32), one(x.value, np.float32), lists("y")]
-                names = ["chunk", "edges", "feature", "value", "y"]
+                span = min(SPAN, max(1, UNIT_WEIGHTS // (BLOCK * len(np.unique(x.feature)))))
+                columns = [pa.array([(part << 33) + number]), pa.array([span], pa.int32()), one(x.edges, np.int64), one(x.feature, np.int32), one(x.value, np.float32), lists("y")]
+                names = ["chunk", "span", "edges", "feature", "value", "y"]
                 if payload:
                     columns.append(lists("payload"))
                     names.append("payload")
@@ -161,17 +179,27 @@ def _opened(table: pa.Table) -> tuple[Examples, np.ndarray]:
     return x, np.asarray(table["y"][0].values.fill_null(-1))
 
 
-def _lists(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    return np.asarray(column.combine_chunks().flatten(), np.float32).reshape(-1, width)
+def _width(block: int, classes: int, span: int = 1) -> int:
+    return min(BLOCK * span, classes - block * BLOCK)
 
 
-def _width(block: int, classes: int) -> int:
-    return min(BLOCK, classes - block * BLOCK)
+def _filled(out: np.ndarray, table: pa.Table, name: str, features: np.ndarray, first: int) -> None:
+    """Set the weights of a table (block, feature, ``name``) into a matrix of features x classes from block ``first`` on."""
+    blocks, lists = np.asarray(table["block"]), table[name].combine_chunks()
+    at = np.searchsorted(features, np.asarray(table["feature"]))
+    for block in np.unique(blocks):
+        own = np.flatnonzero(blocks == block)
+        low = (block - first) * BLOCK
+        width = min(BLOCK, out.shape[1] - low)
+        out[at[own], low : low + width] = np.asarray(lists.take(pa.array(own)).flatten(), np.float32).reshape(-1, width)
 
 
 def _arrays(values: np.ndarray) -> pa.Array:
-    offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.float32).ravel()))
+    """Rows of a matrix cut into blocks of classes, block by block."""
+    parts = [values[:, low : low + BLOCK].astype(np.float32) for low in range(0, values.shape[1], BLOCK)]
+    sizes = np.concatenate([np.full(len(part), part.shape[1]) for part in parts])
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([part.ravel() for part in parts])))
 
 
 @dataclass(frozen=True)
@@ -184,55 +212,74 @@ class Steps:
     seed: int = 42
 
     def trainer(self, classes: int, num_features: int, epoch: int):
-        """One chunk's pass for one block: new weights of its features; the loss stands at feature -1."""
+        """One chunk's pass for one span of blocks: new weights of its features; the loss stands at feature -1."""
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
             if not left.num_rows:
                 return pa.table({"block": pa.array([], pa.int32()), "feature": pa.array([], pa.int32()), "n": pa.array([], pa.int64()),
                                  "w": pa.array([], pa.list_(pa.float32())), "g": pa.array([], pa.list_(pa.float32()))})
             x, y = _opened(left)
-            block = left["block"][0].as_py()
-            width = _width(block, classes)
+            span = left["span"][0].as_py()
+            block = left["unit"][0].as_py() * span
+            width = _width(block, classes, span)
             features, place = np.unique(x.feature, return_inverse=True)
             w = np.zeros((len(features), width), np.float32)
             g = np.zeros((len(features), width), np.float32)
             # Every class starts as one of many: its constant gives it the odds of a guess.
             w[features == num_features] = -np.log(classes - 1)
             if right.num_rows:
-                at = np.searchsorted(features, np.asarray(right["feature"]))
-                w[at], g[at] = _lists(right["w"], width), _lists(right["g"], width)
+                _filled(w, right, "w", features, block)
+                _filled(g, right, "g", features, block)
             order = np.random.default_rng([self.seed, epoch, left["chunk"][0].as_py()]).permutation(x.rows)
-            loss = 0.0
+            losses = np.zeros(width)
             for start in range(0, x.rows, self.batch_size):
-                loss += self._step(x, y - block * BLOCK, place, w, g, order[start : start + self.batch_size])
+                losses += self._step(x, y - block * BLOCK, place, w, g, order[start : start + self.batch_size])
             n = np.bincount(place, minlength=len(features))
+            blocks = -(-width // BLOCK)
+            # A block's loss stands in all its places.
+            loss = np.repeat(np.add.reduceat(losses, np.arange(0, width, BLOCK)), BLOCK)[None, :width]
             return pa.table({
-                "block": pa.array(np.full(len(features) + 1, block, np.int32)),
-                "feature": pa.array(np.concatenate((features, [-1])).astype(np.int32)),
-                "n": pa.array(np.concatenate((n, [x.rows]))),
-                "w": _arrays(np.concatenate((w, np.full((1, width), loss / x.rows)))),
-                "g": _arrays(np.concatenate((g, np.zeros((1, width))))),
+                "block": pa.array(np.repeat(np.arange(block, block + blocks), len(features) + 1).astype(np.int32)),
+                "feature": pa.array(np.tile(np.concatenate((features, [-1])), blocks).astype(np.int32)),
+                "n": pa.array(np.tile(np.concatenate((n, [x.rows])), blocks)),
+                "w": _arrays(np.concatenate((w, loss / x.rows))),
+                "g": _arrays(np.concatenate((g, np.zeros((1, width), np.float32)))),
             })
 
         return run
 
-    def _step(self, x: Examples, y: np.ndarray, place: np.ndarray, w: np.ndarray, g: np.ndarray, rows: np.ndarray) -> float:
+    def _step(self, x: Examples, y: np.ndarray, place: np.ndarray, w: np.ndarray, g: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Move the weights by one mini-batch; its loss before that, class by class."""
         sizes = x.edges[rows + 1] - x.edges[rows]
         begins = np.cumsum(sizes) - sizes
         values = np.arange(sizes.sum()) + np.repeat(x.edges[rows] - begins, sizes)
-        at, value, row = place[values], x.value[values][:, None], np.repeat(np.arange(len(rows)), sizes)
-        z = np.clip(np.add.reduceat(w[at] * value, begins, axis=0), -30, 30)
-        wanted = np.zeros_like(z)
+        at, value, row = place[values], x.value[values], np.repeat(np.arange(len(rows)), sizes)
+        touched, column = np.unique(at, return_inverse=True)
+        dense = len(rows) * len(touched) <= SPARSE * len(at)
+        if dense:
+            matrix = x._matrix(row, column, value, (len(rows), len(touched)))
+            z = matrix @ w[touched]
+        else:
+            z = np.add.reduceat(w[at] * value[:, None], begins, axis=0)
+        z = np.clip(z, -30, 30)
+        small = np.exp(-np.abs(z))
+        error = np.where(z >= 0, 1, small) / (1 + small)
+        losses = np.maximum(z, 0) + np.log1p(small)
         own = np.flatnonzero((y[rows] >= 0) & (y[rows] < w.shape[1]))
-        wanted[own, y[rows][own]] = 1
-        error = 1 / (1 + np.exp(-z)) - wanted
-        order = np.argsort(at, kind="stable")
-        edge = np.flatnonzero(np.diff(at[order], prepend=-1))
-        touched = at[order][edge]
-        gradient = np.add.reduceat((error[row] * value)[order], edge, axis=0) + self.regularization * w[touched]
-        g[touched] += gradient * gradient
-        w[touched] -= self.learning_rate * gradient / np.sqrt(g[touched] + FIRST_SQUARES)
-        return float(np.logaddexp(0, np.where(wanted > 0, -z, z)).sum())
+        error[own, y[rows][own]] -= 1
+        losses[own, y[rows][own]] -= z[own, y[rows][own]]
+        if dense:
+            gradient = matrix.T @ error
+        else:
+            order = np.argsort(at, kind="stable")
+            edge = np.flatnonzero(np.diff(at[order], prepend=-1))
+            gradient = np.add.reduceat((error[row] * value[:, None])[order], edge, axis=0)
+        if self.regularization:
+            gradient += self.regularization * w[touched]
+        squares = g[touched] + gradient * gradient
+        g[touched] = squares
+        w[touched] -= self.learning_rate * gradient / np.sqrt(squares + FIRST_SQUARES)
+        return losses.sum(0)
 
 
 class BlockClassifier:
@@ -251,21 +298,22 @@ class BlockClassifier:
         return -(-self.classes // BLOCK)
 
     def _pulled(self, chunks: DataFrame) -> DataFrame:
-        """(chunk, block, feature, w, g): the weights a chunk needs."""
-        found = chunks.select("chunk", "feature").mapInArrow(_chunk_features, "chunk bigint, feature int")
-        return found.join(self.weights, "feature")
+        """(chunk, unit, block, feature, w, g): the weights a chunk needs."""
+        found = chunks.select("chunk", "span", "feature").mapInArrow(_chunk_features, "chunk bigint, span int, feature int")
+        unit = F.expr("block div span").cast("int").alias("unit")
+        return found.join(self.weights, "feature").select("chunk", unit, "block", "feature", "w", "g")
 
     def _dealt(self, chunks: DataFrame) -> DataFrame:
-        """A chunk once for each block; what rides along with it only once."""
-        block = F.explode(F.sequence(F.lit(0), F.lit(self.blocks - 1)).cast("array<int>"))
-        dealt = chunks.withColumn("block", block)
+        """A chunk once for each span of blocks; what rides along with it only once."""
+        last = F.floor(F.lit(self.blocks - 1) / F.col("span")).cast("int")
+        dealt = chunks.withColumn("unit", F.explode(F.sequence(F.lit(0), last)))
         if "payload" in chunks.columns:
-            dealt = dealt.withColumn("payload", F.when(F.col("block") == 0, F.col("payload")))
+            dealt = dealt.withColumn("payload", F.when(F.col("unit") == 0, F.col("payload")))
         return dealt
 
     def train_epoch(self, chunks: DataFrame, epoch: int, steps: Steps) -> tuple[BlockClassifier, float]:
         """The classifier after one more pass, and the mean loss of a row during it, each row before its step."""
-        passed = self._dealt(chunks).groupBy("chunk", "block").cogroup(self._pulled(chunks).groupBy("chunk", "block"))
+        passed = self._dealt(chunks).groupBy("chunk", "unit").cogroup(self._pulled(chunks).groupBy("chunk", "unit"))
         out = passed.applyInArrow(steps.trainer(self.classes, self.num_features, epoch), "block int, feature int, n bigint, w array<float>, g array<float>")
         widest = min(BLOCK, self.classes)
         mean = lambda c, k: (F.sum(F.get(c, F.lit(k)) * F.col("n")) / F.sum("n")).cast("float")
@@ -315,7 +363,7 @@ class BlockClassifier:
             *[T.StructField(n, T.ArrayType(T.FloatType())) for n in ("top", "mass", "own")],
             T.StructField("y", T.ArrayType(T.LongType())), chunks.schema["payload"],
         ])
-        met = self._dealt(chunks).groupBy("chunk", "block").cogroup(self._pulled(chunks).groupBy("chunk", "block"))
+        met = self._dealt(chunks).groupBy("chunk", "unit").cogroup(self._pulled(chunks).groupBy("chunk", "unit"))
         parts = met.applyInArrow(_block_scorer(self.classes, part), part)
         return parts.groupBy("chunk").applyInArrow(_combiner, schema)
 
@@ -327,9 +375,10 @@ def _scored(payload: T.StructField) -> T.StructType:
 
 def _chunk_features(batches):
     for batch in batches:
-        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("feature")):
+        for chunk, span, blob in zip(batch.column("chunk").to_pylist(), batch.column("span").to_pylist(), batch.column("feature")):
             found = np.unique(np.frombuffer(blob.as_buffer(), np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk)), pa.array(found)], ["chunk", "feature"])
+            spans = pa.array(np.full(len(found), span, np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk)), spans, pa.array(found)], ["chunk", "span", "feature"])
 
 
 def _summary(z: np.ndarray, y: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -375,17 +424,19 @@ def _block_scorer(classes: int, schema: T.StructType):
         if not left.num_rows:
             return arrow.empty_table()
         x, y = _opened(left)
-        block = left["block"][0].as_py()
-        width = _width(block, classes)
-        w = np.zeros((1, width), np.float32)
-        place = np.full(len(x.feature), -1)
+        span = left["span"][0].as_py()
+        block = left["unit"][0].as_py() * span
+        features, place = np.unique(x.feature, return_inverse=True)
+        w = np.zeros((len(features), _width(block, classes, span)), np.float32)
         if right.num_rows:
-            feature = np.asarray(right["feature"])
-            order = np.argsort(feature)
-            w = _lists(right["w"], width)[order]
-            at = np.minimum(np.searchsorted(feature[order], x.feature), len(feature) - 1)
-            place = np.where(feature[order][at] == x.feature, at, -1)
-        best, top, mass, own = _summary(x.scores(w, place), y, block * BLOCK)
+            _filled(w, right, "w", features, block)
+        # A piece at a time: scores are rows x classes numbers.
+        parts = []
+        for low, high in x.cut(max(1, PRODUCTS_AT_ONCE // w.shape[1])):
+            some = x.part(low, high)
+            z = some.scores(w, place[x.edges[low] : x.edges[high]])
+            parts.append(_summary(z, y[low:high], block * BLOCK))
+        best, top, mass, own = (np.concatenate(found) for found in zip(*parts))
         one = lambda a, t: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.array(a.astype(t)))
         return pa.table([
             left["chunk"], one(best, np.int64), one(top, np.float32), one(mass, np.float32), one(own, np.float32), left["y"], left["payload"],
@@ -395,7 +446,7 @@ def _block_scorer(classes: int, schema: T.StructType):
 
 
 def _combiner(table: pa.Table) -> pa.Table:
-    """The blocks of one chunk: the best class of all, smaller numbers first among equals."""
+    """The spans of one chunk: the best class of all, smaller numbers first among equals."""
     flat = lambda name, t: np.stack([np.asarray(v.values, t) for v in table[name]])
     best, top, mass, own = flat("best", np.int64), flat("top", np.float64), flat("mass", np.float64), flat("own", np.float64)
     order = np.argsort(best[:, 0], kind="stable")

@@ -82,8 +82,9 @@ class TextClassifier:
         rows = cuts.assign(index.encode(source, label_column, "y"))
         # Words are read once per epoch, and by whatever replaces a lost executor: stored, columnar.
         ready = materialise(rows.select("split", "y", hashed_words(F.col(INPUT_COLUMN), num_features).alias("words")))
-        # Dealt out evenly, so that no chunk holds one class only because the input is sorted.
-        chunks = pack(ready.where("split = 'train'").select("words", "y").hint("rebalance"), num_features)
+        # Dealt out evenly, so that no chunk holds one class only because the input is sorted; in an order that a shuffle does not change.
+        train = ready.where("split = 'train'").select("words", "y").hint("rebalance")
+        chunks = pack(train.sortWithinPartitions(F.xxhash64("words", "y")), num_features)
         held_out = ready.where("split <> 'train'").select("words", "y", F.struct("split").alias("payload"))
         packed = None
         steps = Steps(batch_size, learning_rate, regularization, seed)
@@ -93,7 +94,8 @@ class TextClassifier:
             models.append(model)
             losses.append(loss)
             if model.sent() is not None:
-                scored = model.score(held_out)
+                # Test rows are scored by the last epoch only.
+                scored = model.score(held_out if epoch == epochs else held_out.where("payload.split = 'validation'"))
             else:
                 packed = pack(held_out, num_features) if packed is None else packed
                 scored = model.score_chunks(packed)

@@ -9,6 +9,7 @@ from textlens.functions import text as X
 from textlens.operators import metrics as M
 from textlens.operators import report as R
 from textlens.operators.labels import class_count, fit_label_index
+from textlens.operators.sentences import spread
 from textlens.operators.split import stratified_split as split
 from workload.common import (
     PHASE_EPOCHS, SQL_DIM, SQL_EPOCH_GRID, SQL_EPOCH_PRED, SQL_GROUPS, SQL_PRED, SQL_SPLIT, DIGITS,
@@ -201,7 +202,8 @@ def predict_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def train_products(spark: SparkSession, sf: str) -> DataFrame:
     """A class for each brand, type and size: loss per epoch, and whether predictions are of the product's own type."""
-    parts = table(spark, sf, "part").withColumn("label", X.composite_label("p_brand", "p_type", "p_size"))
+    parts = spread(table(spark, sf, "part"), ["p_partkey"])
+    parts = parts.withColumn("label", X.composite_label("p_brand", "p_type", "p_size"))
     trained = TextClassifier(spark)
     columns = ["p_brand", "p_type", "p_size"]
     result = trained.train_and_evaluate(
