@@ -30,6 +30,8 @@ from textlens.sources.sinks import materialise
 MAX_SENT = 1 << 22
 # Bits of the filter for each entry, its largest size (64 MB), and probes of a key.
 BITS_PER_ENTRY, MAX_BITS, PROBES = 16, 1 << 29, 4
+# Keys that are looked up at once, however large an Arrow batch is.
+KEYS_AT_ONCE = 1 << 18
 # A key is frequent if it occurs this often in one of so many rows; it is then dealt over so many salts.
 FREQUENT, SAMPLED_ROWS, SALTS = 1000, 50, 32
 
@@ -48,6 +50,17 @@ def _relisted(lengths: pa.Array, inner: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), inner, mask=lengths.is_null())
 
 
+def _values(hashes: np.ndarray, valences: np.ndarray, keys: np.ndarray) -> pa.Array:
+    """The valence of each key, null for none; beside keys and result only ``KEYS_AT_ONCE`` of them take memory."""
+    values, missing = np.zeros(len(keys)), np.ones(len(keys), bool)
+    for low in range(0, len(keys) if len(hashes) else 0, KEYS_AT_ONCE):
+        some = keys[low : low + KEYS_AT_ONCE]
+        at = np.minimum(np.searchsorted(hashes, some), len(hashes) - 1)
+        values[low : low + KEYS_AT_ONCE] = valences[at]
+        missing[low : low + KEYS_AT_ONCE] = hashes[at] != some
+    return pa.array(values, mask=missing)
+
+
 def _looker(sent):
     """Hashes of keys (an array for each text of a row) to valences, null for none."""
 
@@ -56,9 +69,7 @@ def _looker(sent):
         for batch in batches:
             texts = batch.flatten()
             keys = np.asarray(texts.flatten())
-            at = np.minimum(np.searchsorted(hashes, keys), max(len(hashes) - 1, 0))
-            found = hashes[at] == keys if len(hashes) else np.zeros(len(keys), bool)
-            values = pa.array(valences[at] if len(hashes) else np.zeros(len(keys)), mask=~found)
+            values = _values(hashes, valences, keys)
             yield _relisted(batch.value_lengths(), _relisted(texts.value_lengths(), values))
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
