@@ -160,3 +160,14 @@ def test_sizing_runs_no_job(spark):
     O.repartition_by_rows(df, rows=1000)
     O.spread(df, ["k"])
     assert len(tracker.getJobIdsForGroup("sizing")) == 0
+
+
+def test_words_are_counted_before_patterns_read_them(spark):
+    """Two aggregates: words as they stand, then the words that patterns find in them."""
+    from textlens.operators.abbreviations import word_counts
+
+    df = spark.createDataFrame([("Dr. Smith met dr. jones, etc.",), (None,), ("",), ("a. (B) A",)], "text string")
+    counts = word_counts(df, "text")
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
+    found = {r["word"]: tuple(r)[1:] for r in counts.collect()}
+    assert found["dr"] == (2, 0, 1, 2) and found["etc"] == (1, 0, 0, 0) and found["a"] == (1, 1, 1, 1)

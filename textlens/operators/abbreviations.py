@@ -35,14 +35,17 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
     words = F.split(F.btrim(F.col(text), F.lit(WHITESPACE)), r"\s+")
     pairs = let(words, lambda all_: F.transform(all_, lambda w, i: F.struct(w.alias("w"), F.get(all_, i + 1).alias("next"))))
     rows = df.select(F.explode(pairs).alias("p")).select("p.*")
+    # What follows matters after a period only. Words are counted as they stand, so that a pattern reads each of them once.
+    capital = F.when(F.contains("w", F.lit(".")), F.col("next").rlike(r"^[(\[\"']*\p{Lu}")).alias("capital")
+    rows = rows.select("w", capital).groupBy("w", "capital").agg(F.count(F.lit(1)).alias("n"))
     rows = rows.select(
-        F.lower(F.regexp_extract("w", WORD, 1)).alias("word"), (F.regexp_extract("w", WORD, 2) == ".").alias("period"), "next"
+        F.lower(F.regexp_extract("w", WORD, 1)).alias("word"), (F.regexp_extract("w", WORD, 2) == ".").alias("period"), "capital", "n"
     ).where("word <> ''")
-    count = lambda condition: F.sum(F.when(condition, 1).otherwise(0))
-    followed = F.col("period") & F.col("next").isNotNull()
+    count = lambda condition: F.sum(F.when(condition, F.col("n")).otherwise(0))
+    followed = F.col("period") & F.col("capital").isNotNull()
     return rows.groupBy("word").agg(
         count(F.col("period")).alias("with_period"), count(~F.col("period")).alias("without"),
-        count(followed & F.col("next").rlike(r"^[(\[\"']*\p{Lu}")).alias("capital_after"), count(followed).alias("after"),
+        count(followed & F.col("capital")).alias("capital_after"), count(followed).alias("after"),
     )
 
 
