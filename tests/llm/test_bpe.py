@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from textlens.llm.bpe import ByteBPE, add_ids, read_ranks
+from textlens.llm.bpe import ByteBPE, _unpack_words, add_ids, read_ranks
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TEXTS = [
@@ -100,3 +100,13 @@ def test_threshold_of_counts(spark, ranks):
     df = spark.createDataFrame([(1, "a" + " b" * 9 + " c" * 5 + " d" * 5 + " e" * 2)], "doc_id long, text string")
     words = lambda most: set(_unpack_words(ByteBPE(ranks, public_tokenizers.PATTERN).with_frequent(df, most=most).frequent))
     assert [words(n) for n in (0, 1, 2, 3, 4, 9)] == [set(), {" b"}, {" b"}, {" b", " c", " d"}, {" b", " c", " d", " e"}, {"a", " b", " c", " d", " e"}]
+
+
+def test_rank_map_is_in_a_plan_without_shuffle(spark, ranks):
+    """A plan with shuffles is made anew, and held as text by the driver, after each of them."""
+    bpe = ByteBPE(ranks, public_tokenizers.PATTERN)
+    words = spark.createDataFrame([("the",), (" end",)], "word string").repartition(3)
+    packed = bpe.packed(words)
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+    of = {word: ids for r in packed.collect() for word, ids in _unpack_words([bytes(r["packed"])]).items()}
+    assert of == {"the": [ranks[b"the"]], " end": [ranks[b" end"]]}

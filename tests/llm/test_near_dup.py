@@ -113,6 +113,20 @@ def test_components_of_a_long_path(spark, monkeypatch, few):
     assert {labels[k] for k in range(61)} == {0} and labels[101] == labels[100] == 100
 
 
+def test_few_links_are_joined_in_one_pass(spark, monkeypatch):
+    """The driver plans no round after round for few links, and the components are those of the rounds."""
+    rng = random.Random(8)
+    pairs = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(350)] + [(k, k + 1) for k in range(1000, 1060)] + [(7, 7), (None, 3)]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    written, save = [], N.saved
+    monkeypatch.setattr(N, "saved", lambda df: written.append(1) or save(df))
+    joined = sorted(map(tuple, N.components(links).collect()))
+    assert len(written) == 2
+    monkeypatch.setattr(N, "FEW_LINKS", 0)
+    assert joined == sorted(map(tuple, N.components(links).collect())) and len(written) > 5
+    assert N.components(links.limit(0)).count() == 0
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert N.Groups(empty).classes().count() == 0 and N.keep_one(empty).count() == 0

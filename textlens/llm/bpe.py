@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from textlens.functions.lexicon import InPlanTable
 from textlens.functions.scores import let
+from textlens.llm.near_dup import saved
 from textlens.sources.sinks import materialise
 
 FREQUENT = 200_000
@@ -124,12 +125,17 @@ class ByteBPE:
             if held > most:
                 break
             least = row["least"]
-        top = counts.where(F.col("n") >= least).select("word").hint("rebalance")
-        folded = let(self.ranks.literal(), lambda table: self.word_ids(F.hex(F.col("word").cast("binary")), table))
-        packed = top.select("word", folded.alias("ids")).mapInArrow(_pack_words, "packed binary").collect()  # a row for each task
+        packed = self.packed(counts.where(F.col("n") >= least)).collect()  # a row for each task
         self.frequent = [bytes(r["packed"]) for r in packed]
         return self
 
+    def packed(self, words: DataFrame) -> DataFrame:
+        """The words of each task with their folded ids."""
+        # Dealt out by a plan of its own: one that is made anew after a shuffle is printed with the rank map each time, on the driver.
+        dealt = saved(words.select("word").hint("rebalance"))
+        folded = let(self.ranks.literal(), lambda table: self.word_ids(F.hex(F.col("word").cast("binary")), table))
+        return dealt.select("word", folded.alias("ids")).mapInArrow(_pack_words, "packed binary")
+
     def word_ids(self, word: Column, table: Column) -> Column:
         """Ids of a hexadecimal word: a token itself, or folded."""
         token = let(_lookup(table, self.ranks, word), lambda rank: F.when(rank.isNotNull(), F.array(rank)))

@@ -15,7 +15,8 @@ Signatures are cut into bands. A pair that shares a band is verified by its exac
 Scale. Equal contents become one node before anything else. The members of a band are first compared with one
 of them only, the one that shares most bands with most other texts. Members of one band that then lie in different components and
 were not compared yet are compared afterwards: as pairs in small bands; members of large ones whole
-group by whole group in blocks, which compares no fewer and moves a text once per block instead of once per pair. No link is lost. Components come from alternating large and small stars. Nothing is collected.
+group by whole group in blocks, which compares no fewer and moves a text once per block instead of once per pair. No link is lost. Components come from alternating large and small stars, of
+``FEW_LINKS`` links at most from one task in one pass. Nothing is collected.
 
 Defined results: texts with fewer than five words are one shingle of all their words; texts without words (null,
 empty, blank) are copies of each other. The class of a group is its smallest non-null id, null if it has none.
@@ -38,7 +39,7 @@ SIMILAR = 0.8
 BANDS, ROWS = 42, 6
 # Members of one band that are still apart: up to LARGE they are paired, beyond that compared block by block.
 LARGE, BLOCK = 64, 256
-# Links of this number at most are joined by one task.
+# Links of this number at most are joined by one task in one pass.
 FEW_LINKS = 200_000
 # The blocks of small components.
 SHARED = ""
@@ -288,10 +289,10 @@ def forest(stars: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of all nodes of the links (a, b), the label being the smallest node of the component."""
     edges = saved(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    state, few = None, edges.count() <= FEW_LINKS
+    if edges.count() <= FEW_LINKS:  # rounds of shuffles are more work than the links, for the driver too
+        return saved(edges.coalesce(1).mapInArrow(_joined, "node long, label long"))
+    state = None
     while True:
-        if few:  # a round of them is less work than dealing them out: one task, no shuffle
-            edges = edges.coalesce(1)
         # Large star: every larger neighbour is tied to the smallest one (or the node itself).
         both = _either(edges, ("u", "v"), ("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -304,11 +305,28 @@ def components(links: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
-    edges = edges.coalesce(1) if few else edges
     ends = _either(edges, ("u", "v"), ("v", "v")).distinct()
     return ends.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
+def _joined(batches):
+    """The components of all links (u, v) of a task, ``FEW_LINKS`` at most."""
+    ends = [(np.asarray(b.column("u")), np.asarray(b.column("v"))) for b in batches]
+    if not ends:
+        return
+    u, v = (np.concatenate(side) for side in zip(*ends))
+    nodes, places = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = places[: len(u)], places[len(u) :]
+    root = np.arange(len(nodes))
+    while (apart := root[a] != root[b]).any():
+        # Of two roots with a link the larger goes below the smaller; half of those that are left, at least, go each time.
+        x, y = root[a[apart]], root[b[apart]]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (up := root[root]).tobytes() != root.tobytes():
+            root = up
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["node", "label"])
+
+
 def _either(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
     """(u, v) rows for each of the column pairs of every row."""
     made = [F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in pairs]
@@ -359,7 +377,9 @@ class Groups:
         rest = verify(pairs.join(compared, ["a", "b"], "left_anti"), self.bags, similar)
         large = open_.join(size.where(F.col("size") > LARGE).select("band", "head"), "band")
         tied = components(forest(large.select("node", "head"))).withColumnRenamed("label", "group")
-        found = rest.where("linked").select("a", "b").unionByName(compare_blocks(tied, labels, self.bags, similar))
+        # Each half is written down by a plan of its own: the driver holds and plans anew what is in one plan.
+        blocked = saved(compare_blocks(tied, labels, self.bags, similar))
+        found = saved(rest.where("linked").select("a", "b")).unionByName(blocked)
         # What was found ties components, not nodes: few links, whatever the size of the groups.
         at = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias("label_" + x))
         between = found.join(at("a"), "a", "left").join(at("b"), "b", "left")
